@@ -108,9 +108,9 @@ def fact_orders(orders: DataFrame, customers: DataFrame, calendar: tuple[str, st
     )
     inside = inside_calendar(bought, calendar)
     known = _resolve(orders.filter(inside & F.col("order_id").isNotNull()), customers, "customer_id", "customer_key")
+    # The generated key comes last, so it decides only between otherwise equal rows.
     shaped = known.select(
         "order_id",
-        "customer_key",
         "order_status",
         date_key(bought).alias("purchase_date_key"),
         bought.alias("purchase_timestamp"),
@@ -118,11 +118,14 @@ def fact_orders(orders: DataFrame, customers: DataFrame, calendar: tuple[str, st
         F.col("order_delivered_carrier_date").alias("delivered_carrier_timestamp"),
         delivered.alias("delivered_customer_timestamp"),
         promised.alias("estimated_delivery_timestamp"),
+        "customer_key",
     )
     kept = first_per_key(shaped, "order_id")
     done, due = F.col("delivered_customer_timestamp"), F.col("estimated_delivery_timestamp")
     return kept.select(
-        "*",
+        "order_id", "customer_key", "order_status", "purchase_date_key", "purchase_timestamp",
+        "approved_timestamp", "delivered_carrier_timestamp", "delivered_customer_timestamp",
+        "estimated_delivery_timestamp",
         elapsed_days(done, due).alias("delivery_delay_days"),
         F.coalesce(done > due, F.lit(False)).alias("is_delayed"),
     )
