@@ -51,13 +51,15 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def missing_values(tables: Mapping[str, DataFrame], schema: str = "staging") -> DataFrame:
     """One row per column with its NULL count and share."""
 
     def one(table: str, df: DataFrame) -> DataFrame:
-        counted = df.agg(
-            F.count(F.lit(1)).alias("|total"), *[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
-        )
+        counted = df.agg(F.expr("count(1) AS `|total`"), *[F.expr(f"count(`{c}`) AS `{c}`") for c in df.columns])
         return counted.unpivot("|total", df.columns, "column_name", "_present").select(
             F.lit(schema).alias("schema_name"),
             F.lit(table).alias("table_name"),
@@ -103,20 +105,19 @@ def value_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = VALUE_R
         mine = [r for r in rules if r.table == table]
         counted = tables[table].agg(
             F.count(F.lit(1)).alias("total_rows"),
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.name).alias("rule_name"),
-                        F.lit(r.table).alias("table_name"),
-                        F.lit(r.column).alias("column_name"),
-                        F.count_if(F.expr(r.violation)).alias("violations_count"),
-                        F.lit(r.violation).alias("sql_constraint"),
-                    )
-                    for r in mine
-                ]
-            ).alias("_rules"),
+            *[F.expr(f"count_if({r.violation}) AS _rule_{n}") for n, r in enumerate(mine)],
+        )
+        rows = ", ".join(
+            f"{_quoted(r.name)}, '{r.table}', '{r.column}', _rule_{n}, {_quoted(r.violation)}"
+            for n, r in enumerate(mine)
+        )
+        parts.append(
+            counted.selectExpr(
+                "total_rows",
+                f"stack({len(mine)}, {rows})"
+                " AS (rule_name, table_name, column_name, violations_count, sql_constraint)",
+            )
         )
-        parts.append(counted.select("total_rows", F.inline("_rules")))
     return _stack(parts).select(
         "rule_name",
         "table_name",
@@ -132,14 +133,14 @@ def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns, NULL cells and repeated whole rows of every dataset."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        cells = [F.count(F.col(f"`{c}`")) for c in df.columns]
+        present = " + ".join(f"count(`{c}`)" for c in df.columns)
+        width = len(df.columns)
         return df.agg(
-            F.count(F.lit(1)).alias("row_count"),
-            (F.count(F.lit(1)) * len(cells) - sum(cells[1:], cells[0])).alias("missing_values"),
+            F.expr("count(1) AS row_count"),
+            F.expr(f"count(1) * {width} - ({present}) AS missing_values"),
             surplus_rows([f"`{c}`" for c in df.columns]).alias("duplicate_rows"),
-        ).select(
-            F.lit(name).alias("dataset"), "row_count", F.lit(len(cells)).alias("column_count"),
-            "missing_values", "duplicate_rows",
+        ).selectExpr(
+            f"'{name}' AS dataset", "row_count", f"{width} AS column_count", "missing_values", "duplicate_rows"
         )
 
     return _stack([one(name, df) for name, df in sorted(datasets.items())])

@@ -16,26 +16,23 @@ class ConstraintViolation(ValueError):
 
 def _column_checks(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
     """NOT NULL and length checks of one table, in a single scan."""
-    checks = {("not_null", c): F.count_if(F.col(c).isNull()) for c in rules.not_null}
+    checks = {f"not_null|{c}": f"`{c}` IS NULL" for c in rules.not_null}
     strings = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     for column, limit in rules.max_length.items():
         if column in strings:
-            checks[(f"length<={limit}", column)] = F.count_if(F.char_length(F.col(column)) > limit)
-    counted = df.agg(*[n.alias(f"{kind}|{column}") for (kind, column), n in checks.items()])
-    return counted.unpivot([], counted.columns, "_check", "violations").select(
-        F.lit(table).alias("table_name"),
-        F.split("_check", r"\|")[0].alias("constraint_kind"),
-        F.split("_check", r"\|")[1].alias("column_name"),
+            checks[f"length<={limit}|{column}"] = f"char_length(`{column}`) > {limit}"
+    counted = df.agg(*[F.expr(f"count_if({violated}) AS `{check}`") for check, violated in checks.items()])
+    return counted.unpivot([], counted.columns, "_check", "violations").selectExpr(
+        f"'{table}' AS table_name",
+        "split_part(_check, '|', 1) AS constraint_kind",
+        "split_part(_check, '|', 2) AS column_name",
         "violations",
     )
 
 
 def _labelled(rows: DataFrame, table: str, kind: str, column: str) -> DataFrame:
-    return rows.select(
-        F.lit(table).alias("table_name"),
-        F.lit(kind).alias("constraint_kind"),
-        F.lit(column).alias("column_name"),
-        "violations",
+    return rows.selectExpr(
+        f"'{table}' AS table_name", f"'{kind}' AS constraint_kind", f"'{column}' AS column_name", "violations"
     )
 
 

@@ -185,7 +185,7 @@ def publish(
 
     def store(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
-        return spark.read.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     def dimension(name: str, df: DataFrame) -> DataFrame:
         return store(name, dense_keys(df, SURROGATE_KEYS[name]))
@@ -221,7 +221,7 @@ def publish(
 
     star = {name: star[name] for name in TABLES}
     enforce(star, without_generated_keys())
-    commit_version(spark, root, version, list(TABLES))
+    commit_version(spark, root, version, star)
     return star
 
 

@@ -29,29 +29,23 @@ CALENDAR = testtables.CALENDAR
 GIVEN_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-_published: dict[tuple, str] = {}
+_published: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return testtables.staging_tables(spark, sf_dir)
 
 
-def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
-    """Application, folder and its listing: a changed file means another state."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
-    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    files = tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in listing))
-    return spark.sparkContext.applicationId, sf_dir, files
-
-
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The published star of ``sf_dir``: loaded by the first query that needs it, then opened."""
-    state = _state_of(spark, sf_dir)
+    """The published star of ``sf_dir``, loaded by the first query of a session that needs it.
+
+    A folder whose files have changed is loaded again.
+    """
+    state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), testtables.listing(spark, sf_dir))
     if state not in _published:
         root = scratch_path(spark, "warehouse")
-        warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
-        _published[state] = root
-    return warehouse.open_star(spark, _published[state])
+        _published[state] = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
+    return _published[state]
 
 
 def comparable(df: DataFrame) -> DataFrame:

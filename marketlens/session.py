@@ -18,6 +18,8 @@ CLUSTER_CONF = {
     # A skewed join followed by a group-by on the same key is still split.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites are recorded for every column expression otherwise; wide plans build slowly.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -78,8 +78,9 @@ def load_dataset(spark: SparkSession, path: str, dataset: Dataset, root: str, le
         F.count_if(F.col("_malformed")).alias("malformed_rows"),
     )
     version, target = new_version_path(f"{root}/{dataset.table}")
-    rows.select(*dataset.schema.names).write.parquet(f"{target}/{dataset.table}")
-    commit_version(spark, f"{root}/{dataset.table}", version, [dataset.table])
+    table = rows.select(*dataset.schema.names)
+    table.write.parquet(f"{target}/{dataset.table}")
+    commit_version(spark, f"{root}/{dataset.table}", version, {dataset.table: table})
     return dict(counts.get)
 
 

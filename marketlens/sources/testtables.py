@@ -6,7 +6,7 @@ they are computed row by row with integer arithmetic that any SQL engine repeats
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 PRICE = "decimal(12,2)"
 
@@ -21,165 +21,164 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined"
 CALENDAR = ("1995-01-01", "2001-12-31")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_schemas: dict[tuple, T.StructType] = {}
 
 
-def _shift(base: Column, days: Column | None = None, hours: Column | None = None) -> Column:
-    zero = F.lit(0)
-    step = F.make_dt_interval(
-        zero if days is None else days.cast("int"), zero if hours is None else hours.cast("int")
-    )
-    return base + step
+def listing(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of the files at ``path``: changes whenever the data does."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from a footer once and kept while the files stay the same."""
+    path = f"{sf_dir}/{name}.parquet"
+    state = listing(spark, path)
+    if state not in _schemas:
+        _schemas[state] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[state]).parquet(path)
 
 
 def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nation (city) with the two-letter code of its region (state)."""
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "n_name", F.substring("r_name", 1, 2).alias("r_code")
+    return (
+        table(spark, sf_dir, "nation")
+        .join(table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+        .selectExpr("n_nationkey AS nationkey", "lpad(string(n_nationkey), 5, '0') AS zip", "n_name AS city",
+                    "substring(r_name, 1, 2) AS state")
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, place = table(spark, sf_dir, "customer"), _located(spark, sf_dir)
-    return c.join(place, c.c_nationkey == place.n_nationkey).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("customer_zip_code_prefix"),
-        F.col("n_name").alias("customer_city"),
-        F.col("r_code").alias("customer_state"),
+    people = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
+    return people.join(_located(spark, sf_dir), "nationkey").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS customer_unique_id",
+        "zip AS customer_zip_code_prefix",
+        "city AS customer_city",
+        "state AS customer_state",
     )
 
 
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, place = table(spark, sf_dir, "customer"), _located(spark, sf_dir)
-    return c.join(place, c.c_nationkey == place.n_nationkey).select(
-        F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("geolocation_zip_code_prefix"),
-        (F.col("c_nationkey").cast("double") + (F.col("c_custkey") % 8).cast("double") / 8).alias("geolocation_lat"),
-        (F.col("c_custkey") % 16).cast("double").alias("geolocation_lng"),
-        F.col("n_name").alias("geolocation_city"),
-        F.col("r_code").alias("geolocation_state"),
+    people = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "nationkey")
+    return people.join(_located(spark, sf_dir), "nationkey").selectExpr(
+        "zip AS geolocation_zip_code_prefix",
+        "double(nationkey) + double(c_custkey % 8) / 8 AS geolocation_lat",
+        "double(c_custkey % 16) AS geolocation_lng",
+        "city AS geolocation_city",
+        "state AS geolocation_state",
     )
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, place = table(spark, sf_dir, "supplier"), _located(spark, sf_dir)
-    return s.join(place, s.s_nationkey == place.n_nationkey).select(
-        F.col("s_suppkey").alias("seller_id"),
-        F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
-        F.col("n_name").alias("seller_city"),
-        F.col("r_code").alias("seller_state"),
+    suppliers = table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "nationkey")
+    return suppliers.join(_located(spark, sf_dir), "nationkey").selectExpr(
+        "s_suppkey AS seller_id",
+        "zip AS seller_zip_code_prefix",
+        "city AS seller_city",
+        "state AS seller_state",
     )
 
 
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = table(spark, sf_dir, "part").select(F.col("p_type").alias("product_category_name"))
-    label = F.coalesce(
-        *[F.when(F.col("product_category_name") == raw, F.lit(name)) for raw, name in TRANSLATION.items()]
-    )
+    labels = " ".join(f"WHEN '{raw}' THEN '{name}'" for raw, name in TRANSLATION.items())
     return (
-        kinds.filter(F.col("product_category_name").isin(*TRANSLATION))
+        table(spark, sf_dir, "part")
+        .selectExpr("p_type AS product_category_name", f"CASE p_type {labels} END AS product_category_name_english")
+        .filter("product_category_name_english IS NOT NULL")
         .distinct()
-        .withColumn("product_category_name_english", label)
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 40 != 0, F.col("p_type")).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        F.length("p_brand").alias("product_description_lenght"),
-        (F.col("p_partkey") % 6).cast("int").alias("product_photos_qty"),
-        F.col("p_retailprice").alias("product_weight_g"),
-        F.col("p_size").cast("double").alias("product_length_cm"),
-        (F.col("p_size") * 2).cast("double").alias("product_height_cm"),
-        F.when(F.col("p_partkey") % 50 != 0, (F.col("p_size") + 1).cast("double")).alias("product_width_cm"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "CASE WHEN p_partkey % 40 <> 0 THEN p_type END AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "length(p_brand) AS product_description_lenght",
+        "int(p_partkey % 6) AS product_photos_qty",
+        "p_retailprice AS product_weight_g",
+        "double(p_size) AS product_length_cm",
+        "double(p_size * 2) AS product_height_cm",
+        "CASE WHEN p_partkey % 50 <> 0 THEN double(p_size + 1) END AS product_width_cm",
     )
 
 
+def _after(start: str, days: str = "0", hours: str = "0") -> str:
+    return f"({start} + make_dt_interval(int({days}), int({hours})))"
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    delivered = (F.col("o_orderstatus") == "F") & (key % 50 != 0)
-    purchase = _shift(day, hours=key % 24)
-    return o.select(
-        key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .otherwise("processing")
-        .alias("order_status"),
-        purchase.alias("order_purchase_timestamp"),
-        F.when(key % 20 != 0, _shift(day, hours=key % 24 + key % 3 - 1)).alias("order_approved_at"),
-        F.when(F.col("o_orderstatus") != "P", _shift(day, days=F.lit(2))).alias("order_delivered_carrier_date"),
-        F.when(delivered, _shift(day, days=key * 7 % 40, hours=key * 5 % 24)).alias("order_delivered_customer_date"),
-        _shift(day, days=F.lit(24)).alias("order_estimated_delivery_date"),
+    key, day = "o_orderkey", "o_orderdate"
+    return table(spark, sf_dir, "orders").selectExpr(
+        f"{key} AS order_id",
+        "o_custkey AS customer_id",
+        "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'processing' END AS order_status",
+        f"{_after(day, hours=f'{key} % 24')} AS order_purchase_timestamp",
+        f"CASE WHEN {key} % 20 <> 0 THEN {_after(day, hours=f'{key} % 24 + {key} % 3 - 1')} END AS order_approved_at",
+        f"CASE WHEN o_orderstatus <> 'P' THEN {_after(day, days='2')} END AS order_delivered_carrier_date",
+        f"CASE WHEN o_orderstatus = 'F' AND {key} % 50 <> 0"
+        f" THEN {_after(day, f'{key} * 7 % 40', f'{key} * 5 % 24')} END AS order_delivered_customer_date",
+        f"{_after(day, days='24')} AS order_estimated_delivery_date",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast(PRICE)
-    tax = F.col("l_tax").cast("decimal(4,2)")
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        price.alias("price"),
-        (price * tax).cast(PRICE).alias("freight_value"),
+    price = f"cast(l_extendedprice AS {PRICE})"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        f"{price} AS price",
+        f"cast({price} * cast(l_tax AS decimal(4,2)) AS {PRICE}) AS freight_value",
     )
 
 
 def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No payment for some orders, two parts (a quarter and the rest) for others."""
-    key = F.col("o_orderkey")
-    total = F.col("o_totalprice").cast(PRICE)
-    quarter = (total * F.lit("0.25").cast("decimal(3,2)")).cast(PRICE)
-    split = key % 4 == 0
-    parts = F.when(
-        split,
-        F.array(
-            F.struct(F.lit(1).alias("seq"), quarter.alias("value")),
-            F.struct(F.lit(2).alias("seq"), (total - quarter).cast(PRICE).alias("value")),
-        ),
-    ).otherwise(F.array(F.struct(F.lit(1).alias("seq"), total.alias("value"))))
-    kind = F.element_at(F.array(*[F.lit(t) for t in PAYMENT_TYPES]), ((key + F.col("part.seq") - 1) % 5 + 1).cast("int"))
+    kinds = ", ".join(f"'{t}'" for t in PAYMENT_TYPES)
     return (
         table(spark, sf_dir, "orders")
-        .filter(key % 97 != 0)
-        .select("o_orderkey", F.explode(parts).alias("part"))
-        .select(
-            key.alias("order_id"),
-            F.col("part.seq").alias("payment_sequential"),
-            kind.alias("payment_type"),
-            (key % 12).cast("int").alias("payment_installments"),
-            F.col("part.value").alias("payment_value"),
+        .filter("o_orderkey % 97 <> 0")
+        .selectExpr("o_orderkey", f"cast(o_totalprice AS {PRICE}) AS total")
+        .selectExpr("*", f"cast(total * cast(0.25 AS decimal(3,2)) AS {PRICE}) AS quarter")
+        .selectExpr(
+            "o_orderkey",
+            f"posexplode(CASE WHEN o_orderkey % 4 = 0 THEN array(quarter, cast(total - quarter AS {PRICE}))"
+            " ELSE array(total) END) AS (part, payment_value)",
+        )
+        .selectExpr(
+            "o_orderkey AS order_id",
+            "part + 1 AS payment_sequential",
+            f"array({kinds})[int((o_orderkey + part) % {len(PAYMENT_TYPES)})] AS payment_type",
+            "int(o_orderkey % 12) AS payment_installments",
+            "payment_value",
         )
     )
 
 
 def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """None for every tenth order, two for some; a review id may serve two orders."""
-    key = F.col("o_orderkey")
-    numbers = F.when(key % 50 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    created = _shift(F.col("o_orderdate"), days=F.lit(30) + F.col("n"))
+    created = _after("o_orderdate", days="30 + n")
     return (
         table(spark, sf_dir, "orders")
-        .filter(key % 10 != 0)
-        .select("o_orderkey", "o_orderdate", "o_orderpriority", F.explode(numbers).alias("n"))
-        .select(
-            F.when(key % 250 == 2, key + 1).otherwise(key).alias("review_id"),
-            key.alias("order_id"),
-            (F.lit(1) + (key + F.col("n") * 3) % 5).cast("int").alias("review_score"),
-            F.when(key % 8 == 0, F.col("o_orderpriority")).alias("review_comment_title"),
-            F.when(key % 3 == 0, F.concat(F.lit("order "), key.cast("string"))).alias("review_comment_message"),
-            created.alias("review_creation_date"),
-            _shift(created, hours=key % 72).alias("review_answer_timestamp"),
+        .filter("o_orderkey % 10 <> 0")
+        .selectExpr(
+            "o_orderkey", "o_orderdate", "o_orderpriority",
+            "explode(CASE WHEN o_orderkey % 50 = 1 THEN array(0, 1) ELSE array(0) END) AS n",
+        )
+        .selectExpr(
+            "CASE WHEN o_orderkey % 250 = 2 THEN o_orderkey + 1 ELSE o_orderkey END AS review_id",
+            "o_orderkey AS order_id",
+            "int(1 + (o_orderkey + n * 3) % 5) AS review_score",
+            "CASE WHEN o_orderkey % 8 = 0 THEN o_orderpriority END AS review_comment_title",
+            "CASE WHEN o_orderkey % 3 = 0 THEN concat('order ', o_orderkey) END AS review_comment_message",
+            f"{created} AS review_creation_date",
+            f"{_after(created, hours='o_orderkey % 72')} AS review_answer_timestamp",
         )
     )
 

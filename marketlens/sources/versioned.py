@@ -7,12 +7,14 @@ A failed load leaves the previous version in place.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-_LOG_SCHEMA = "version string, committed_at bigint, tables array<string>"
+# The log keeps every table's schema, so opening a version reads no file footers.
+_LOG_SCHEMA = "version string, committed_at bigint, tables map<string,string>"
 
 
 def new_version_path(root: str) -> tuple[str, str]:
@@ -20,12 +22,13 @@ def new_version_path(root: str) -> tuple[str, str]:
     return version, f"{root}/versions/{version}"
 
 
-def commit_version(spark: SparkSession, root: str, version: str, tables: list[str]) -> None:
-    entry = spark.createDataFrame([(version, time.time_ns(), tables)], _LOG_SCHEMA)
+def commit_version(spark: SparkSession, root: str, version: str, tables: dict[str, DataFrame]) -> None:
+    schemas = {name: df.schema.json() for name, df in tables.items()}
+    entry = spark.createDataFrame([(version, time.time_ns(), schemas)], _LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(f"{root}/_committed")
 
 
-def current_version(spark: SparkSession, root: str) -> tuple[str, list[str]] | None:
+def current_version(spark: SparkSession, root: str) -> tuple[str, dict[str, T.StructType]] | None:
     try:
         log = spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/_committed")
     except Exception as error:  # no commit yet
@@ -33,7 +36,9 @@ def current_version(spark: SparkSession, root: str) -> tuple[str, list[str]] | N
             return None
         raise
     rows = log.orderBy("committed_at", ascending=False).limit(1).collect()
-    return (rows[0].version, list(rows[0].tables)) if rows else None
+    if not rows:
+        return None
+    return rows[0].version, {t: T.StructType.fromJson(json.loads(s)) for t, s in rows[0].tables.items()}
 
 
 def open_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -41,4 +46,4 @@ def open_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     if found is None:
         raise FileNotFoundError(f"no committed version under {root}")
     version, tables = found
-    return {t: spark.read.parquet(f"{root}/versions/{version}/{t}") for t in tables}
+    return {t: spark.read.schema(schema).parquet(f"{root}/versions/{version}/{t}") for t, schema in tables.items()}
