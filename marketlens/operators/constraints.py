@@ -45,11 +45,12 @@ def _unique_check(table: str, df: DataFrame, key: tuple[str, ...]) -> DataFrame:
 def foreign_key_orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """One row: how many child rows point at no parent.
 
-    Child keys are counted per value first, so a value shared by a third of the
-    rows is one row in the join.
+    Both sides shrink to one row per value first, so a value shared by a third of
+    the rows is one row in the join.
     """
     keys = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).agg(F.count(F.lit(1)).alias("_rows"))
-    missing = keys.join(parent.select(F.col(parent_key).alias("_ref")), "_ref", "left_anti")
+    known = parent.select(F.col(parent_key).alias("_ref")).distinct()
+    missing = keys.join(known, "_ref", "left_anti")
     return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations"))
 
 

@@ -23,7 +23,7 @@ def first_per_key(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataFrame:
-    """Existing rows win; new keys are added once each."""
+    """Existing rows win; new keys are added once each.  ``existing`` holds each key once."""
     return existing.unionByName(new_keys_only(existing, incoming, *keys))
 
 

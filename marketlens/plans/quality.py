@@ -31,9 +31,9 @@ class QualityReport:
         return self.rules.filter("violations_count > 0")
 
     def write(self, folder: str) -> None:
-        write_report(self.missing, folder, "missing_values_report", ["Table", "Column"])
-        write_report(self.duplicates, folder, "duplicate_rows_report", ["Table"])
-        write_report(self.rules, folder, "value_constraints_report", ["Rule Name"])
+        write_report(self.missing, folder, "missing_values_report", ["table_name", "column_name"])
+        write_report(self.duplicates, folder, "duplicate_rows_report", ["table_name"])
+        write_report(self.rules, folder, "value_constraints_report", ["table_name", "rule_name"])
 
 
 def quality_report(tables: Mapping[str, DataFrame], schema: str = "staging") -> QualityReport:

@@ -381,7 +381,7 @@ def q_csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly report written as CSV and read back as text."""
     report = trend.monthly_growth(kpis.monthly_sales_trend(star(spark, sf_dir)))
-    path = write_report(report, scratch_path(spark, "reports"), "monthly_sales_growth", ["Period"])
+    path = write_report(report, scratch_path(spark, "reports"), "monthly_sales_growth", ["period"])
     back = spark.read.option("header", True).csv(path)
     return back.select(
         F.col("Period").alias("period"), "month_name", "total_orders", "total_revenue",
