@@ -10,7 +10,7 @@ from __future__ import annotations
 from marketlens.functions.text import READER_NA_TOKENS
 from marketlens.operators.audits import MAX_DUPLICATE_PERCENT, MAX_MISSING_PERCENT, MIN_ROWS, VALUE_RULES
 from marketlens.plans.segments import OTHER_SEGMENT, SEGMENTS
-from marketlens.schemas import BUSINESS_KEYS, DATASETS, SURROGATE_KEYS, WAREHOUSE_RULES
+from marketlens.schemas import BUSINESS_KEYS, DATASETS, STAGING_SCHEMAS, SURROGATE_KEYS, WAREHOUSE_RULES
 from marketlens.sources.testtables import CALENDAR, PAYMENT_TYPES, TRANSLATION
 
 FIRST_DAY, LAST_DAY = CALENDAR
@@ -592,6 +592,13 @@ def queries() -> dict[str, str]:
             printf('%.2f', total_revenue) AS total_revenue, printf('%.2f', mom_revenue_growth_pct) AS growth,
             printf('%.2f', rolling_avg_3m_revenue) AS rolling
             FROM ({growth("monthly", "year, month, month_name, total_orders", "")})""", MONTHLY),
+        "profile_files": sql(" UNION ALL ".join(
+            f"SELECT '{t}.csv' AS dataset, count(*) AS row_count, {len(c)} AS column_count, "
+            f"{' + '.join(f'(count(*) - count({x}))' for x in c)} AS missing_values, "
+            f"count(*) - count(DISTINCT row({', '.join(c)})) AS duplicate_rows FROM {t}"
+            for t, c in ((t, STAGING_SCHEMAS[t].names) for t in ("geolocation", "order_reviews", "products")))),
+        "sql_over_views": sql(f"""SELECT year, month,
+            {percent("cents", "(SELECT sum(payment_cents) FROM order_payments)")} AS share_pct FROM monthly""", MONTHLY),
         "incremental_ingest": sql("""SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_unique_id,
             customer_zip_code_prefix, customer_city, customer_state FROM dim_customers UNION ALL
             SELECT CAST(-1 - customer_id AS VARCHAR), customer_unique_id, customer_zip_code_prefix, customer_city,

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.functions.dates import elapsed_days
 from marketlens.functions.numeric import exact_ratio, percent
+from marketlens.session import materialize
 
 Star = dict[str, DataFrame]
 
@@ -25,10 +26,26 @@ def revenue_per_order(star: Star) -> DataFrame:
 
 def orders_with_revenue(star: Star, *columns: str) -> DataFrame:
     """One row per order; revenue is NULL for an order without payments."""
+    if ORDER_REVENUE in star:
+        return star[ORDER_REVENUE].select("order_id", *columns, "order_revenue")
     orders = star["fact_orders"].select("order_id", *columns)
     return orders.join(revenue_per_order(star), "order_id", "left")
 
 
+# Columns the views combine with revenue.
+ORDER_REVENUE = "order_revenue"
+_REVENUE_COLUMNS = ("order_status", "customer_key", "purchase_timestamp", "purchase_date_key")
+
+
+def with_order_revenue(star: Star) -> Star:
+    """Join orders and payments once and store the narrow result.
+
+    The places, months, days, customers and state series all start from that join;
+    with it stored none of them shuffles orders or payments by order again.
+    """
+    return {**star, ORDER_REVENUE: materialize(orders_with_revenue(star, *_REVENUE_COLUMNS), "order-revenue")}
+
+
 def reviews_per_order(star: Star, dedupe_reviews: bool = False) -> DataFrame:
     """Review count and score totals of an order.
 

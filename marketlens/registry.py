@@ -17,9 +17,10 @@ from marketlens.operators.timeseries import lag_features
 from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS, SURROGATE_KEYS
-from marketlens.session import materialize, scratch_path
+from marketlens.session import list_path, scratch_path
 from marketlens.sources import testtables
-from marketlens.sources.csv_files import ingest, open_staging
+from marketlens.sources.catalog import register_views
+from marketlens.sources.csv_files import ingest, open_staging, profile_files
 from marketlens.sources.reports import write_report
 from marketlens.streaming.ingest import read_increments, start_ingest
 
@@ -41,10 +42,11 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     A folder whose files have changed is loaded again.
     """
-    state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), testtables.listing(spark, sf_dir))
+    state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), list_path(spark, sf_dir))
     if state not in _published:
         root = scratch_path(spark, "warehouse")
-        _published[state] = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
+        published = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
+        _published[state] = kpis.with_order_revenue(published)
     return _published[state]
 
 
@@ -389,6 +391,25 @@ def q_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every CSV file of a folder profiled: here one file each of reviews, products and places."""
+    folder = scratch_path(spark, "raw")
+    for table in ("order_reviews", "products", "geolocation"):
+        rows = testtables.STAGING_BUILDERS[table](spark, sf_dir)
+        rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{table}.csv")
+    return profile_files(spark, folder)
+
+
+def q_sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered views queried by name: each month's share of the total revenue."""
+    register_views(star(spark, sf_dir))
+    return spark.sql("""
+        SELECT year, month,
+               double(round(total_revenue * 100 / (SELECT total_revenue FROM v_kpi_overview), 2)) AS share_pct
+        FROM v_monthly_sales_trend
+    """)
+
+
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers delivered twice as CSV, the second time with another city: the first row stays."""
     dataset, folder = DATASETS["customers"], scratch_path(spark, "delivery")
@@ -462,5 +483,7 @@ QUERIES: dict[str, Query] = {
     "csv_ingest": q_csv_ingest,
     "csv_reviews": q_csv_reviews,
     "report_csv": q_report_csv,
+    "profile_files": q_profile_files,
+    "sql_over_views": q_sql_over_views,
     "incremental_ingest": q_incremental_ingest,
 }

@@ -50,6 +50,13 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK.setdefault(context.applicationId, tempfile.mkdtemp(prefix="marketlens-"))
 
 
+def list_path(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of the entries of a folder (or of one file), sorted by name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from marketlens.functions.text import clean_text, coerce, reader_na_to_null, strip_leading_zeros
 from marketlens.operators.audits import dataset_profile
 from marketlens.schemas import DATASETS, Dataset
+from marketlens.session import list_path
 from marketlens.sources.versioned import commit_version, new_version_path, open_current
 
 CORRUPT = "_corrupt_record"
@@ -130,12 +131,12 @@ def open_staging(spark: SparkSession, root: str, datasets: Mapping[str, Dataset]
 
 
 def profile_files(spark: SparkSession, raw_dir: str, multiline: bool = True) -> DataFrame:
-    """Profile every CSV file of a folder, in name order.
+    """Profile every ``*.csv`` entry of a folder, in name order.
 
-    Cells that a reader takes as missing count as missing; text is not stripped.
+    An entry is a file, or a folder of files that belong together.  Cells that a
+    reader takes as missing count as missing; text is not stripped.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(raw_dir).select("path")
-    paths = sorted(r.path for r in listing.collect())  # file names only, no contents
+    paths = [path for path, _, _ in list_path(spark, raw_dir) if path.endswith(".csv")]
     if not paths:
         raise FileNotFoundError(f"no CSV file in {raw_dir}")
     frames = {}

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from marketlens.session import list_path
+
 PRICE = "decimal(12,2)"
 
 # Raw category -> label.  Two raw categories stay untranslated on purpose.
@@ -24,17 +26,10 @@ CALENDAR = ("1995-01-01", "2001-12-31")
 _schemas: dict[tuple, T.StructType] = {}
 
 
-def listing(spark: SparkSession, path: str) -> tuple:
-    """Name, size and time of the files at ``path``: changes whenever the data does."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
-    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; its schema is read from a footer once and kept while the files stay the same."""
     path = f"{sf_dir}/{name}.parquet"
-    state = listing(spark, path)
+    state = list_path(spark, path)
     if state not in _schemas:
         _schemas[state] = spark.read.parquet(path).schema
     return spark.read.schema(_schemas[state]).parquet(path)
