@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -104,18 +105,21 @@ def ingest(
     ``files`` overrides the path of a dataset under ``raw_dir``.
     """
     paths = dict({key: d.file_pattern for key, d in datasets.items()} if files is None else files)
-    results = []
-    for key, name in paths.items():
+
+    def load(key: str) -> tuple:
         dataset = datasets.get(key)
         if dataset is None:
-            results.append((key, None, None, None, None, "unmapped", f"no table for dataset {key!r}"))
-            continue
+            return key, None, None, None, None, "unmapped", f"no table for dataset {key!r}"
         try:
-            done = load_dataset(spark, f"{raw_dir}/{name}", dataset, root, legacy_zip)
-            results.append((key, dataset.table, done["rows_loaded"], done["rejected_cells"],
-                            done["malformed_rows"], "loaded", None))
+            done = load_dataset(spark, f"{raw_dir}/{paths[key]}", dataset, root, legacy_zip)
         except Exception as error:
-            results.append((key, dataset.table, None, None, None, "failed", str(error).split("\n")[0]))
+            return key, dataset.table, None, None, None, "failed", str(error).split("\n")[0]
+        return (key, dataset.table, done["rows_loaded"], done["rejected_cells"], done["malformed_rows"],
+                "loaded", None)
+
+    # Datasets do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        results = list(pool.map(load, paths))
     return spark.createDataFrame(results, _RESULT_SCHEMA)
 
 
