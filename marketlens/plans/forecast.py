@@ -8,8 +8,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
+from marketlens.functions.numeric import as_money, total_cents
 from marketlens.operators.timeseries import lag_features, mark_last, weekly_totals
-from marketlens.plans.kpis import Star, daily_revenue, orders_with_revenue
+from marketlens.plans.kpis import Star, daily_revenue, orders_with_cents
 from marketlens.session import materialize
 
 # The modelled period, the shortest usable history, split and horizon,
@@ -35,9 +36,9 @@ def daily_series(star: Star, by: str | None = None) -> DataFrame:
     day = F.to_date("purchase_timestamp").alias("purchase_date")
     if by == "state":
         per_record = (
-            orders_with_revenue(star, "customer_key", "purchase_timestamp")
+            orders_with_cents(star, "customer_key", "purchase_timestamp")
             .groupBy("customer_key", day)
-            .agg(F.sum("order_revenue").alias("revenue"))
+            .agg(F.sum("cents").alias("cents"))
         )
         sold = per_record.join(star["dim_customers"].select("customer_key", "customer_state"), "customer_key")
         series = F.col("customer_state")
@@ -51,17 +52,17 @@ def daily_series(star: Star, by: str | None = None) -> DataFrame:
             ),
         }[by]
         # Items shrink to (order, key) first, then to (key, day); the dimension is joined last.
-        lines = star["fact_order_items"].groupBy("order_id", key).agg(F.sum("price").alias("price"))
+        lines = star["fact_order_items"].groupBy("order_id", key).agg(total_cents("price").alias("cents"))
         per_key = (
             lines.join(star["fact_orders"].select("order_id", day), "order_id")
             .groupBy(key, "purchase_date")
-            .agg(F.sum("price").alias("revenue"))
+            .agg(F.sum("cents").alias("cents"))
         )
         sold = per_key.join(star[dimension], key)
     return (
         sold.filter(series.isNotNull())
         .groupBy(series.cast("string").alias("series"), "purchase_date")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(as_money(F.sum("cents")).alias("revenue"))
     )
 
 

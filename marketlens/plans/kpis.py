@@ -14,27 +14,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from marketlens.functions.dates import elapsed_days
-from marketlens.functions.numeric import exact_ratio, percent
+from marketlens.functions.numeric import as_money, exact_ratio, percent, total_cents, wide_product
 from marketlens.session import materialize
 
 Star = dict[str, DataFrame]
 
 
-def revenue_per_order(star: Star) -> DataFrame:
-    return star["fact_payments"].groupBy("order_id").agg(F.sum("payment_value").alias("order_revenue"))
+# Columns the views combine with revenue, and the name the stored join has in a star.
+_REVENUE_COLUMNS = ("order_status", "customer_key", "purchase_timestamp", "purchase_date_key")
+ORDER_REVENUE = "order_revenue"
 
 
-def orders_with_revenue(star: Star, *columns: str) -> DataFrame:
-    """One row per order; revenue is NULL for an order without payments."""
+def orders_with_cents(star: Star, *columns: str) -> DataFrame:
+    """One row per order with its payments in cents; NULL for an order without payments."""
     if ORDER_REVENUE in star:
-        return star[ORDER_REVENUE].select("order_id", *columns, "order_revenue")
-    orders = star["fact_orders"].select("order_id", *columns)
-    return orders.join(revenue_per_order(star), "order_id", "left")
+        return star[ORDER_REVENUE].select("order_id", *columns, "cents")
+    paid = star["fact_payments"].groupBy("order_id").agg(total_cents("payment_value").alias("cents"))
+    return star["fact_orders"].select("order_id", *columns).join(paid, "order_id", "left")
 
 
-# Columns the views combine with revenue.
-ORDER_REVENUE = "order_revenue"
-_REVENUE_COLUMNS = ("order_status", "customer_key", "purchase_timestamp", "purchase_date_key")
+def orders_with_revenue(star: Star, *columns: str) -> DataFrame:
+    return orders_with_cents(star, *columns).select(
+        "order_id", *columns, as_money(F.col("cents")).alias("order_revenue")
+    )
 
 
 def with_order_revenue(star: Star) -> Star:
@@ -43,7 +45,7 @@ def with_order_revenue(star: Star) -> Star:
     The places, months, days, customers and state series all start from that join;
     with it stored none of them shuffles orders or payments by order again.
     """
-    return {**star, ORDER_REVENUE: materialize(orders_with_revenue(star, *_REVENUE_COLUMNS), "order-revenue")}
+    return {**star, ORDER_REVENUE: materialize(orders_with_cents(star, *_REVENUE_COLUMNS), "order-revenue")}
 
 
 def reviews_per_order(star: Star, dedupe_reviews: bool = False) -> DataFrame:
@@ -72,7 +74,7 @@ def kpi_overview(star: Star, statuses: Sequence[str] | None = None) -> DataFrame
 
     ``statuses`` limits which orders make a repeat customer; by default all do.
     """
-    revenue = star["fact_payments"].agg(F.sum("payment_value"))
+    revenue = star["fact_payments"].agg(as_money(total_cents("payment_value")))
     people = star["dim_customers"].agg(F.countDistinct("customer_unique_id"))
     measured = (F.col("order_status") == "delivered") & F.col("delivery_delay_days").isNotNull()
     totals = star["fact_orders"].agg(
@@ -107,9 +109,9 @@ def orders_per_person(star: Star, statuses: Sequence[str] | None = None) -> Data
 
 
 def _per_customer_record(star: Star) -> DataFrame:
-    return orders_with_revenue(star, "customer_key", "purchase_timestamp").groupBy("customer_key").agg(
+    return orders_with_cents(star, "customer_key", "purchase_timestamp").groupBy("customer_key").agg(
         F.count("order_id").alias("_orders"),
-        F.sum("order_revenue").alias("_revenue"),
+        F.sum("cents").alias("_cents"),
         F.max("purchase_timestamp").alias("_last"),
     )
 
@@ -122,7 +124,7 @@ def geographic_performance(star: Star) -> DataFrame:
         .groupBy("customer_state", "customer_city")
         .agg(
             F.sum("_orders").alias("total_orders"),
-            F.coalesce(F.sum("_revenue"), F.lit(0).cast("decimal(10,2)")).alias("total_revenue"),
+            as_money(F.coalesce(F.sum("_cents"), F.lit(0))).alias("total_revenue"),
         )
         .withColumn("average_order_value", exact_ratio(F.col("total_revenue"), F.col("total_orders")))
     )
@@ -130,12 +132,17 @@ def geographic_performance(star: Star) -> DataFrame:
 
 def _repeated(value: str) -> Column:
     """``value`` as often as the reviews of its order repeat it; once when there are none."""
-    return F.col(value) * F.coalesce("review_rows", F.lit(1))
+    return wide_product(F.col(value), F.coalesce("review_rows", F.lit(1)))
+
+
+def _scores(value: str) -> Column:
+    """A review total of the order, once for each of its items."""
+    return F.col("_items").cast("decimal(19,0)") * F.col(value)
 
 
 def seller_performance(star: Star, dedupe_reviews: bool = False) -> DataFrame:
     lines = star["fact_order_items"].groupBy("order_id", "seller_key").agg(
-        F.count(F.lit(1)).alias("_items"), F.sum("price").alias("_price")
+        F.count(F.lit(1)).alias("_items"), total_cents("price").alias("_cents")
     )
     orders = star["fact_orders"].select("order_id", "delivery_delay_days")
     delay = F.col("delivery_delay_days")
@@ -145,9 +152,9 @@ def seller_performance(star: Star, dedupe_reviews: bool = False) -> DataFrame:
         .groupBy("seller_key")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            F.sum(_repeated("_price")).alias("total_item_revenue"),
-            F.sum(F.col("_items") * F.col("score_sum")).alias("_score"),
-            F.sum(F.col("_items") * F.col("score_count")).alias("_scored"),
+            as_money(F.sum(_repeated("_cents"))).alias("total_item_revenue"),
+            F.sum(_scores("score_sum")).alias("_score"),
+            F.sum(_scores("score_count")).alias("_scored"),
             F.sum(_repeated("_items") * delay).alias("_delay"),
             F.sum(F.when(delay.isNotNull(), _repeated("_items"))).alias("_delayed"),
         )
@@ -167,24 +174,24 @@ def seller_performance(star: Star, dedupe_reviews: bool = False) -> DataFrame:
 def category_profitability(star: Star, dedupe_reviews: bool = False) -> DataFrame:
     """Per (label, raw name) pair, so one label may appear more than once."""
     lines = star["fact_order_items"].groupBy("order_id", "product_key").agg(
-        F.count(F.lit(1)).alias("_items"), F.sum("price").alias("_price")
+        F.count(F.lit(1)).alias("_items"), total_cents("price").alias("_cents")
     )
     pair = ["product_category_name_english", "product_category_name"]
     products = star["dim_products"].select("product_key", *pair)
     per_order = (
         lines.join(products, "product_key")
         .groupBy("order_id", *pair)
-        .agg(F.sum("_items").alias("_items"), F.sum("_price").alias("_price"))
+        .agg(F.sum("_items").alias("_items"), F.sum("_cents").alias("_cents"))
     )
     return (
         per_order.join(reviews_per_order(star, dedupe_reviews), "order_id", "left")
         .groupBy(*pair)
         .agg(
             F.count("order_id").alias("total_orders"),
-            F.sum(_repeated("_items")).alias("items_sold"),
-            F.sum(_repeated("_price")).alias("total_revenue"),
-            F.sum(F.col("_items") * F.col("score_sum")).alias("_score"),
-            F.sum(F.col("_items") * F.col("score_count")).alias("_scored"),
+            F.sum(_repeated("_items")).cast("long").alias("items_sold"),
+            as_money(F.sum(_repeated("_cents"))).alias("total_revenue"),
+            F.sum(_scores("score_sum")).alias("_score"),
+            F.sum(_scores("score_count")).alias("_scored"),
         )
         .select(
             F.coalesce(*pair, F.lit("unknown")).alias("product_category"),
@@ -200,26 +207,32 @@ def category_profitability(star: Star, dedupe_reviews: bool = False) -> DataFram
 def payment_distribution(star: Star) -> DataFrame:
     """Distinct orders per type come from (type, order) groups, not from a distinct list."""
     payments = star["fact_payments"]
-    total = payments.agg(F.sum("payment_value"))
+    total = payments.agg(total_cents("payment_value"))
     return (
         payments.groupBy("payment_type", "order_id")
-        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("payment_value").alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_rows"), total_cents("payment_value").alias("_cents"))
         .groupBy("payment_type")
         .agg(
             F.count("order_id").alias("total_orders"),
             F.sum("_rows").alias("transactions_count"),
-            F.sum("_value").alias("total_payment_value"),
+            F.sum("_cents").alias("_cents"),
+        )
+        .select(
+            "payment_type",
+            "total_orders",
+            "transactions_count",
+            as_money(F.col("_cents")).alias("total_payment_value"),
+            percent(F.col("_cents"), total.scalar()).alias("value_percentage"),
         )
-        .withColumn("value_percentage", percent(F.col("total_payment_value"), total.scalar()))
     )
 
 
 def daily_totals(star: Star) -> DataFrame:
     """Orders and revenue per calendar day: the base of the daily and monthly series."""
     per_day = (
-        orders_with_revenue(star, "purchase_date_key")
+        orders_with_cents(star, "purchase_date_key")
         .groupBy("purchase_date_key")
-        .agg(F.count("order_id").alias("_orders"), F.sum("order_revenue").alias("_revenue"))
+        .agg(F.count("order_id").alias("_orders"), F.sum("cents").alias("_cents"))
     )
     return per_day.join(F.broadcast(star["dim_date"]), F.col("purchase_date_key") == F.col("date_key"))
 
@@ -229,13 +242,13 @@ def monthly_sales_trend(star: Star) -> DataFrame:
     return (
         daily_totals(star)
         .groupBy("year", "month", "month_name")
-        .agg(F.sum("_orders").alias("total_orders"), F.sum("_revenue").alias("total_revenue"))
+        .agg(F.sum("_orders").alias("total_orders"), as_money(F.sum("_cents")).alias("total_revenue"))
         .orderBy("year", "month")
     )
 
 
 def daily_revenue(star: Star) -> DataFrame:
-    return daily_totals(star).select(F.col("date").alias("purchase_date"), F.col("_revenue").alias("revenue")).orderBy(
+    return daily_totals(star).select(F.col("date").alias("purchase_date"), as_money(F.col("_cents")).alias("revenue")).orderBy(
         "purchase_date"
     )
 
@@ -250,7 +263,7 @@ def customer_rfm(star: Star) -> DataFrame:
         .agg(
             F.max("_last").alias("_last"),
             F.sum("_orders").alias("frequency"),
-            F.coalesce(F.sum("_revenue"), F.lit(0).cast("decimal(10,2)")).alias("monetary_value"),
+            as_money(F.coalesce(F.sum("_cents"), F.lit(0))).alias("monetary_value"),
         )
         .select(
             "customer_unique_id",
