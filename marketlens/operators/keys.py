@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from marketlens.operators.dedupe import new_keys_only
 from marketlens.session import materialize
 
 # ``monotonically_increasing_id`` holds the task number above this bit and the
@@ -41,3 +42,11 @@ def dense_keys(df: DataFrame, key: str, start: int = 0) -> DataFrame:
         .join(F.broadcast(offsets), "_task")
         .select((F.col("_offset") + row + start + 1).alias(key), *df.columns)
     )
+
+
+def extend_dimension(existing: DataFrame, incoming: DataFrame, natural_id: str, key: str) -> DataFrame:
+    """Insert-or-ignore into a keyed dimension: new members continue the key sequence."""
+    columns = [c for c in existing.columns if c != key]
+    last = existing.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+    fresh = new_keys_only(existing, incoming.select(*columns), natural_id)
+    return existing.unionByName(dense_keys(fresh, key, last))

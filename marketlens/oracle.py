@@ -506,6 +506,9 @@ def queries() -> dict[str, str]:
         "insert_or_ignore": sql("""SELECT * FROM dim_sellers UNION ALL
             SELECT customer_id, customer_zip_code_prefix, customer_city, customer_state FROM dim_customers
             WHERE customer_id NOT IN (SELECT seller_id FROM dim_sellers)"""),
+        "extended_dimension": sql("""SELECT count(*) AS row_count, count(*) AS key_count, count(*) AS last_key,
+            (SELECT count(*) FROM dim_sellers) AS kept_keys
+            FROM (SELECT seller_id FROM dim_sellers UNION SELECT customer_id FROM dim_customers)"""),
         "surrogate_keys": "SELECT count(*) AS row_count, count(*) AS key_count, 1 AS first_key, count(*) AS last_key FROM lineitem",
         "published_tables": sql(_table_counts()),
         "constraints": sql(_constraint_rows()),

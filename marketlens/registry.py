@@ -12,7 +12,7 @@ from marketlens.operators import audits
 from marketlens.operators.accounting import load_accounting
 from marketlens.operators.constraints import constraint_report, foreign_key_orphans
 from marketlens.operators.dedupe import insert_or_ignore
-from marketlens.operators.keys import dense_keys
+from marketlens.operators.keys import dense_keys, extend_dimension
 from marketlens.operators.timeseries import lag_features
 from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.quality import quality_report
@@ -106,15 +106,29 @@ def q_fact_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.fact_reviews(testtables.order_reviews(spark, sf_dir))
 
 
+def _customers_as_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testtables.customers(spark, sf_dir).selectExpr(
+        "customer_id AS seller_id", "customer_zip_code_prefix AS seller_zip_code_prefix",
+        "customer_city AS seller_city", "customer_state AS seller_state",
+    )
+
+
 def q_insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers offered to the seller dimension: known ids keep their row."""
-    incoming = testtables.customers(spark, sf_dir).select(
-        F.col("customer_id").alias("seller_id"),
-        F.col("customer_zip_code_prefix").alias("seller_zip_code_prefix"),
-        F.col("customer_city").alias("seller_city"),
-        F.col("customer_state").alias("seller_state"),
+    return insert_or_ignore(q_dim_sellers(spark, sf_dir), _customers_as_sellers(spark, sf_dir), "seller_id")
+
+
+def q_extended_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same offer to the stored dimension: old keys stay, new ones follow without a gap."""
+    stored = star(spark, sf_dir)["dim_sellers"]
+    extended = extend_dimension(stored, _customers_as_sellers(spark, sf_dir), "seller_id", "seller_key")
+    kept = extended.join(stored.select("seller_id", F.col("seller_key").alias("_old")), "seller_id", "left")
+    return kept.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.countDistinct("seller_key").alias("key_count"),
+        F.max("seller_key").alias("last_key"),
+        F.count_if(F.col("_old") == F.col("seller_key")).alias("kept_keys"),
     )
-    return insert_or_ignore(q_dim_sellers(spark, sf_dir), incoming, "seller_id")
 
 
 def q_surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,10 +346,10 @@ def q_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_safe_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as text; the broken ones become NULL instead of failing the load."""
     events = testtables.table(spark, sf_dir, "events")
-    shown = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    shown = F.substring(F.col("ts").cast("string"), 1, 19)
     raw = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("at "), shown))
-        .when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM-dd"))
+        .when(F.col("event_type") == "view", F.substring(shown, 1, 10))
         .otherwise(F.concat(F.lit(" "), shown))
     )
     return events.select("event_id", text.safe_timestamp(raw).alias("event_time"))
@@ -435,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "fact_payments": q_fact_payments,
     "fact_reviews": q_fact_reviews,
     "insert_or_ignore": q_insert_or_ignore,
+    "extended_dimension": q_extended_dimension,
     "surrogate_keys": q_surrogate_keys,
     "published_tables": q_published_tables,
     "constraints": q_constraints,
