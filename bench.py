@@ -1,8 +1,8 @@
 """Times the headline queries on ``$BENCH_SF_DIR`` with ``local[$BENCH_CPUS]``.
 
 Prints one JSON line.  Every query is run to the end into a no-op sink, once to
-warm up the JVM and then timed; ``publish`` is the full warehouse load all KPI
-queries read from, timed as its own entry.
+warm up the JVM and then timed.  ``publish`` is the full warehouse load that the
+KPI queries read from; it runs first and once, so its time includes JVM start-up.
 """
 
 from __future__ import annotations
