@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, quality_rules
+from . import bpe, chat_format, packing, quality_rules
 
 OPERATORS = {
+    "op2_bpe": bpe,
     "op8_chat_format": chat_format,
     "op9_quality_rules": quality_rules,
+    "op10_packing": packing,
 }
 
 
