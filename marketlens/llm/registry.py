@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, packing, quality_rules
+from . import bpe, chat_format, language_id, packing, quality_rules
 
 OPERATORS = {
     "op2_bpe": bpe,
+    "op3_language_id": language_id,
     "op8_chat_format": chat_format,
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
