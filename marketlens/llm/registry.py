@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, language_id, packing, quality_rules
+from . import bpe, chat_format, language_id, order_minhash, packing, quality_rules
 
 OPERATORS = {
+    "op1_order_minhash": order_minhash,
     "op2_bpe": bpe,
     "op3_language_id": language_id,
     "op8_chat_format": chat_format,
