@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, knn_join, language_id, order_minhash, packing, quality_rules, repeated_windows
+from . import bpe, chat_format, knn_join, language_id, order_minhash, packing, quality_rules, repeated_windows, url_filters
 
 OPERATORS = {
     "op1_order_minhash": order_minhash,
     "op2_bpe": bpe,
     "op3_language_id": language_id,
+    "op4_url_filters": url_filters,
     "op5_repeated_windows": repeated_windows,
     "op6_knn_join": knn_join,
     "op8_chat_format": chat_format,
