@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, knn_join, language_id, order_minhash, packing, quality_rules, repeated_windows, url_filters
+from . import bpe, chat_format, html_extract, knn_join, language_id, order_minhash, packing, quality_rules, repeated_windows, url_filters
 
 OPERATORS = {
     "op1_order_minhash": order_minhash,
@@ -11,6 +11,7 @@ OPERATORS = {
     "op4_url_filters": url_filters,
     "op5_repeated_windows": repeated_windows,
     "op6_knn_join": knn_join,
+    "op7_html_extract": html_extract,
     "op8_chat_format": chat_format,
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
