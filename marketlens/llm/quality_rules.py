@@ -104,8 +104,12 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def keep_good(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``df`` that pass every rule, with their own columns."""
-    return judge(df, text).filter("kept").select("row.*")
+    """The rows of ``df`` that pass every rule, with their own columns.
+
+    The row number keeps the filter above the projections: below them, each of its terms would compute its own signals.
+    """
+    numbered = judge(df, text).withColumn("_n", F.monotonically_increasing_id())
+    return numbered.filter(F.col("kept") & (F.col("_n") >= 0)).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
