@@ -53,7 +53,7 @@ class Rolling:
         if base not in _POWERS or len(_POWERS[base][0]) < len(data):
             both = []
             for b in (base, pow(base, -1, 1 << 64)):
-                up = np.full(max(len(data), 2 * CHUNK), b, U)
+                up = np.full(max(len(data), CHUNK + CHUNK // 4), b, U)
                 up[0] = 1
                 both.append(np.multiply.accumulate(up))
             _POWERS[base] = tuple(both)
@@ -144,10 +144,11 @@ def _rows(node, number, key, check, pos, own, more) -> pa.RecordBatch:
         ["route", "key", "check", "node", "pos", "own", "more", "known"])
 
 
-def sorted_pass(rows: DataFrame, every: bool = False) -> DataFrame:
+def sorted_pass(rows: DataFrame, every: bool = False, then=None) -> DataFrame:
     """``node, pos, own, more, key`` of the rows whose digits are found at two places.
 
     With ``every``, all rows, whether theirs are (``again``), and one row of each digit that is (``head``).
+    ``then`` turns the batches found into rows of the next pass, in the same task.
     """
     names = ["node", "pos", "own", "more", "key"]
 
@@ -174,6 +175,8 @@ def sorted_pass(rows: DataFrame, every: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([c.filter(keep) for c in out], names)
 
     sorted_rows = rows.repartition("route").sortWithinPartitions("key", "check")
+    if then:
+        return sorted_rows.mapInArrow(lambda batches: then(run(batches)), ROW)
     return sorted_rows.mapInArrow(run, "node binary, pos int, own int, more long, key long" + ", again boolean, head boolean" * every)
 
 
@@ -207,10 +210,10 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 def _first_pass(docs: DataFrame) -> DataFrame:
     def run(batches):
         seen_all: set[bytes] = set()
-        for batch in batches:
+        for batch in _small(batches, 6_000_000):
             nodes = batch.column("node").to_pylist()
             new = [i for i, x in enumerate(nodes) if not (x in seen_all or seen_all.add(x))]
-            seen_all = set(nodes)  # copies stand together or not: a copy further off sends equal rows once more
+            seen_all = set(nodes)  # a copy further off sends equal rows once more
             texts = [batch.column("text")[i].as_py().encode() for i in new]
             node = batch.column("node").take(pa.array(new, pa.int64()))
             found = list(blocks_of(texts))
@@ -231,7 +234,7 @@ def _encoded(batch: pa.RecordBatch):
     return np.frombuffer(b"".join(texts), np.uint8), size, np.cumsum(size) - size, owner, flat
 
 
-def _small(batches, most: int = 2_000_000):
+def _small(batches, most: int = 400_000):
     """Slices of batches whose texts are not long together, or one row."""
     for batch in batches:
         size = np.array([len(t) for t in batch.column("text").to_pylist()])
@@ -267,19 +270,15 @@ def _second_pass(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, ROW)
 
 
-def _third_pass(rows: DataFrame) -> DataFrame:
-    """The rows that pass 2 left, by all they cover."""
-    def run(batches):
-        for batch in batches:
-            cover = batch.column("more").to_numpy().astype(U)
-            pos = batch.column("pos").to_numpy().astype(np.int64)
-            number = np.arange(len(pos))
-            node = batch.column("node")
-            with np.errstate(over="ignore"):
-                own_key = np.array([hash_node(x) for x in node.to_pylist()], U) + mix(pos.astype(U) + U(7))
-            yield _rows(node, number, np.where(cover == 0, own_key, cover), None, pos, np.zeros(len(pos), np.int64),
-                        batch.column("key").to_numpy())
-    return rows.mapInArrow(run, ROW)
+def _third_pass(batches):
+    """Rows of pass 3 from those that pass 2 left: by all they cover."""
+    for batch in batches:
+        cover = batch.column("more").to_numpy().astype(U)
+        pos = batch.column("pos").to_numpy().astype(np.int64)
+        node = batch.column("node")
+        alone = np.array([hash_node(x) for x in node.to_pylist()], U) + mix(pos.astype(U) + U(7))
+        yield _rows(node, np.arange(len(pos)), np.where(cover == 0, alone, cover), None, pos, np.zeros(len(pos), np.int64),
+                    batch.column("key").to_numpy())
 
 
 def hash_node(node: bytes) -> int:
@@ -313,7 +312,7 @@ def repeated_starts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = sorted_pass(_first_pass(long)).groupBy("node").agg(F.collect_set(F.struct("pos", "own")).alias("places"))
     one_each = long.groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(one_each.join(first, "node"), "shared-texts")
-    left = sorted_pass(_third_pass(sorted_pass(_second_pass(texts))), every=True)
+    left = sorted_pass(sorted_pass(_second_pass(texts), then=_third_pass), every=True)
     left = materialize(left.select("node", "pos", "again", "head", F.col("more").alias("core")), "window-parts")
     unsure = left.filter(~F.col("again"))
     twins = left.filter("head").join(unsure.select("core").distinct(), "core", "left_semi")  # where theirs may be found again
