@@ -28,9 +28,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .pretokens import Block, blocks, expand
+from .pretokens import Block, expand, text_blocks
 
-BLOCK_CHARS = 8_000_000
+BLOCK_BYTES = 16_000_000
 FLUSH_ROWS = 200_000
 CODE_BITS, BLOCK_BITS = 24, 17
 
@@ -51,7 +51,7 @@ def encoder(ranks: dict[bytes, int], pattern: str):
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays of unsigned 32-bit integers, byte planes apart, compressed."""
     flat = np.concatenate([np.asarray([len(a) for a in arrays]), *arrays]).astype("<u4")
-    return zstandard.ZstdCompressor(level=1).compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(data: bytes, n: int) -> list[np.ndarray]:
@@ -60,20 +60,19 @@ def _unpack(data: bytes, n: int) -> list[np.ndarray]:
     return np.split(flat[n:], np.cumsum(flat[:n])[:-1].astype(np.int64))
 
 
-def _task_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, Block]]:
+def _task_blocks(batches: Iterable[pa.RecordBatch], with_words: bool) -> Iterator[tuple[int, pa.RecordBatch, Block]]:
     first = TaskContext.get().partitionId() << BLOCK_BITS
     n = 0
     for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for begin, end in blocks(texts, BLOCK_CHARS):
-            yield first + n, batch.slice(begin, end - begin), Block(texts[begin:end])
+        for part, texts in text_blocks(batch, BLOCK_BYTES):
+            yield first + n, part, Block(texts, with_words)
             n += 1
 
 
 def word_rows(docs: DataFrame) -> DataFrame:
     """(word, place) for each distinct word of each block; the place holds block and number."""
     def run(batches):
-        for number, _, block in _task_blocks(batches):
+        for number, _, block in _task_blocks(batches, True):
             if len(block.words) >= 1 << CODE_BITS:
                 raise ValueError("a block holds too many distinct words")
             places = (number << CODE_BITS) + np.arange(len(block.words), dtype=np.int64)
@@ -90,7 +89,7 @@ def position_rows(docs: DataFrame) -> DataFrame:
                            T.StructField("positions", T.BinaryType())])
 
     def run(batches):
-        for number, rows, block in _task_blocks(batches):
+        for number, rows, block in _task_blocks(batches, False):
             ids = rows.column("doc_id")
             ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
             data = _pack(block.counts, block.codes)
@@ -141,12 +140,27 @@ def encoded_words(words: DataFrame, ranks, pattern: str) -> DataFrame:
     return by_word.mapInArrow(run, "block long, words binary")
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of each row of ``docs``."""
+def _table(ranks: dict[bytes, int]) -> list[bytes]:
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
+def _decoded(ids: Iterable[bytes | None], table: list[bytes]) -> pa.Array:
+    """The bytes of ids, looked up in the table of token bytes, which is as large as the vocabulary."""
+    return pa.array([None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in ids], pa.binary())
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, with_decoded: bool = False) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers) of each row of ``docs``.
+
+    ``with_decoded`` decodes the ids again in the same task, as ``decode`` does for stored ids.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     kind = docs.schema["doc_id"]
     schema = T.StructType([T.StructField("doc_id", kind.dataType), T.StructField("n_tokens", T.LongType()),
-                           T.StructField("ids", T.BinaryType())])
+                           T.StructField("ids", T.BinaryType()), *[T.StructField("decoded", T.BinaryType())] * with_decoded])
 
     def rebuild(positions: pa.Table, words: pa.Table) -> pa.Table:
         if len(positions) != 1:
@@ -166,29 +180,26 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             own = expand(codes[a:b], length, offset, flat)
             sizes.append(len(own))
             ids.append(own.astype("<u4").tobytes())
-        return pa.Table.from_arrays([positions["ids"].chunk(0).flatten(), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
-                                    ["doc_id", "n_tokens", "ids"])
+        columns = [positions["ids"].chunk(0).flatten(), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())]
+        if with_decoded:
+            columns.append(_decoded(ids, _table(shared.value)))
+        return pa.Table.from_arrays(columns, schema.names)
 
     words = encoded_words(word_rows(docs), shared, pattern)
     return position_rows(docs).groupBy("block").cogroup(words.groupBy("block")).applyInArrow(rebuild, schema)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Adds ``decoded``, the bytes of the ids, by a lookup in the table of token bytes (as large as the vocabulary)."""
-    table = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
+    """Adds ``decoded``, the bytes of the column ``ids``, to stored ids."""
+    shared = encoded.sparkSession.sparkContext.broadcast(_table(ranks))
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches):
-        table = shared.value
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                part = batch.slice(at, 1000)
-                out = [None if ids is None else b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
-                       for ids in (x.as_py() for x in part.column("ids"))]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*part.schema.names, "decoded"])
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                out = _decoded((x.as_py() for x in part.column("ids")), shared.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, out], schema.names)
     return encoded.mapInArrow(run, schema)
 
 
@@ -197,5 +208,5 @@ def query(spark, sf_dir: str) -> DataFrame:
 
     ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    done = decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    done = encode(docs, ranks, public_tokenizers.PATTERN, with_decoded=True)
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

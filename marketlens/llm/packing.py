@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from marketlens.session import materialize
 
 from .bpe import encoder
-from .pretokens import Block, blocks, expand
+from .pretokens import Block, expand, text_blocks
 
 CAPACITY = 1024
 END_ID = 2
-BLOCK_CHARS = 8_000_000
+BLOCK_BYTES = 8_000_000
 
 
 def read_vocabulary(path: str) -> dict[bytes, int]:
@@ -58,9 +58,8 @@ def pieces(docs: DataFrame, vocabulary: dict[bytes, int], pattern: str, capacity
     def run(batches):
         encode = encoder(shared.value, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for begin, end in blocks(texts, BLOCK_CHARS):
-                block = Block(texts[begin:end])
+            for part, texts in text_blocks(batch, BLOCK_BYTES):
+                block = Block(texts)
                 each = [encode(w) for w in block.words]
                 lengths = np.array([len(x) for x in each], np.int64)
                 flat = np.fromiter((i for x in each for i in x), "<u4", int(lengths.sum()))
@@ -72,14 +71,14 @@ def pieces(docs: DataFrame, vocabulary: dict[bytes, int], pattern: str, capacity
                     data, size = memoryview(own.tobytes()), len(own)
                     cuts = [0, *range(size % capacity or capacity, size + 1, capacity)]
                     for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                        row.append(begin + i)
+                        row.append(i)
                         number.append(k)
                         start.append(a)
                         length.append(b - a)
                         crc.append(zlib.crc32(data[4 * a:4 * b]))
                         if with_ids:
                             ids.append(bytes(data[4 * a:4 * b]))
-                columns = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()),
+                columns = [part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()),
                            pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.array(ids, pa.binary())] * with_ids], [f.name for f in fields])
     return docs.select("doc_id", "text").mapInArrow(run, T.StructType(fields))

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 OTHER, LETTER, NUMBER, SPACE, BREAK = range(5)
@@ -95,43 +97,42 @@ def _last_start(text: str, at: int) -> int | None:
 class Block:
     """Pre-tokens of some texts: ``words``, the distinct ones; ``codes``, each pre-token's place in them; ``counts`` per text."""
 
-    def __init__(self, texts: list[str]) -> None:
-        hashes, spans, self.counts, joined, owner = [], [], np.zeros(len(texts), np.int64), [], []
-        group, size = [], 0
+    def __init__(self, texts: list[str], with_words: bool = True) -> None:
+        self.counts = np.zeros(len(texts), np.int64)
+        scans, group, owner, size = [], [], [], 0
         parts = ((i, p) for i, t in enumerate(texts) for p in (_pieces(t) if len(t) > CHUNK // 2 else (t,)))
         for i, part in parts:
             if group and size + len(part) + 1 > CHUNK:
-                self._scan(group, owner, hashes, spans, joined)
+                scans.append(self._scan(group, owner, with_words))
                 group, owner, size = [], [], 0
             group.append(part)
             owner.append(i)
             size += len(part) + 1
         if group:
-            self._scan(group, owner, hashes, spans, joined)
-        h = np.concatenate([x[0] for x in hashes]) if hashes else np.zeros(0, WORD)
-        g = np.concatenate([x[1] for x in hashes]) if hashes else np.zeros(0, WORD)
-        codes, found = pd.factorize(h)
-        first = np.zeros(len(found), np.int64)
-        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        if not np.array_equal(g, g[first][codes]):  # two words with one hash: tell them apart by both
-            codes, found = pd.factorize(pd.MultiIndex.from_arrays([h, g]))
-            first = np.zeros(len(found), np.int64)
-            first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        rank = np.argsort(-np.bincount(codes, minlength=len(found)), kind="stable")  # frequent words get small codes
+            scans.append(self._scan(group, owner, with_words))
+        edges = np.cumsum([0, *[len(s[1]) for s in scans]])
+        codes, first = _numbered(*(np.concatenate([s[k] for s in scans]) if scans else np.zeros(0, WORD) for k in (1, 2)))
+        codes = codes.astype(np.int32)
+        pieces = [codes[edges[k]:edges[k + 1]][s[0]] for k, s in enumerate(scans)]
+        raw = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+        del pieces
+        rank = np.argsort(-np.bincount(raw, minlength=len(first)), kind="stable")  # frequent words get small codes
         place = np.empty(len(rank), np.int32)
         place[rank] = np.arange(len(rank), dtype=np.int32)
-        self.codes = place[codes]
-        first = first[rank]
-        edges = np.cumsum([0, *[len(s) for s, _ in spans]])
-        which = np.searchsorted(edges, first, "right") - 1
-        self.words: list[str] = [None] * len(first)
-        for k, (starts, ends) in enumerate(spans):
-            mine = np.flatnonzero(which == k)
-            at, text = first[mine] - edges[k], joined[k]
-            for w, s, e in zip(mine.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
-                self.words[w] = text[s:e]
-
-    def _scan(self, group, owner, hashes, spans, joined) -> None:
+        self.codes = place[raw]
+        self.n_words = len(first)
+        self.words: list[str] = [None] * len(first) if with_words else []
+        if with_words:
+            first = first[rank]
+            which = np.searchsorted(edges, first, "right") - 1
+            for k, (_, _, _, begin, end, text) in enumerate(scans):
+                mine = np.flatnonzero(which == k)
+                at = first[mine] - edges[k]
+                for w, s, e in zip(mine.tolist(), begin[at].tolist(), end[at].tolist(), strict=True):
+                    self.words[w] = text[s:e]
+
+    def _scan(self, group, owner, keep: bool) -> tuple:
+        """Of some texts: a number per pre-token; two hashes, begin and end of each distinct one; the texts joined."""
         text = "\n".join([*group, ""]) + "\n\n"
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         kind = classes()[points]
@@ -146,16 +147,27 @@ class Block:
         both = []
         values = (points.astype(WORD) + WORD(1)) * WORD(0xBF58476D1CE4E5B9)
         for base in BASES:
-            up, down = powers(base)
-            total = np.zeros(len(points) + 1, WORD)
             if len(points) <= CHUNK:
+                up, down = powers(base)
+                total = np.zeros(len(points) + 1, WORD)
                 np.cumsum(values * up[:len(points)], out=total[1:])
                 both.append((total[end] - total[begin]) * down[begin])
             else:  # one pre-token longer than a chunk: few of them, hashed one by one
                 both.append(np.array([hash_one(points[s:e], base) for s, e in zip(begin, end, strict=True)], WORD))
-        hashes.append(both)
-        spans.append((begin, end))
-        joined.append(text)
+        codes, first = _numbered(*both)
+        return codes.astype(np.int32), both[0][first], both[1][first], begin[first].astype(np.int32), end[first].astype(np.int32), text if keep else ""
+
+
+def _numbered(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each pair of hashes, and where each number first occurs."""
+    codes, found = pd.factorize(h)
+    for _ in range(2):
+        first = np.zeros(len(found), np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        if np.array_equal(g, g[first][codes]):
+            break
+        codes, found = pd.factorize(pd.MultiIndex.from_arrays([h, g]))  # two words with one hash: tell them apart by both
+    return codes, first
 
 
 def hash_one(points: np.ndarray, base: int) -> int:
@@ -165,16 +177,23 @@ def hash_one(points: np.ndarray, base: int) -> int:
     return int((values * np.multiply.accumulate(up)).sum(dtype=WORD))
 
 
-def blocks(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of at most ``most`` characters together, or one longer text alone."""
+def blocks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``most`` bytes together, or one longer text alone."""
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if i > begin and size + len(text) > most:
+    for i, n in enumerate(sizes):
+        if i > begin and size + n > most:
             yield begin, i
             begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def text_blocks(batch: pa.RecordBatch, most: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch with their texts; only one part's texts are Python objects at a time."""
+    for begin, end in blocks([n or 0 for n in pc.binary_length(batch.column("text")).to_pylist()], most):
+        part = batch.slice(begin, end - begin)
+        yield part, [t or "" for t in part.column("text").to_pylist()]
 
 
 def expand(codes: np.ndarray, lengths: np.ndarray, offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
