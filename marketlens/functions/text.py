@@ -21,7 +21,12 @@ READER_NA_TOKENS = (
 )
 
 # A full date, optionally with a time of day; anything else is not a timestamp.
-TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?\z"
+TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?\z"
+# The same date written with slashes, or as eight digits.
+OTHER_DATES = ((r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=[ T]|\z)", "$1-$2-$3"), (r"^(\d{4})(\d{2})(\d{2})(?=[ T]|\z)", "$1-$2-$3"))
+
+WHOLE_NUMBER = r"^[+-]?\d+(\.0*)?\z"
+EXPONENT_NUMBER = r"^[+-]?\d+(\.\d*)?[eE][+-]?\d+\z"
 
 
 def strip_text(column: Column) -> Column:
@@ -43,18 +48,23 @@ def clean_text(column: Column) -> Column:
 
 
 def safe_timestamp(column: Column) -> Column:
-    """Parse a zone-less timestamp; a text that is none becomes NULL."""
+    """Parse a zone-less timestamp, to the microsecond; a text that is none becomes NULL."""
     text = strip_text(column)
+    for shape, dashed in OTHER_DATES:
+        text = F.regexp_replace(text, shape, dashed)
     return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast(T.TimestampNTZType()))
 
 
 def safe_int(column: Column) -> Column:
     """Accept ``4`` as well as ``4.0``, the form a nullable integer column is exported in.
 
-    A text with a fraction is rejected rather than rounded.
+    A text with a fraction is rejected rather than rounded; ``1e3`` counts if it is whole.
     """
-    number = strip_text(column).try_cast(T.DecimalType(20, 6))
-    return F.when(number == F.floor(number), number.try_cast(T.IntegerType()))
+    text = strip_text(column)
+    digits = F.regexp_replace(text, r"\.0*\z", "").try_cast(T.IntegerType())
+    number = text.try_cast(T.DecimalType(38, 18))
+    scaled = F.when(number == F.floor(number), number.try_cast(T.IntegerType()))
+    return F.when(text.rlike(WHOLE_NUMBER), digits).when(text.rlike(EXPONENT_NUMBER), scaled)
 
 
 def strip_leading_zeros(column: Column) -> Column:

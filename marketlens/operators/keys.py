@@ -25,7 +25,7 @@ def dense_keys(df: DataFrame, key: str, start: int = 0) -> DataFrame:
     """``start+1 .. start+n`` with one write and no shuffle of the rows.
 
     The rows are written once with their task and row number.  What is then
-    ranked is one count per writing task, and that small table is broadcast.
+    ranked is one count per writing task; Spark broadcasts that table if it is small.
     """
     stored = materialize(df.select("*", F.monotonically_increasing_id().alias("_slot")), f"keys-{key}")
     task = F.shiftright("_slot", _ROW_BITS)
@@ -39,7 +39,7 @@ def dense_keys(df: DataFrame, key: str, start: int = 0) -> DataFrame:
     )
     return (
         stored.withColumn("_task", task)
-        .join(F.broadcast(offsets), "_task")
+        .join(offsets, "_task")
         .select((F.col("_offset") + row + start + 1).alias(key), *df.columns)
     )
 

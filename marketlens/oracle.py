@@ -37,17 +37,17 @@ STAGING = f"""
 customers AS (
   SELECT c_custkey AS customer_id, c_name AS customer_unique_id,
          lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
-         n_name AS customer_city, substr(r_name, 1, 2) AS customer_state
+         n_name AS customer_city, 'R' || r_regionkey AS customer_state
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 geolocation AS (
   SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS geolocation_zip_code_prefix,
          CAST(c_nationkey AS DOUBLE) + CAST(c_custkey % 8 AS DOUBLE) / 8 AS geolocation_lat,
          CAST(c_custkey % 16 AS DOUBLE) AS geolocation_lng,
-         n_name AS geolocation_city, substr(r_name, 1, 2) AS geolocation_state
+         n_name AS geolocation_city, 'R' || r_regionkey AS geolocation_state
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 sellers AS (
   SELECT s_suppkey AS seller_id, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
-         n_name AS seller_city, substr(r_name, 1, 2) AS seller_state
+         n_name AS seller_city, 'R' || r_regionkey AS seller_state
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 category_translation AS (
   SELECT DISTINCT p_type AS product_category_name,
@@ -387,6 +387,11 @@ STAR_SOURCES = {
 }
 
 
+# Number of columns of each warehouse table.
+STAR_WIDTHS = {"dim_date": 10, "dim_customers": 6, "dim_sellers": 5, "dim_products": 8, "fact_orders": 12,
+               "fact_order_items": 8, "fact_payments": 6, "fact_reviews": 8}
+
+
 def _constraint_rows() -> str:
     """Every constraint is expected to hold; the natural columns are counted, generated keys are taken as sound."""
     generated = set(SURROGATE_KEYS.values())
@@ -583,7 +588,7 @@ def queries() -> dict[str, str]:
             THEN raw END AS t FROM (SELECT event_id, CASE WHEN value < 8
             THEN [{", ".join(f"'{t}'" for t in TOKENS)}][event_id % 8 + 1] ELSE event_type END AS raw FROM events))""",
         "safe_timestamp": """SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN date_trunc('day', ts)
-            ELSE date_trunc('second', ts) END AS event_time FROM events""",
+            ELSE ts END AS event_time FROM events""",
         "safe_int": """SELECT l_returnflag, count(*) AS cells, count(q) AS accepted, CAST(sum(q) AS BIGINT) AS total_quantity
             FROM (SELECT l_returnflag, CASE WHEN l_returnflag IN ('R', 'A') THEN CAST(l_quantity AS INTEGER) END AS q
             FROM lineitem) GROUP BY 1""",
@@ -598,14 +603,22 @@ def queries() -> dict[str, str]:
         "profile_files": sql(" UNION ALL ".join(
             f"SELECT '{t}.csv' AS dataset, count(*) AS row_count, {len(c)} AS column_count, "
             f"{' + '.join(f'(count(*) - count({x}))' for x in c)} AS missing_values, "
-            f"count(*) - count(DISTINCT row({', '.join(c)})) AS duplicate_rows FROM {t}"
-            for t, c in ((t, STAGING_SCHEMAS[t].names) for t in ("geolocation", "order_reviews", "products")))),
+            f"count(*) - count(DISTINCT row({', '.join(c)})) AS duplicate_rows FROM {'stg_orders' if t == 'orders' else t}"
+            for t, c in ((t, STAGING_SCHEMAS[t].names) for t in STAGING_SCHEMAS))),
         "sql_over_views": sql(f"""SELECT year, month,
             {percent("cents", "(SELECT sum(payment_cents) FROM order_payments)")} AS share_pct FROM monthly""", MONTHLY),
         "incremental_ingest": sql("""SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_unique_id,
             customer_zip_code_prefix, customer_city, customer_state FROM dim_customers UNION ALL
             SELECT CAST(-1 - customer_id AS VARCHAR), customer_unique_id, customer_zip_code_prefix, customer_city,
+            customer_state FROM dim_customers UNION ALL
+            SELECT CAST(-1000000000 - customer_id AS VARCHAR), customer_unique_id, customer_zip_code_prefix, customer_city,
             customer_state FROM dim_customers"""),
+        "registered_tables": sql(" UNION ALL ".join(
+            f"SELECT 'warehouse' AS namespace, '{t}' AS table_name, {STAR_WIDTHS[t]} AS column_count, count(*) AS row_count FROM {s}"
+            for t, s in STAR_SOURCES.items())),
+        "segment_export": sql(f"""SELECT {rfm_columns}, r_score, m_score, f_score, segment,
+            CAST(r_score AS VARCHAR) || f_score || m_score AS rfm_score_code FROM segmented""", *SCORED),
+        "segment_report": SUMMARY,
     }
 
 

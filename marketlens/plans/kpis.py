@@ -234,7 +234,7 @@ def daily_totals(star: Star) -> DataFrame:
         .groupBy("purchase_date_key")
         .agg(F.count("order_id").alias("_orders"), F.sum("cents").alias("_cents"))
     )
-    return per_day.join(F.broadcast(star["dim_date"]), F.col("purchase_date_key") == F.col("date_key"))
+    return per_day.join(star["dim_date"], F.col("purchase_date_key") == F.col("date_key"))
 
 
 def monthly_sales_trend(star: Star) -> DataFrame:

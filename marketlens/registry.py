@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,9 +20,9 @@ from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS, SURROGATE_KEYS
 from marketlens.session import list_path, scratch_path
 from marketlens.sources import testtables
-from marketlens.sources.catalog import register_views
+from marketlens.sources.catalog import create_namespaces, register_version, register_views, schema_tables
 from marketlens.sources.csv_files import ingest, open_staging, profile_files
-from marketlens.sources.reports import write_report
+from marketlens.sources.reports import HEADINGS, write_export, write_report
 from marketlens.streaming.ingest import read_increments, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,10 +347,10 @@ def q_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_safe_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as text; the broken ones become NULL instead of failing the load."""
     events = testtables.table(spark, sf_dir, "events")
-    shown = F.substring(F.col("ts").cast("string"), 1, 19)
+    shown = F.col("ts").cast("string")
     raw = (
         F.when(F.col("event_type") == "error", F.concat(F.lit("at "), shown))
-        .when(F.col("event_type") == "view", F.substring(shown, 1, 10))
+        .when(F.col("event_type") == "view", F.col("ts").cast("date").cast("string"))
         .otherwise(F.concat(F.lit(" "), shown))
     )
     return events.select("event_id", text.safe_timestamp(raw).alias("event_time"))
@@ -406,9 +407,9 @@ def q_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every CSV file of a folder profiled: here one file each of reviews, products and places."""
+    """Every CSV file of a folder profiled: one for each of the nine datasets."""
     folder = scratch_path(spark, "raw")
-    for table in ("order_reviews", "products", "geolocation"):
+    for table in testtables.STAGING_BUILDERS:
         rows = testtables.STAGING_BUILDERS[table](spark, sf_dir)
         rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{table}.csv")
     return profile_files(spark, folder)
@@ -425,7 +426,7 @@ def q_sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers delivered twice as CSV, the second time with another city: the first row stays."""
+    """Customers delivered as CSV, then again with another city, then once more to a stream with a new checkpoint: first rows stay."""
     dataset, folder = DATASETS["customers"], scratch_path(spark, "delivery")
     target, checkpoint = scratch_path(spark, "increments"), scratch_path(spark, "progress")
     customers = testtables.customers(spark, sf_dir)
@@ -436,9 +437,48 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     moved.write.mode("append").option("header", True).csv(folder)
     start_ingest(spark, folder, dataset, target, checkpoint).awaitTermination()
+    later = customers.withColumn("customer_id", -1_000_000_000 - F.col("customer_id"))
+    later.write.mode("append").option("header", True).csv(folder)
+    start_ingest(spark, folder, dataset, target, scratch_path(spark, "progress")).awaitTermination()
     return read_increments(spark, target)
 
 
+def q_registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Namespace, columns and rows of the warehouse tables, registered again after a second publish."""
+    root = scratch_path(spark, "warehouse")
+    create_namespaces(spark)
+    for _ in range(2):
+        warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
+        register_version(spark, "warehouse", root)
+    parts = [
+        table.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit("warehouse").alias("namespace"), F.lit(name).alias("table_name"),
+            F.lit(len(table.columns)).alias("column_count"), "row_count")
+        for name, table in schema_tables(spark, "warehouse").items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_back(written: DataFrame, path: str, report: str) -> DataFrame:
+    """A written report with its own column names and types."""
+    back = written.sparkSession.read.option("header", True).csv(path)
+    names = HEADINGS[report]
+    return back.select(*[F.col(f"`{names[f.name]}`").cast(f.dataType).alias(f.name) for f in written.schema.fields if f.name in names])
+
+
+def q_segment_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-customer segments as an export of many files, read back."""
+    rows = q_rfm_segments(spark, sf_dir)
+    return _read_back(rows, write_export(rows, scratch_path(spark, "exports"), "rfm_customer_segments"), "rfm_customer_segments")
+
+
+def q_segment_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segment summary as one sorted report file, read back."""
+    rows = q_segment_summary(spark, sf_dir)
+    path = write_report(rows, scratch_path(spark, "reports"), "rfm_segment_summary", ["segment"])
+    return _read_back(rows, path, "rfm_segment_summary")
+
+
 QUERIES: dict[str, Query] = {
     "dim_date": q_dim_date,
     "dim_customers": q_dim_customers,
@@ -501,4 +541,7 @@ QUERIES: dict[str, Query] = {
     "profile_files": q_profile_files,
     "sql_over_views": q_sql_over_views,
     "incremental_ingest": q_incremental_ingest,
+    "registered_tables": q_registered_tables,
+    "segment_export": q_segment_export,
+    "segment_report": q_segment_report,
 }

@@ -45,9 +45,11 @@ def scratch_root(spark: SparkSession) -> str:
     configured = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _LOCAL_FALLBACK.setdefault(context.applicationId, tempfile.mkdtemp(prefix="marketlens-"))
+    if context.applicationId not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[context.applicationId] = tempfile.mkdtemp(prefix="marketlens-")
+    return _LOCAL_FALLBACK[context.applicationId]
 
 
 def list_path(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
@@ -57,6 +59,11 @@ def list_path(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...
     return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.plans.kpis import VIEWS
+from marketlens.sources.versioned import table_paths
 
 NAMESPACES = ("staging", "warehouse", "analytics")
 
@@ -14,15 +15,20 @@ def create_namespaces(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def register_tables(spark: SparkSession, schema: str, tables: dict[str, DataFrame]) -> None:
-    """Point ``schema.table`` at the files behind each table; the files stay where they are."""
-    for name, df in tables.items():
-        files = df.inputFiles()
-        if not files:
-            raise ValueError(f"{schema}.{name} is not backed by files")
-        folder = files[0].rsplit("/", 1)[0]
+def register_tables(spark: SparkSession, schema: str, folders: dict[str, str]) -> None:
+    """Point ``schema.table`` at the root folder of each table, with all its partitions; the files stay where they are."""
+    for name, folder in folders.items():
         spark.sql(f"DROP TABLE IF EXISTS {schema}.`{name}`")
         spark.catalog.createTable(f"{schema}.{name}", path=folder, source="parquet")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{schema}.{name}")):
+            spark.catalog.recoverPartitions(f"{schema}.{name}")
+
+
+def register_version(spark: SparkSession, schema: str, root: str) -> list[str]:
+    """Point the namespace at the current version of a table set; again after each publish."""
+    folders = table_paths(spark, root)
+    register_tables(spark, schema, folders)
+    return sorted(folders)
 
 
 def register_views(star: dict[str, DataFrame]) -> list[str]:

@@ -36,12 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation (city) with the two-letter code of its region (state)."""
+    """Nation (city) with a short code of its region (state)."""
     return (
         table(spark, sf_dir, "nation")
         .join(table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
         .selectExpr("n_nationkey AS nationkey", "lpad(string(n_nationkey), 5, '0') AS zip", "n_name AS city",
-                    "substring(r_name, 1, 2) AS state")
+                    "concat('R', n_regionkey) AS state")
     )
 
 

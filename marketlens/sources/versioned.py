@@ -11,10 +11,12 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+
+from marketlens.session import list_path, path_exists
 
 # The log keeps every table's schema, so opening a version reads no file footers.
-_LOG_SCHEMA = "version string, committed_at bigint, tables map<string,string>"
+_LOG_SCHEMA = "version string, number bigint, committed_at bigint, tables map<string,string>"
 
 
 def new_version_path(root: str) -> tuple[str, str]:
@@ -24,21 +26,48 @@ def new_version_path(root: str) -> tuple[str, str]:
 
 def commit_version(spark: SparkSession, root: str, version: str, tables: dict[str, DataFrame]) -> None:
     schemas = {name: df.schema.json() for name, df in tables.items()}
-    entry = spark.createDataFrame([(version, time.time_ns(), schemas)], _LOG_SCHEMA)
+    last = _last_commit(spark, root)
+    number = 1 + (last.number or 0) if last else 1
+    entry = spark.createDataFrame([(version, number, time.time_ns(), schemas)], _LOG_SCHEMA)
     entry.coalesce(1).write.mode("append").parquet(f"{root}/_committed")
 
 
+def _commits(spark: SparkSession, root: str) -> DataFrame:
+    """The log, latest first: by number, so a driver with a slow clock commits in order; the clock only breaks ties."""
+    log = spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/_committed")
+    return log.orderBy(F.col("number").desc_nulls_last(), F.col("committed_at").desc())
+
+
+def _last_commit(spark: SparkSession, root: str) -> Row | None:
+    return _commits(spark, root).first() if path_exists(spark, f"{root}/_committed") else None
+
+
 def current_version(spark: SparkSession, root: str) -> tuple[str, dict[str, T.StructType]] | None:
-    try:
-        log = spark.read.schema(_LOG_SCHEMA).parquet(f"{root}/_committed")
-    except Exception as error:  # no commit yet
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
-    rows = log.orderBy("committed_at", ascending=False).limit(1).collect()
-    if not rows:
+    last = _last_commit(spark, root)
+    if last is None:
         return None
-    return rows[0].version, {t: T.StructType.fromJson(json.loads(s)) for t, s in rows[0].tables.items()}
+    return last.version, {t: T.StructType.fromJson(json.loads(s)) for t, s in last.tables.items()}
+
+
+def table_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """The folder of each table of the current version."""
+    found = current_version(spark, root)
+    return {} if found is None else {t: f"{root}/versions/{found[0]}/{t}" for t in found[1]}
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete the folders of all but the latest ``keep`` committed versions, and of loads that were never committed.
+
+    Run it when no load is under way: an unfinished load looks like an abandoned one.
+    """
+    if not path_exists(spark, f"{root}/_committed"):
+        return []
+    kept = {r.version for r in _commits(spark, root).limit(keep).collect()}
+    gone = [path for path, _, _ in list_path(spark, f"{root}/versions") if path.rsplit("/", 1)[-1] not in kept]
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return [path.rsplit("/", 1)[-1] for path in gone]
 
 
 def open_current(spark: SparkSession, root: str) -> dict[str, DataFrame]:

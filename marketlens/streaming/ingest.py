@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlens.operators.dedupe import first_per_key, new_keys_only
 from marketlens.schemas import Dataset
+from marketlens.session import path_exists
 from marketlens.sources.csv_files import csv_options, text_schema, to_staging
 
-BATCH = "_batch"
+STREAM, BATCH = "_stream", "_batch"
 
 
 def read_increments(spark: SparkSession, folder: str) -> DataFrame:
-    """The table built so far, without the batch column."""
-    return spark.read.parquet(folder).drop(BATCH)
+    """The table built so far, without the columns that say how a row came."""
+    return spark.read.parquet(folder).drop(STREAM, BATCH)
 
 
 def start_ingest(
@@ -27,8 +28,11 @@ def start_ingest(
 ) -> StreamingQuery:
     """Process every file that has arrived since the last run, then stop.
 
-    A batch overwrites its own folder, so a batch that is replayed after a failure
-    does not add its rows twice; it is compared only with earlier batches.
+    A batch has a folder of its own, named by the stream's lasting id and the batch number.  It is
+    compared with all other folders and overwrites only its own, so a batch that is replayed after a
+    failure does not add its rows twice, and a stream that starts with a new checkpoint (or a second
+    stream into the same table) neither repeats nor replaces what is there.  Streams into one table run
+    one after another.
     """
     stream = (
         spark.readStream.options(**csv_options(dataset.multiline))
@@ -36,16 +40,19 @@ def start_ingest(
         .schema(text_schema(dataset.schema.names))
         .csv(raw_dir)
     )
+    stored_schema = T.StructType([*dataset.schema.fields, T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())])
     typed = to_staging(stream, dataset).select(*dataset.schema.names)
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if batch_id == 0:
-            fresh = first_per_key(batch, *dataset.business_key)
+        stream_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if path_exists(session, target):
+            stored = session.read.schema(stored_schema).parquet(target)
+            others = stored.filter(~((F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)))
+            fresh = new_keys_only(others, batch, *dataset.business_key)
         else:
-            earlier = session.read.parquet(target).filter(F.col(BATCH) < batch_id)
-            fresh = new_keys_only(earlier, batch, *dataset.business_key)
-        fresh.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+            fresh = first_per_key(batch, *dataset.business_key)
+        fresh.write.mode("overwrite").parquet(f"{target}/{STREAM}={stream_id}/{BATCH}={batch_id}")
 
     return (
         typed.writeStream.foreachBatch(add_batch)

@@ -19,6 +19,23 @@ PUBLISHED_MONTHS = (
     (2017, 3, "March", 2682, "449863.60", "54.11", "293419.88"),
     (2017, 4, "April", 2404, "417788.03", "-7.13", "386519.88"),
     (2017, 5, "May", 3700, "592918.82", "41.92", "486856.82"),
+    (2017, 6, "June", 3245, "511276.38", "-13.77", "507327.74"),
+    (2017, 7, "July", 4026, "592382.92", "15.86", "565526.04"),
+    (2017, 8, "August", 4331, "674396.32", "13.84", "592685.21"),
+    (2017, 9, "September", 4285, "727762.45", "7.91", "664847.23"),
+    (2017, 10, "October", 4631, "779677.88", "7.13", "727278.88"),
+    (2017, 11, "November", 7544, "1194882.80", "53.25", "900774.38"),
+    (2017, 12, "December", 5673, "878401.48", "-26.49", "950987.39"),
+    (2018, 1, "January", 7269, "1115004.18", "26.94", "1062762.82"),
+    (2018, 2, "February", 6728, "992463.34", "-10.99", "995289.67"),
+    (2018, 3, "March", 7211, "1159652.12", "16.85", "1089039.88"),
+    (2018, 4, "April", 6939, "1160785.48", "0.10", "1104300.31"),
+    (2018, 5, "May", 6873, "1153982.15", "-0.59", "1158139.92"),
+    (2018, 6, "June", 6167, "1023880.50", "-11.27", "1112882.71"),
+    (2018, 7, "July", 6292, "1066540.75", "4.17", "1081467.80"),
+    (2018, 8, "August", 6512, "1022425.32", "-4.14", "1037615.52"),
+    (2018, 9, "September", 16, "4439.54", "-99.57", "697801.87"),
+    (2018, 10, "October", 4, "589.67", "-86.72", "342484.84"),
 )
 
 

@@ -90,3 +90,13 @@ def test_ratios_without_rows(spark):
 def test_mean_of_integers_is_exact(spark):
     frame = spark.createDataFrame([(1,), (2,), (2,)], "v int")
     assert frame.agg(exact_ratio(F.sum("v"), F.count("v"))).first()[0] == Decimal("1.67")
+
+
+def test_wider_timestamps_and_whole_numbers(spark):
+    rows = [("2017/01/02", None), ("20170102", None), ("2017-01-02 03:04:05.1234567", None), ("2017/13/02", None),
+            ("20170102 03:04", None), ("x", "4.0000004"), ("y", "4.000"), ("z", "+7"), ("u", "1e3"), ("v", "12.5e0"), ("w", "99999999999")]
+    frame = spark.createDataFrame(rows, "t string, n string").select(
+        text.safe_timestamp(F.col("t")).cast("string").alias("t"), text.safe_int(F.col("n")).alias("n"))
+    got = frame.collect()
+    assert [r.t for r in got[:5]] == ["2017-01-02 00:00:00", "2017-01-02 00:00:00", "2017-01-02 03:04:05.123456", None, "2017-01-02 03:04:00"]
+    assert [r.n for r in got[5:]] == [None, 4, 7, 1000, None, None]

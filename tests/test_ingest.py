@@ -123,3 +123,17 @@ def test_increments_are_added_once(spark, tmp_path):
     start_ingest(spark, str(folder), DATASETS["customers"], target, progress).awaitTermination()
     got = sorted((r.customer_id, r.customer_city) for r in read_increments(spark, target).collect())
     assert got == [("c1", "a"), ("c2", "b"), ("c3", "c")]
+
+
+def test_new_checkpoint_and_second_stream_keep_stored_rows(spark, tmp_path):
+    folder, other, target = tmp_path / "in", tmp_path / "other", str(tmp_path / "out")
+    folder.mkdir()
+    other.mkdir()
+    (folder / "1.csv").write_text(CUSTOMERS + "c1,u1,1,a,SP\nc2,u2,1,b,SP\n")
+    start_ingest(spark, str(folder), DATASETS["customers"], target, str(tmp_path / "p1")).awaitTermination()
+    (folder / "2.csv").write_text(CUSTOMERS + "c3,u3,1,c,SP\n")
+    start_ingest(spark, str(folder), DATASETS["customers"], target, str(tmp_path / "p2")).awaitTermination()
+    (other / "1.csv").write_text(CUSTOMERS + "c2,u2,1,moved,SP\nc4,u4,1,d,SP\n")
+    start_ingest(spark, str(other), DATASETS["customers"], target, str(tmp_path / "p3")).awaitTermination()
+    got = sorted((r.customer_id, r.customer_city) for r in read_increments(spark, target).collect())
+    assert got == [("c1", "a"), ("c2", "b"), ("c3", "c"), ("c4", "d")]

@@ -36,11 +36,10 @@ def test_calendar(spark):
     assert days.filter("is_weekend").select("day_name").distinct().count() == 2
 
 
-def test_calendar_is_bounded(spark):
+def test_calendar_runs_forward_and_has_no_limit(spark):
     with pytest.raises(ValueError):
         warehouse.dim_date(spark, ("2019-01-01", "2018-01-01"))
-    with pytest.raises(ValueError):
-        warehouse.dim_date(spark, ("1000-01-01", "2018-01-01"))
+    assert warehouse.dim_date(spark, ("1800-01-01", "2199-12-31")).count() == 146_097
 
 
 def test_dimensions(star):
@@ -126,8 +125,8 @@ def test_catalog(spark, published):
     stored = warehouse.open_star(spark, published)
     catalog.create_namespaces(spark)
     catalog.create_namespaces(spark)
-    catalog.register_tables(spark, "warehouse", stored)
-    catalog.register_tables(spark, "warehouse", stored)
+    catalog.register_version(spark, "warehouse", published)
+    catalog.register_version(spark, "warehouse", published)
     assert catalog.table_names(spark, "warehouse") == sorted(stored)
     assert catalog.table_exists(spark, "warehouse", "fact_orders")
     assert not catalog.table_exists(spark, "warehouse", "fact_geolocation")
@@ -139,6 +138,31 @@ def test_catalog(spark, published):
     assert spark.sql("SELECT total_orders FROM v_kpi_overview").first()[0] == 5
 
 
+def test_catalog_keeps_all_partitions(spark, tmp_path):
+    folder = str(tmp_path / "parts")
+    spark.range(10).selectExpr("id", "id % 3 AS part").write.partitionBy("part").parquet(folder)
+    catalog.create_namespaces(spark)
+    catalog.register_tables(spark, "staging", {"parts": folder})
+    assert spark.table("staging.parts").count() == 10
+    assert spark.sql("SELECT count(*) FROM staging.parts WHERE part = 1").first()[0] == 3
+
+
+def test_versions_are_ordered_by_number_and_expire(spark, tmp_path, monkeypatch):
+    from marketlens.sources import versioned
+
+    root, made = str(tmp_path), []
+    for clock in (300, 200, 100):  # a clock that runs backwards
+        monkeypatch.setattr(versioned.time, "time_ns", lambda clock=clock: clock)
+        version, path = versioned.new_version_path(root)
+        spark.range(clock).write.parquet(f"{path}/t")
+        versioned.commit_version(spark, root, version, {"t": spark.range(1)})
+        made.append(version)
+    spark.range(1).write.parquet(f"{root}/versions/abandoned/t")
+    assert current_version(spark, root)[0] == made[-1]
+    assert sorted(versioned.expire_versions(spark, root, keep=1)) == sorted([*made[:2], "abandoned"])
+    assert versioned.open_current(spark, root)["t"].count() == 100
+
+
 # --- KPI views on the same shop ----------------------------------------------
 
 
