@@ -10,9 +10,11 @@ deletions.  As labelled shingles are unique, the best alignment is the longest i
 matches.  With m aligned shingles of n and k, the similarity is m / (n + k - m).
 
 Candidates come from buckets of equal sketches without expanding a bucket into all its pairs: equal texts are
-one node; up to ``ALL_PAIRS`` nodes are compared with each other, more with the bucket's first node.  Large
-buckets that still hold several classes are then divided by a second and a third sketch, and one node per class
-and bucket goes on.  Nothing is capped: each member of a bucket is compared in every round.
+one node; up to ``ALL_PAIRS`` nodes are compared with each other, more with one of them, another in each bucket.
+Large buckets that still hold several classes are then divided by a second sketch (the least or the greatest
+of a text's other keys, so similar texts mostly agree) and compared in the same way, one text per class.  No
+bucket, and no member of one, is left out for its size.  In families of hundreds of loosely similar texts some
+links close to the threshold are not compared; the README has figures.
 
 Null texts are classes of their own; texts without words equal only their exact copies; texts of fewer than
 five words are one shingle.  Repeated rows are copies.  The class id is the least id in the class.
@@ -35,7 +37,6 @@ WORDS, LEAST = 5, 2
 SKETCHES = 10
 SIMILARITY = 0.8
 ALL_PAIRS = 24
-ROUNDS = 3
 CHUNK_BYTES = 1 << 20
 U = np.uint64
 A, B, C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -193,11 +194,13 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 
 
 def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare, from (key, node, root), and the members of buckets that hold more classes than were compared pairwise."""
+    """Pairs to compare, from members (key, node, root), and the members of buckets that hold more classes than were compared pairwise."""
     heads = members.groupBy("key", "root").agg(F.min("node").alias("node"))
-    sizes = heads.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).filter("n > 1")
+    order = F.struct(F.xxhash64("key", "node"), "node")
+    sizes = heads.groupBy("key").agg(F.count("*").alias("n"), F.min(order)["node"].alias("first")).filter("n > 1")
     inside = heads.join(sizes, "key")
-    star = inside.filter((F.col("n") > ALL_PAIRS) & (F.col("node") > F.col("first"))).select(F.col("first").alias("u"), F.col("node").alias("v"))
+    star = inside.filter((F.col("n") > ALL_PAIRS) & (F.col("node") != F.col("first"))).select(
+        F.least("first", "node").alias("u"), F.greatest("first", "node").alias("v"))
     few = inside.filter(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
     later = F.slice("all", F.col("i") + 2, F.size("all"))
     every = few.select("all", F.posexplode("all").alias("i", "u")).select("u", F.explode(later).alias("v"))
@@ -208,32 +211,27 @@ def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def node_roots(docs: DataFrame) -> DataFrame:
     """``node, root`` of all texts that are linked to another text, but the roots; ``docs`` holds ``node`` and ``text``."""
     signed = materialize(signatures(docs), "signatures")
-    every_key = signed.select(F.explode("keys").alias("key"), "node")
-    members = every_key.withColumn("root", F.col("node"))
-    texts = docs.dropDuplicates(["node"]).select("node", "text")
-    done = edges = roots = None
-    for turn in range(ROUNDS):
-        pairs, large = candidates(members)
-        pairs = materialize(pairs.join(done, ["u", "v"], "left_anti") if done is not None else pairs, "pairs")
-        if turn == 0:
-            wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-            texts = materialize(texts.join(wanted, "node", "left_semi"), "texts")
-        elif pairs.isEmpty():
-            break
-        new = materialize(linked(pairs, texts), "linked").select("u", "v")
-        edges = new if edges is None else edges.unionByName(new)
-        done = pairs if done is None else done.unionByName(pairs)
-        roots = components(edges)
-        rest = large.select("key", "node").join(roots, "node", "left").select(
-            "key", "node", F.coalesce("root", "node").alias("root"))
-        mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-        rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
-        if rest.isEmpty():
-            break
-        finer = F.xxhash64(F.least("key", "other"), F.greatest("key", "other"))
-        members = rest.join(every_key.withColumnRenamed("key", "other"), "node").filter("key <> other").select(
-            finer.alias("key"), "node", "root").distinct()
-    return roots
+    other = F.array_remove("keys", F.col("key"))
+    near = F.when(F.col("i") % 2 == 0, F.array_min(other)).otherwise(F.array_max(other))
+    members = signed.select("node", "keys", F.posexplode("keys").alias("i", "key")).select(
+        "key", "node", F.xxhash64("key", near).alias("finer"), F.col("node").alias("root"))
+    pairs, large = candidates(members)
+    pairs = materialize(pairs, "pairs")
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    texts = materialize(docs.dropDuplicates(["node"]).select("node", "text").join(wanted, "node", "left_semi"), "texts")
+    edges = materialize(linked(pairs, texts), "linked").select("u", "v")
+    roots = components(edges)
+    rest = large.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node"))
+    mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    rest = rest.join(mixed, "key", "left_semi").select(F.col("finer").alias("key"), "node", "finer", "root").distinct()
+    more = materialize(candidates(rest)[0].join(pairs, ["u", "v"], "left_anti"), "pairs")
+    if more.isEmpty():
+        return roots
+    missing = more.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(texts, "node", "left_anti")
+    if not missing.isEmpty():
+        raise RuntimeError("a text of a large bucket was not compared before")
+    found = materialize(linked(more, texts), "linked").select("u", "v")
+    return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
 
 
 def classes(docs: DataFrame) -> DataFrame:
