@@ -328,6 +328,16 @@ def weekly(by: str) -> tuple[str, ...]:
     )
 
 
+BASELINE = """WITH RECURSIVE latest AS (
+    SELECT series, week_end, revenue AS r1, lag(revenue, 1) OVER w AS r2, lag(revenue, 2) OVER w AS r3, lag(revenue, 3) OVER w AS r4,
+           row_number() OVER (PARTITION BY series ORDER BY week_end DESC) AS n, count(*) OVER (PARTITION BY series) AS weeks
+    FROM weeks WINDOW w AS (PARTITION BY series ORDER BY week_end)),
+steps AS (
+    SELECT series, week_end, 0 AS step, r1, r2, r3, r4 FROM latest WHERE n = 1 AND weeks >= 15
+    UNION ALL SELECT series, week_end, step + 1, (r1 + r2 + r3 + r4) / 4, r1, r2, r3 FROM steps WHERE step < 8)
+SELECT series, CAST(week_end AS DATE) + 7 * step AS purchase_date, round(r1, 2) AS forecasted_revenue FROM steps WHERE step > 0"""
+
+
 # --- audits ------------------------------------------------------------------
 
 
@@ -562,6 +572,15 @@ def queries() -> dict[str, str]:
             row_number() OVER (PARTITION BY series ORDER BY week_end DESC) <= 8 AS is_test
             FROM features WHERE rolling_mean_4 IS NOT NULL
             AND series IN (SELECT series FROM weeks GROUP BY 1 HAVING count(*) >= 15)""", *weekly("state")),
+        "forecast_calendar": sql("""SELECT series, CAST(max(week_end) AS DATE) + CAST(7 * n AS INTEGER) AS purchase_date, TRUE AS in_range
+            FROM weeks, range(1, 9) AS steps(n) GROUP BY series, n""", *weekly("total")),
+        "forecast_baseline": sql(f"SELECT * FROM ({BASELINE})", *weekly("state")),
+        "forecast_export": sql(f"SELECT purchase_date, forecasted_revenue FROM ({BASELINE})", *weekly("total")),
+        "evaluate_baseline": sql("""SELECT series, count(*) AS test_rows, round(avg(abs(revenue - lag_1)), 3) AS mae,
+            round(sqrt(avg((revenue - lag_1) * (revenue - lag_1))), 3) AS rmse, round(avg(revenue), 3) AS mean_weekly_revenue
+            FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY week_end DESC) AS n FROM features
+                  WHERE rolling_mean_4 IS NOT NULL AND series IN (SELECT series FROM weeks GROUP BY 1 HAVING count(*) >= 15))
+            WHERE n <= 8 GROUP BY 1""", *weekly("category")),
         "short_series": sql("SELECT series, count(*) AS weeks FROM weeks GROUP BY 1 HAVING count(*) < 15",
                             *weekly("customer")),
         "missing_audit": sql(MISSING),

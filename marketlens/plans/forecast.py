@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -117,12 +119,27 @@ def evaluate(predicted: DataFrame, by_series: bool = False) -> DataFrame:
     )
 
 
-def forecast(model: RandomForestRegressionModel, weekly: DataFrame, horizon: int = HORIZON) -> DataFrame:
+Predictor = Callable[[DataFrame], DataFrame]
+
+
+def four_week_mean(rows: DataFrame) -> DataFrame:
+    """The mean of the four weeks before, the simplest predictor to compare a forest with."""
+    return rows.withColumn("predicted", F.col("rolling_mean_4"))
+
+
+def last_week(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("predicted", F.col("lag_1"))
+
+
+def forecast(model: RandomForestRegressionModel | Predictor, weekly: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Feed each unrounded prediction back as the newest week, ``horizon`` times.
 
+    ``model`` is a fitted forest, or any function that adds ``predicted`` to feature rows.
+
     A series carries its last four weeks in four columns, so a step is a projection
     of one row per series: no shuffle, no union and nothing to checkpoint.
     """
+    guess = model if callable(model) else partial(predict, model)
     recent = [f"_recent_{n}" for n in range(1, 5)]
     latest = mark_last(lag_features(weekly), 1, "_is_last").filter("_is_last")
     state = latest.select(
@@ -137,7 +154,7 @@ def forecast(model: RandomForestRegressionModel, weekly: DataFrame, horizon: int
             *[F.col(r).alias(f"lag_{n}") for n, r in enumerate(recent[:3], 1)],
             (sum((F.col(r) for r in recent[1:]), F.col(recent[0])) / 4).alias("rolling_mean_4"),
         )
-        guessed = predict(model, featured)
+        guessed = guess(featured)
         steps.append(f"_step_{step}")
         state = guessed.select(
             "series",

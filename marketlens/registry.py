@@ -277,10 +277,37 @@ def q_short_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_forecast_8w(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight weeks for every region and for the total, from one pooled forest."""
+    """Eight weeks for the total by itself, and for all regions from one pooled forest."""
     tables = star(spark, sf_dir)
-    daily = fc.daily_series(tables).unionByName(fc.daily_series(tables, "state"))
-    return fc.run_forecast(daily, CALENDAR).forecast
+    runs = [fc.run_forecast(fc.daily_series(tables, by), CALENDAR).forecast for by in (None, "state")]
+    return runs[0].unionByName(runs[1])
+
+
+def q_forecast_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of a forest's forecast of the total, and whether each value is inside what the series has seen."""
+    run = fc.run_forecast(fc.daily_series(star(spark, sf_dir)), CALENDAR)
+    seen = run.rows.groupBy("series").agg(F.min("revenue").alias("lo"), F.max("revenue").alias("hi"))
+    inside = F.col("forecasted_revenue").between(F.col("lo") - 0.01, F.col("hi") + 0.01)
+    return run.forecast.join(seen, "series").select("series", "purchase_date", inside.alias("in_range"))
+
+
+def q_forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursion with the four-week mean in the place of the forest."""
+    return fc.forecast(fc.four_week_mean, fc.with_history(_weekly(spark, sf_dir, "state"))[0])
+
+
+def q_evaluate_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of last week's revenue as the prediction, per category."""
+    rows = fc.model_rows(fc.with_history(_weekly(spark, sf_dir, "category"))[0]).filter("is_test")
+    found = fc.evaluate(fc.last_week(rows), by_series=True)
+    return found.select("series", "test_rows", *[F.round(c, 3).alias(c) for c in ("mae", "rmse", "mean_weekly_revenue")])
+
+
+def q_forecast_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total's baseline forecast as a report file, read back."""
+    rows = fc.forecast(fc.four_week_mean, fc.with_history(_weekly(spark, sf_dir, None))[0])
+    path = write_report(rows, scratch_path(spark, "reports"), "weekly_demand_forecast", ["purchase_date"])
+    return _read_back(rows, path, "weekly_demand_forecast")
 
 
 def q_forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -525,6 +552,10 @@ QUERIES: dict[str, Query] = {
     "short_series": q_short_series,
     "forecast_8w": q_forecast_8w,
     "forecast_eval": q_forecast_eval,
+    "forecast_calendar": q_forecast_calendar,
+    "forecast_baseline": q_forecast_baseline,
+    "evaluate_baseline": q_evaluate_baseline,
+    "forecast_export": q_forecast_export,
     "missing_audit": q_missing_audit,
     "duplicate_audit": q_duplicate_audit,
     "rule_audit": q_rule_audit,
