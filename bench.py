@@ -2,7 +2,7 @@
 
 Prints one JSON line.  Every query is run to the end into a no-op sink, once to
 warm up the JVM and then timed.  ``publish`` is the full warehouse load that the
-KPI queries read from; it runs first and once, so its time includes JVM start-up.
+KPI queries read from; it is timed warm, by a second load beside the first.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ import sys
 import time
 
 from marketlens import registry
-from marketlens.session import build_session
+from marketlens.plans import warehouse
+from marketlens.session import build_session, scratch_path
 
 HEADLINE = (
     "kpi_overview", "geo_performance", "seller_performance", "category_profitability", "payment_distribution",
@@ -21,6 +22,7 @@ HEADLINE = (
     "weekly_sales_by_seller", "lag_features", "train_test_split", "fact_orders", "fact_order_items",
     "dim_customers", "dim_products", "insert_or_ignore", "surrogate_keys", "load_accounting", "missing_audit",
     "duplicate_audit", "rule_audit", "dataset_profile", "quality_gate", "clean_text", "csv_reviews", "forecast_8w",
+    "csv_ingest", "incremental_ingest", "constraints", "profile_files",
 )
 
 
@@ -39,8 +41,9 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings: dict[str, float] = {}
-    started = time.perf_counter()
     registry.star(spark, sf_dir)
+    started = time.perf_counter()
+    warehouse.publish(spark, registry.staging(spark, sf_dir), scratch_path(spark, "bench"), registry.CALENDAR)
     timings["publish"] = round(time.perf_counter() - started, 3)
     for name in names:
         query = registry.QUERIES[name]
