@@ -9,12 +9,12 @@ Verification aligns two shingle sequences inside the band that similarity 0.8 le
 deletions.  As labelled shingles are unique, the best alignment is the longest increasing chain of their
 matches.  With m aligned shingles of n and k, the similarity is m / (n + k - m).
 
-Candidates come from buckets of equal sketches without expanding a bucket into all its pairs: equal texts are
-one node; up to ``ALL_PAIRS`` nodes are compared with each other, more with one of them, another in each bucket.
-Large buckets that still hold several classes are then divided by a second sketch (the least or the greatest
-of a text's other keys, so similar texts mostly agree) and compared in the same way, one text per class.  No
-bucket, and no member of one, is left out for its size.  In families of hundreds of loosely similar texts some
-links close to the threshold are not compared; the README has figures.
+Candidates come from buckets of equal sketches: equal texts are one node; up to ``ALL_PAIRS`` nodes are compared
+with each other, more at first with one of them, another in each bucket.  Large buckets that still hold several
+classes are then finished exactly: their members are dealt into blocks of about ``BLOCK``, and each pair of blocks
+compares all its texts of different classes, but a pair of texts only in the first bucket that they share and only
+while nothing else in the two blocks has linked their classes.  So every pair of texts with a common sketch is
+compared or is in one class without it; no bucket, and no member of one, is left out for its size.
 
 Null texts are classes of their own; texts without words equal only their exact copies; texts of fewer than
 five words are one shingle.  Repeated rows are copies.  The class id is the least id in the class.
@@ -37,6 +37,7 @@ WORDS, LEAST = 5, 2
 SKETCHES = 10
 SIMILARITY = 0.8
 ALL_PAIRS = 24
+BLOCK = 128
 CHUNK_BYTES = 1 << 20
 U = np.uint64
 A, B, C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -194,11 +195,10 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
 
 
 def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare, from members (key, node, root), and the members of buckets that hold more classes than were compared pairwise."""
-    heads = members.groupBy("key", "root").agg(F.min("node").alias("node"))
+    """Pairs to compare, from members (key, node), and the members of buckets that hold more nodes than were compared pairwise."""
     order = F.struct(F.xxhash64("key", "node"), "node")
-    sizes = heads.groupBy("key").agg(F.count("*").alias("n"), F.min(order)["node"].alias("first")).filter("n > 1")
-    inside = heads.join(sizes, "key")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min(order)["node"].alias("first")).filter("n > 1")
+    inside = members.join(sizes, "key")
     star = inside.filter((F.col("n") > ALL_PAIRS) & (F.col("node") != F.col("first"))).select(
         F.least("first", "node").alias("u"), F.greatest("first", "node").alias("v"))
     few = inside.filter(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
@@ -208,29 +208,79 @@ def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return star.unionByName(every).distinct(), large
 
 
+def block_pairs(members: DataFrame) -> DataFrame:
+    """``pair, side`` added to members (key, node, root) of mixed buckets, once for each pair of blocks that a member is in.
+
+    A class of ``BLOCK`` members or more has blocks of its own, which are not paired with each other; smaller classes share
+    blocks.  ``side`` is 0 and 1 for the two blocks of a pair, 2 for a block that is compared with itself.
+    """
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    homes = sizes.withColumn("home", F.when(F.col("n") >= BLOCK, F.col("root")).otherwise(F.lit(b"")))
+    units = homes.groupBy("key", "home").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = homes.join(units, ["key", "home"]).select("key", "root", "home", "blocks")
+    at = F.struct("home", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("number"))
+    members = members.join(dealt, ["key", "root"]).withColumn("at", at).drop("home", "blocks")
+    numbers = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("number")
+    blocks = units.select("key", "home", numbers).select("key", F.struct("home", "number").alias("at"))
+    left, right = blocks.withColumnRenamed("at", "a"), blocks.withColumnRenamed("at", "b")
+    differ = (F.col("a") <= F.col("b")) & ((F.col("a.home") != F.col("b.home")) | (F.col("a.home") == F.lit(b"")))
+    both = left.join(right, "key").filter(differ).withColumn("pair", F.struct("key", "a", "b"))
+    one = F.array(F.struct(F.col("a").alias("at"), F.when(F.col("a") == F.col("b"), 2).otherwise(0).alias("side")))
+    two = F.when(F.col("a") == F.col("b"), one).otherwise(F.concat(one, F.array(F.struct(F.col("b").alias("at"), F.lit(1).alias("side")))))
+    sides = both.select("key", "pair", F.explode(two).alias("x")).select("key", "pair", "x.at", "x.side")
+    return members.join(sides, ["key", "at"]).drop("at")
+
+
+def links_of_blocks(table: pa.Table) -> pa.Table:
+    """``u, v`` of links between the texts of a pair of blocks, enough of them to join all classes that any links join."""
+    nodes, texts = table.column("node").to_pylist(), table.column("text").to_pylist()
+    root, side = pd.factorize(pd.Series(table.column("root").to_pylist()))[0], table.column("side").to_numpy()
+    keys = np.array(table.column("keys").to_pylist(), np.int64)
+    place = table.column("i")[0].as_py()
+    values = []
+    for begin, end in _parts(texts):
+        v, at = shingles(texts[begin:end])
+        values += [v[at[k]:at[k + 1]] for k in range(end - begin)]
+    size = np.array([len(v) for v in values])
+    parent = list(range(root.max() + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    u, v = [], []
+    other = np.flatnonzero(side != 0)
+    for x in np.flatnonzero(side != 1).tolist():
+        y = other[other > x] if side[x] == 2 else other
+        first = ~(keys[y, :place] == keys[x, :place]).any(axis=1)
+        close = np.minimum(size[y], size[x]) >= SIMILARITY * np.maximum(size[y], size[x])
+        for z in y[first & close & (root[y] != root[x])].tolist():
+            a, b = find(root[x]), find(root[z])
+            if a != b and similarity(values[x], values[z]) >= SIMILARITY - 1e-12:
+                parent[a] = b
+                u.append(nodes[x])
+                v.append(nodes[z])
+    return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
+
 def node_roots(docs: DataFrame) -> DataFrame:
     """``node, root`` of all texts that are linked to another text, but the roots; ``docs`` holds ``node`` and ``text``."""
     signed = materialize(signatures(docs), "signatures")
-    other = F.array_remove("keys", F.col("key"))
-    near = F.when(F.col("i") % 2 == 0, F.array_min(other)).otherwise(F.array_max(other))
-    members = signed.select("node", "keys", F.posexplode("keys").alias("i", "key")).select(
-        "key", "node", F.xxhash64("key", near).alias("finer"), F.col("node").alias("root"))
+    members = signed.select("node", F.posexplode("keys").alias("i", "key"))
     pairs, large = candidates(members)
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     texts = materialize(docs.dropDuplicates(["node"]).select("node", "text").join(wanted, "node", "left_semi"), "texts")
     edges = materialize(linked(pairs, texts), "linked").select("u", "v")
     roots = components(edges)
-    rest = large.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node"))
+    rest = large.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
     mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    rest = rest.join(mixed, "key", "left_semi").select(F.col("finer").alias("key"), "node", "finer", "root").distinct()
-    more = materialize(candidates(rest)[0].join(pairs, ["u", "v"], "left_anti"), "pairs")
-    if more.isEmpty():
+    rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
+    if rest.isEmpty():
         return roots
-    missing = more.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(texts, "node", "left_anti")
-    if not missing.isEmpty():
-        raise RuntimeError("a text of a large bucket was not compared before")
-    found = materialize(linked(more, texts), "linked").select("u", "v")
+    held = block_pairs(rest).join(signed, "node").join(texts, "node").select("pair", "side", "i", "node", "root", "keys", "text")
+    found = materialize(held.groupBy("pair").applyInArrow(links_of_blocks, "u binary, v binary"), "linked")
     return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
 
 

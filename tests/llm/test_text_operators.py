@@ -255,6 +255,14 @@ def test_large_families_are_never_joined_wrongly(spark):
     assert len(set(got.values())) <= 1.2 * len(set(expected.values())) + 10
 
 
+@pytest.mark.parametrize(("block", "n"), [(128, 400), (16, 200)])
+def test_large_families_equal_brute_force(spark, monkeypatch, block, n):
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    rows = variants(5, n)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dict(tuple(r) for r in order_minhash.near_duplicates(frame).collect()) == dict(plain_classes(rows))
+
+
 def test_keep_one_of_each_class(docs, rows):
     kept = order_minhash.keep_one(docs)
     assert kept.columns == docs.columns
