@@ -39,11 +39,10 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Listed domains, blocked where no rule fits.
-LISTED = (
-    "adult-x.example.com", "ads-track.example.com", "casino-win.example.net",
-    "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org",
-)
+#: Names of bad sites, blocked under every top-level domain where no rule fits.
+SITES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: Their domains under the usual ones; ``site_domains`` finds those under any other that the corpus has.
+LISTED = tuple(f"{site}.example.{top}" for site in SITES for top in ("com", "net", "org"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -175,13 +174,19 @@ def listed_keys(urls: DataFrame, keys: Column, listed: DataFrame) -> DataFrame:
     return urls.withColumn("listed", F.filter("_keys", lambda k, i: F.get("_held", i))).drop("_keys", "_held")
 
 
+def site_domains(hosts: DataFrame) -> DataFrame:
+    """``key``: the domains of the column ``host`` that are those of ``SITES``, whatever their top-level domain."""
+    pattern = rf"(?:^|\.)((?:{'|'.join(SITES)})\.example\.[^.]+)$"
+    return hosts.select(F.regexp_extract("host", pattern, 1).alias("key")).filter("key <> ''").distinct()
+
+
 def judge(pages: DataFrame, rules=RULES, listed: DataFrame | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict``: the longest rule that fits, else blocked if a domain of the host is listed."""
     spark = pages.sparkSession
-    if listed is None:
-        listed = spark.createDataFrame([(d,) for d in LISTED], "key string")
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", "url").withColumns({"host": host, "path": path})
+    if listed is None:
+        listed = spark.createDataFrame([(d,) for d in LISTED], "key string").unionByName(site_domains(pages))
     lengths = [0, *[len(p) for _, p, _ in rules]]
     named = spark.createDataFrame([(h + p,) for h, p, _ in rules], "key string")
     found = listed_keys(pages, keys_of(F.col("host"), F.col("path"), lengths), named.unionByName(listed.select("key")))

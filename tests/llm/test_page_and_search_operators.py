@@ -41,6 +41,21 @@ def test_urls(spark):
     assert url_filters.judge(pages_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_bad_sites_are_blocked_under_every_domain(spark, size):
+    bad = re.compile(r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.example\.")
+    got = url_filters.judge(spark.read.parquet(f"/root/testdata/{size}/pages.parquet")).collect()
+    got = [r for r in got if r.rule is None]
+    assert {r.verdict for r in got if bad.search(r.host)} == {"block"}
+    assert {r.verdict for r in got if not bad.search(r.host)} == {"allow"}
+
+
+def test_bad_sites_under_a_domain_not_seen_before(spark):
+    hosts = ["m.adult-x.example.shop", "adult-x.example.shop", "xadult-x.example.shop", "adult-x.example.shop.a"]
+    got = url_filters.judge(pages_of(spark, [(i, f"http://{h}/") for i, h in enumerate(hosts)])).collect()
+    assert [r.verdict for r in sorted(got, key=lambda r: r.page_id)] == ["block", "block", "allow", "allow"]
+
+
 @pytest.mark.parametrize("share", [2, 50, 5000])
 def test_cascade_is_exact_for_all_keys(spark, share):
     keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
