@@ -126,11 +126,26 @@ def blocks_of(texts: list[bytes]):
         yield number, key, lead + shift, (p[first] - lead) << 8 | (n - 1)
 
 
+def _merged(number, key, pos, own):
+    """One row for a block that a cut between two parts of a text divides: the windows of both, which follow one another."""
+    order = np.lexsort((own, pos, key, number))
+    number, key, pos, own = number[order], key[order], pos[order], own[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (number[1:] != number[:-1]) | (key[1:] != key[:-1]) | (pos[1:] != pos[:-1])
+    first = np.flatnonzero(new)
+    last = np.maximum.reduceat((own >> 8) + (own & 255), first)
+    begin = own[first] >> 8
+    return number[first], key[first], pos[first], begin << 8 | (last - begin)
+
+
 ROW = "route long, key long, check long, node binary, pos int, own int, more long, known boolean"
 
 
 def _rows(node, number, key, check, pos, own, more) -> pa.RecordBatch:
-    """Rows of one batch; those whose digits the batch holds elsewhere are known to be repeated, and but one of them go anywhere."""
+    """Rows of one batch; those whose digits the batch holds elsewhere are known to be repeated, and but one of them go anywhere.
+
+    No two rows with equal digits may have the same number (or node) and place.
+    """
     both = key if check is None else key ^ mix(check)
     twin = pd.Series(both)
     known = twin.duplicated(keep=False).to_numpy()
@@ -166,7 +181,8 @@ def sorted_pass(rows: DataFrame, every: bool = False, then=None) -> DataFrame:
             again = ((lo != hi) | np.logical_or.reduceat(known, first))[group]
             out = [batch.column(c) for c in names]
             if every:
-                here = np.flatnonzero(batch.column("route").to_numpy() == key)  # not one of those that went anywhere
+                both = (key.view(U) ^ mix(check.view(U))).view(np.int64)
+                here = np.flatnonzero(batch.column("route").to_numpy() == both)  # not one of those that went anywhere
                 head = np.zeros(len(key), bool)
                 head[here[np.unique(group[here], return_index=True)[1]]] = True
                 yield pa.RecordBatch.from_arrays([*out, pa.array(again), pa.array(head & again)], [*names, "again", "head"])
@@ -218,7 +234,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
             node = batch.column("node").take(pa.array(new, pa.int64()))
             found = list(blocks_of(texts))
             if found:
-                number, key, pos, own = (np.concatenate(c) for c in zip(*found, strict=True))
+                number, key, pos, own = _merged(*(np.concatenate(c) for c in zip(*found, strict=True)))
                 yield _rows(node, number, key, None, pos, own, None)
     return docs.mapInArrow(run, ROW)
 
@@ -260,7 +276,7 @@ def _second_pass(texts: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(len(pos)), k)
             part = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
             q = pos[row] + PART * part
-            owner = owner[row]
+            owner, q = np.unique(np.stack([owner[row], q]), axis=1)  # blocks that meet within a part both have it
             key = roll(base[owner] + q + PART - 1, WIDTH - PART + 1)
             whole = (q >= 0) & (q + WIDTH + PART - 1 <= size[owner])
             cover = np.zeros(len(q), U)
@@ -271,14 +287,14 @@ def _second_pass(texts: DataFrame) -> DataFrame:
 
 
 def _third_pass(batches):
-    """Rows of pass 3 from those that pass 2 left: by all they cover."""
+    """Rows of pass 3 from those that pass 2 left: by all they cover, and by the digit of pass 2."""
     for batch in batches:
         cover = batch.column("more").to_numpy().astype(U)
         pos = batch.column("pos").to_numpy().astype(np.int64)
         node = batch.column("node")
         alone = np.array([hash_node(x) for x in node.to_pylist()], U) + mix(pos.astype(U) + U(7))
-        yield _rows(node, np.arange(len(pos)), np.where(cover == 0, alone, cover), None, pos, np.zeros(len(pos), np.int64),
-                    batch.column("key").to_numpy())
+        core = batch.column("key").to_numpy()
+        yield _rows(node, np.arange(len(pos)), np.where(cover == 0, alone, cover), core.view(U), pos, np.zeros(len(pos), np.int64), core)
 
 
 def hash_node(node: bytes) -> int:

@@ -338,6 +338,18 @@ def test_windows_of_a_text_in_parts(monkeypatch):
     assert parts == {(k, p) for k, p, _ in whole}
 
 
+def test_long_texts_lose_nothing_that_stands_once(spark):
+    texts = ["".join(random.Random(seed).choices("abcdefghijklmnopqrstuvwxyz ", k=1_200_000)) for seed in range(2)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = [(r.doc_id, r.text) for r in repeated_windows.remove_repeats(frame).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(got) == list(enumerate(texts))
+
+
 def test_repeated_strings_of_all_cases(spark, docs, rows, tmp_path):
     found = repeated_windows.remove_repeats(docs)
     assert found.columns == docs.columns and found.count() == len(rows)
