@@ -26,6 +26,10 @@ from .labelled_pages import labelled_pages
 #: Elements by how they shape text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style head noscript template svg iframe object select textarea button title canvas audio video".split())
+IN_HEAD = frozenset("base link meta title style script noscript template".split())  # all that leaves an open head open
+BREAKS = frozenset(  # start tags that end a dropped element without an end tag of its own
+    "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hgroup hr li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label map mark meter output q "
@@ -49,6 +53,8 @@ class Page:
         self.own, self.links, self.texts = [0], [0], []
         stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the block they are in
         pieces: list[str] = []
+        loose: list[int] = []  # where in the stack dropped elements without an end tag are
+        last_end: dict[str, int] = {}
         linked = dropped = 0
         at, end = 0, len(source)
 
@@ -69,10 +75,22 @@ class Page:
                 linked -= tag == "a"
                 dropped -= tag in DROPPED
                 stack.pop()
+            while loose and loose[-1] >= to:
+                loose.pop()
+
+        def ended(tag: str) -> bool:
+            """Whether an end tag for the element that starts before ``at`` comes before the next such element."""
+            if tag not in last_end:
+                last_end[tag] = max((m.start() for m in re.finditer(rf"</{re.escape(tag)}\b", source, re.I)), default=-1)
+            if last_end[tag] < at:
+                return False
+            return re.compile(rf"<(/?){re.escape(tag)}\b", re.I).search(source, at)[1] == "/"
 
         while at < end:
             token = TOKEN.search(source, at)
             text = source[at:token.start() if token else end]
+            if stack[-1][0] == "head" and text.strip():
+                close(len(stack) - 1)
             if text and not dropped:
                 pieces.append(text)
                 if linked:
@@ -89,6 +107,13 @@ class Page:
                         close(i)
                         break
                 continue
+            if tag == "body" or (stack[-1][0] == "head" and tag not in IN_HEAD):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == "head":
+                        close(i)
+                        break
+            if loose and (tag in BREAKS or tag == stack[loose[-1]][0]):
+                close(loose[-1] if tag not in BREAKS else loose[0])
             if tag in VOID:
                 if tag in ("br", "hr", "img", "input", "wbr"):
                     pieces.append("" if tag == "wbr" or dropped else " ")
@@ -107,6 +132,8 @@ class Page:
                 self.own.append(0)
                 self.links.append(0)
                 block = len(self.tag) - 1
+            if tag in DROPPED and tag not in RAW and tag != "head" and dropped == 0 and not ended(tag):
+                loose.append(len(stack))
             stack.append((tag, block))
             linked += tag == "a"
             dropped += tag in DROPPED

@@ -166,6 +166,26 @@ def test_broken_and_empty_pages(spark, model):
     assert html_extract.extract(frame.limit(0), model).count() == 0
 
 
+HEADS = ["<html><head><title>t</title><meta charset=x><body>", "<head><title>t</title><script>var a='<p>';</script>",
+         "<html><head><link rel=a>\n", "<head><template><i>x</i><body>", "<head><style>p {}</style></head><body>"]
+
+
+@pytest.mark.parametrize("head", HEADS)
+def test_pages_that_leave_out_the_end_of_the_head(head):
+    page = html_extract.Page(f"{head}<article><h1>Title</h1><p>Some text.</p></article>")
+    assert [t for _, t in page.texts] == ["Title", "Some text."]
+    assert [t for _, t in html_extract.Page("<head><title>t</title>Bare <b>text").texts] == ["Bare text"]
+
+
+@pytest.mark.parametrize("tag", "button select object canvas audio video svg".split())
+def test_dropped_elements_without_an_end_lose_no_blocks(tag):
+    text = lambda source: [t for _, t in html_extract.Page(source).texts]
+    assert text(f"<article><p>One.</p><{tag}>x<p>Two.</p><div>Three.</div></article>") == ["One.", "Two.", "Three."]
+    assert text(f"<div><{tag}>x</div>One.<{tag}>y</{tag}><p>Two.</p>") == ["One.", "Two."]
+    assert text(f"<p>One.</p><{tag}>x<{tag}>y</{tag}><p>Two.</p>") == ["One.", "Two."]
+    assert text(f"<p>One.</p><{tag}><p>in it</p></{tag}><p>Two.</p>") == ["One.", "Two."]
+
+
 # --- chat formatting ---------------------------------------------------------
 
 
