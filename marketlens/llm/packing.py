@@ -14,6 +14,7 @@ the capacity are cut, into full pieces; what remains is the first piece.  Repeat
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left
 
@@ -36,7 +37,7 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
     """Token bytes and ids of a byte-level BPE file in JSON, whose merges are in the order of their ids.
 
     Its tokens are written with one printable character per byte: printable bytes stand for themselves, the
-    others, in order, for the characters from 256 on.  Special tokens are left out: in a text they are text.
+    others, in order, for the characters from 256 on.  Added tokens are left out: ``read_added`` has them.
     """
     with open(path, encoding="utf-8") as file:
         found = json.load(file)
@@ -47,27 +48,45 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(to_byte[c] for c in token): i for token, i in found["model"]["vocab"].items() if token not in special}
 
 
+def read_added(path: str) -> dict[str, int]:
+    """Contents and ids of the added tokens of such a file.  A text is split at them, wherever they stand."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens", [])
+    if any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("only added tokens that match as they are written can be read")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def pieces(docs: DataFrame, vocabulary: dict[bytes, int], pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
-           with_ids: bool = False) -> DataFrame:
+           with_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece of every row, and its ``ids`` if asked for."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    added = added or {}
     fields = [docs.schema["doc_id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
               T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     fields += [T.StructField("ids", T.BinaryType())] * with_ids
 
     def run(batches):
         encode = encoder(shared.value, pattern)
+        splitter = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
         for batch in batches:
             for part, texts in text_blocks(batch, BLOCK_BYTES):
-                block = Block(texts)
+                split = [splitter.split(t) if splitter else [t] for t in texts]  # text, added token, text, ...
+                block = Block([t for parts in split for t in parts[::2]])
                 each = [encode(w) for w in block.words]
                 lengths = np.array([len(x) for x in each], np.int64)
                 flat = np.fromiter((i for x in each for i in x), "<u4", int(lengths.sum()))
                 offsets = np.cumsum(lengths) - lengths
                 row, number, start, length, crc, ids, at = [], [], [], [], [], [], 0
-                for i, n in enumerate(block.counts.tolist()):
-                    own = np.append(expand(block.codes[at:at + n], lengths, offsets, flat), np.array([end_id], "<u4"))
-                    at += n
+                counts = iter(block.counts.tolist())
+                for i, parts in enumerate(split):
+                    encoded = []
+                    for k in range(0, len(parts), 2):
+                        n = next(counts)
+                        after = added[parts[k + 1]] if k + 1 < len(parts) else end_id
+                        encoded += [expand(block.codes[at:at + n], lengths, offsets, flat), np.array([after], "<u4")]
+                        at += n
+                    own = np.concatenate(encoded)
                     data, size = memoryview(own.tobytes()), len(own)
                     cuts = [0, *range(size % capacity or capacity, size + 1, capacity)]
                     for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -188,16 +207,16 @@ def sequences(placed: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: dict[bytes, int], pattern: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, added: dict[str, int] | None = None) -> DataFrame:
     """A row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    return place(materialize(pieces(docs, vocabulary, pattern, capacity, end_id, with_ids), "pieces"), capacity)
+    return place(materialize(pieces(docs, vocabulary, pattern, capacity, end_id, with_ids, added), "pieces"), capacity)
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    vocabulary = read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
-    done = pack(docs, vocabulary, public_tokenizers.PATTERN)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = pack(docs, read_vocabulary(path), public_tokenizers.PATTERN, added=read_added(path))
     return done.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

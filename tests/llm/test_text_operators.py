@@ -126,6 +126,20 @@ def test_packing_of_documents(spark, docs, rows):
     assert packing.pack_documents(cases.empty(spark)).count() == 0
 
 
+def test_added_tokens_in_texts_have_their_ids(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", end, end * 3, f"it {end} is{end}'s  \n{end}", f"<|{end}", "<|endoftext", f"a  {end}  b", "word " * 2000 + end + " x"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = {}
+    for i, t in enumerate(texts):
+        ids = np.array([*plain.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        expected |= {(i, k): (a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))}
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 50256, 65]
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packing.pack_documents(frame).collect()} == expected
+
+
 def test_sequences_hold_the_ids(spark, docs):
     vocabulary = packing.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
     placed = packing.pack(docs, vocabulary, public_tokenizers.PATTERN, with_ids=True)
