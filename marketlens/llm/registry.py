@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, html_extract, knn_join, language_id, order_minhash, packing, quality_rules, repeated_windows, url_filters
+from . import (
+    bpe, chat_format, html_extract, knn_join, language_id, order_minhash, packing, quality_rules, ranked_search,
+    repeated_windows, url_filters,
+)
 
 OPERATORS = {
     "op1_order_minhash": order_minhash,
@@ -15,6 +18,7 @@ OPERATORS = {
     "op8_chat_format": chat_format,
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
+    "op11_ranked_search": ranked_search,
 }
 
 
