@@ -214,12 +214,12 @@ def search_segment(segment: Segment, terms: list[tuple[int, int]], best: Best) -
     return scored
 
 
-def _segments(batches):
+def _segments(batches, size: int):
     held, n = [], 0
     for batch in batches:
-        for at in range(0, len(batch), SEGMENT_DOCS):
-            part = batch.slice(at, SEGMENT_DOCS)
-            if n and n + len(part) > SEGMENT_DOCS:
+        for at in range(0, len(batch), size):
+            part = batch.slice(at, size)
+            if n and n + len(part) > size:
                 yield held
                 held, n = [], 0
             held.append(part)
@@ -244,7 +244,7 @@ def _search_block(docs: DataFrame, items: list[tuple[int, Counter]], k: int) ->
     def run(batches):
         weights, asked, n_docs, n_terms = shared.value
         best = {item: Best(k) for item, _ in asked}
-        for part in _segments(batches):
+        for part in _segments(batches, SEGMENT_DOCS):
             segment = invert(part, weights, n_docs, n_terms)
             for item, terms in asked:
                 search_segment(segment, terms, best[item])

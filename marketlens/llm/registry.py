@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import (
     bpe, chat_format, html_extract, knn_join, language_id, order_minhash, packing, quality_rules, ranked_search,
-    repeated_windows, url_filters,
+    repeated_windows, source_divergence, url_filters,
 )
 
 OPERATORS = {
@@ -19,6 +19,7 @@ OPERATORS = {
     "op9_quality_rules": quality_rules,
     "op10_packing": packing,
     "op11_ranked_search": ranked_search,
+    "op12_source_divergence": source_divergence,
 }
 
 
