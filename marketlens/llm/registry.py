@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import (
     bpe, chat_format, html_extract, knn_join, language_id, order_minhash, packing, quality_rules, ranked_search,
-    repeated_windows, source_divergence, url_filters,
+    repeated_windows, source_divergence, toxicity, url_filters,
 )
 
 OPERATORS = {
@@ -20,6 +20,7 @@ OPERATORS = {
     "op10_packing": packing,
     "op11_ranked_search": ranked_search,
     "op12_source_divergence": source_divergence,
+    "op13_toxicity": toxicity,
 }
 
 
