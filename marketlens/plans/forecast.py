@@ -10,9 +10,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, Window, functions as F
 
-from marketlens.functions.numeric import as_money, total_cents
+from marketlens.functions.numeric import as_money
 from marketlens.operators.timeseries import lag_features, mark_last, weekly_totals
-from marketlens.plans.kpis import Star, daily_revenue, orders_with_cents
+from marketlens.plans.kpis import CATEGORY, ORDER_LINES, Star, daily_revenue, order_lines, orders_with_cents
 from marketlens.session import materialize
 
 # The modelled period, the shortest usable history, split and horizon,
@@ -33,6 +33,8 @@ def daily_series(star: Star, by: str | None = None) -> DataFrame:
     One series of all payments, or one per ``state`` (payments), ``seller`` or
     ``category`` (item prices).
     """
+    if by not in (None, "state", *ORDER_LINES):
+        raise ValueError(f"no series by {by!r}")
     if by is None:
         return daily_revenue(star).select(F.lit(TOTAL).alias("series"), "purchase_date", "revenue")
     day = F.to_date("purchase_timestamp").alias("purchase_date")
@@ -45,22 +47,19 @@ def daily_series(star: Star, by: str | None = None) -> DataFrame:
         sold = per_record.join(star["dim_customers"].select("customer_key", "customer_state"), "customer_key")
         series = F.col("customer_state")
     else:
-        key, dimension, series = {
-            "seller": ("seller_key", "dim_sellers", F.col("seller_id")),
-            "category": (
-                "product_key",
-                "dim_products",
-                F.coalesce("product_category_name_english", "product_category_name", F.lit("unknown")),
-            ),
-        }[by]
-        # Items shrink to (order, key) first, then to (key, day); the dimension is joined last.
-        lines = star["fact_order_items"].groupBy("order_id", key).agg(total_cents("price").alias("cents"))
-        per_key = (
-            lines.join(star["fact_orders"].select("order_id", day), "order_id")
-            .groupBy(key, "purchase_date")
+        # Lines are stored per order and key; they shrink to (key, day) before a name is looked up.
+        keys = ["seller_key"] if by == "seller" else list(CATEGORY)
+        sold = (
+            order_lines(star, by)
+            .filter("in_orders")
+            .groupBy(*keys, "purchase_date")
             .agg(F.sum("cents").alias("cents"))
         )
-        sold = per_key.join(star[dimension], key)
+        if by == "seller":
+            sold = sold.join(star["dim_sellers"].select("seller_key", "seller_id"), "seller_key")
+            series = F.col("seller_id")
+        else:
+            series = F.coalesce(*CATEGORY, F.lit("unknown"))
     return (
         sold.filter(series.isNotNull())
         .groupBy(series.cast("string").alias("series"), "purchase_date")

@@ -23,6 +23,10 @@ Star = dict[str, DataFrame]
 # Columns the views combine with revenue, and the name the stored join has in a star.
 _REVENUE_COLUMNS = ("order_status", "customer_key", "purchase_timestamp", "purchase_date_key")
 ORDER_REVENUE = "order_revenue"
+# The stored lines of each order per seller and per category, by what they are grouped by.
+ORDER_LINES = {"seller": "order_sellers", "category": "order_categories"}
+STORED_JOINS = (ORDER_REVENUE, *ORDER_LINES.values())
+CATEGORY = ("product_category_name_english", "product_category_name")
 
 
 def orders_with_cents(star: Star, *columns: str) -> DataFrame:
@@ -44,7 +48,10 @@ def with_order_revenue(star: Star) -> Star:
 
     The places, months, days, customers and state series all start from that join;
     with it stored none of them shuffles orders or payments by order again.
+    A published star has it already.
     """
+    if ORDER_REVENUE in star:
+        return star
     return {**star, ORDER_REVENUE: materialize(orders_with_cents(star, *_REVENUE_COLUMNS), "order-revenue")}
 
 
@@ -59,14 +66,16 @@ def reviews_per_order(star: Star, dedupe_reviews: bool = False) -> DataFrame:
         F.sum("review_score").alias("score_sum"),
         F.count("review_score").alias("score_count"),
     )
-    if not dedupe_reviews:
-        return per_order
-    return per_order.select(
-        "order_id",
-        F.lit(1).cast("long").alias("review_rows"),
-        (F.col("score_sum").cast("decimal(38,10)") / F.nullif("score_count", F.lit(0))).alias("score_sum"),
-        F.when(F.col("score_count") > 0, 1).otherwise(0).cast("long").alias("score_count"),
-    )
+    return once_per_order(per_order) if dedupe_reviews else per_order
+
+
+def once_per_order(df: DataFrame) -> DataFrame:
+    """Review totals as if each order had one review, with its mean score."""
+    return df.withColumns({
+        "review_rows": F.when(F.col("review_rows").isNotNull(), F.lit(1).cast("long")),
+        "score_sum": F.col("score_sum").cast("decimal(38,10)") / F.nullif("score_count", F.lit(0)),
+        "score_count": F.when(F.col("review_rows").isNotNull(), F.when(F.col("score_count") > 0, 1).otherwise(0).cast("long")),
+    })
 
 
 def kpi_overview(star: Star, statuses: Sequence[str] | None = None) -> DataFrame:
@@ -130,6 +139,47 @@ def geographic_performance(star: Star) -> DataFrame:
     )
 
 
+def order_lines(star: Star, by: str) -> DataFrame:
+    """One row per order and seller, or per order and category, with all that lines are combined with.
+
+    ``items`` and ``cents`` of the lines; ``purchase_date`` and ``delivery_delay_days`` of the order, ``in_orders`` being
+    false where the order itself is missing; ``review_rows``, ``score_sum`` and ``score_count`` of its reviews.  A published
+    star holds these rows, so the views over them shuffle nothing by order.
+    """
+    if ORDER_LINES[by] in star:
+        return star[ORDER_LINES[by]]
+    key, keys = ("seller_key", ["seller_key"]) if by == "seller" else ("product_key", list(CATEGORY))
+    lines = star["fact_order_items"].groupBy("order_id", key).agg(
+        F.count(F.lit(1)).alias("items"), total_cents("price").alias("cents")
+    )
+    if by == "category":
+        lines = (
+            lines.join(star["dim_products"].select("product_key", *CATEGORY), "product_key")
+            .groupBy("order_id", *CATEGORY)
+            .agg(F.sum("items").alias("items"), F.sum("cents").alias("cents"))
+        )
+    orders = star["fact_orders"].select(
+        "order_id", F.to_date("purchase_timestamp").alias("purchase_date"), "delivery_delay_days", F.lit(True).alias("in_orders")
+    )
+    return (
+        lines.join(orders, "order_id", "left")
+        .join(reviews_per_order(star), "order_id", "left")
+        .select("order_id", *keys, "items", "cents", "purchase_date", "delivery_delay_days",
+                F.coalesce("in_orders", F.lit(False)).alias("in_orders"), "review_rows", "score_sum", "score_count")
+    )
+
+
+def stored_joins(star: Star) -> Star:
+    """The joins by order that the views start from, by the name they have in a published star."""
+    lines = {name: order_lines(star, by) for by, name in ORDER_LINES.items()}
+    return {ORDER_REVENUE: orders_with_cents(star, *_REVENUE_COLUMNS), **lines}
+
+
+def _lines_with_reviews(star: Star, by: str, dedupe_reviews: bool) -> DataFrame:
+    lines = order_lines(star, by)
+    return once_per_order(lines) if dedupe_reviews else lines
+
+
 def _repeated(value: str) -> Column:
     """``value`` as often as the reviews of its order repeat it; once when there are none."""
     return wide_product(F.col(value), F.coalesce("review_rows", F.lit(1)))
@@ -137,26 +187,22 @@ def _repeated(value: str) -> Column:
 
 def _scores(value: str) -> Column:
     """A review total of the order, once for each of its items."""
-    return F.col("_items").cast("decimal(19,0)") * F.col(value)
+    return F.col("items").cast("decimal(19,0)") * F.col(value)
 
 
 def seller_performance(star: Star, dedupe_reviews: bool = False) -> DataFrame:
-    lines = star["fact_order_items"].groupBy("order_id", "seller_key").agg(
-        F.count(F.lit(1)).alias("_items"), total_cents("price").alias("_cents")
-    )
-    orders = star["fact_orders"].select("order_id", "delivery_delay_days")
     delay = F.col("delivery_delay_days")
     per_seller = (
-        lines.join(orders, "order_id")
-        .join(reviews_per_order(star, dedupe_reviews), "order_id", "left")
+        _lines_with_reviews(star, "seller", dedupe_reviews)
+        .filter("in_orders")
         .groupBy("seller_key")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
-            as_money(F.sum(_repeated("_cents"))).alias("total_item_revenue"),
+            as_money(F.sum(_repeated("cents"))).alias("total_item_revenue"),
             F.sum(_scores("score_sum")).alias("_score"),
             F.sum(_scores("score_count")).alias("_scored"),
-            F.sum(_repeated("_items") * delay).alias("_delay"),
-            F.sum(F.when(delay.isNotNull(), _repeated("_items"))).alias("_delayed"),
+            F.sum(_repeated("items") * delay).alias("_delay"),
+            F.sum(F.when(delay.isNotNull(), _repeated("items"))).alias("_delayed"),
         )
     )
     sellers = star["dim_sellers"].select("seller_key", "seller_id", "seller_city", "seller_state")
@@ -173,28 +219,18 @@ def seller_performance(star: Star, dedupe_reviews: bool = False) -> DataFrame:
 
 def category_profitability(star: Star, dedupe_reviews: bool = False) -> DataFrame:
     """Per (label, raw name) pair, so one label may appear more than once."""
-    lines = star["fact_order_items"].groupBy("order_id", "product_key").agg(
-        F.count(F.lit(1)).alias("_items"), total_cents("price").alias("_cents")
-    )
-    pair = ["product_category_name_english", "product_category_name"]
-    products = star["dim_products"].select("product_key", *pair)
-    per_order = (
-        lines.join(products, "product_key")
-        .groupBy("order_id", *pair)
-        .agg(F.sum("_items").alias("_items"), F.sum("_cents").alias("_cents"))
-    )
     return (
-        per_order.join(reviews_per_order(star, dedupe_reviews), "order_id", "left")
-        .groupBy(*pair)
+        _lines_with_reviews(star, "category", dedupe_reviews)
+        .groupBy(*CATEGORY)
         .agg(
             F.count("order_id").alias("total_orders"),
-            F.sum(_repeated("_items")).cast("long").alias("items_sold"),
-            as_money(F.sum(_repeated("_cents"))).alias("total_revenue"),
+            F.sum(_repeated("items")).cast("long").alias("items_sold"),
+            as_money(F.sum(_repeated("cents"))).alias("total_revenue"),
             F.sum(_scores("score_sum")).alias("_score"),
             F.sum(_scores("score_count")).alias("_scored"),
         )
         .select(
-            F.coalesce(*pair, F.lit("unknown")).alias("product_category"),
+            F.coalesce(*CATEGORY, F.lit("unknown")).alias("product_category"),
             "total_orders",
             "items_sold",
             "total_revenue",

@@ -46,8 +46,7 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), list_path(spark, sf_dir))
     if state not in _published:
         root = scratch_path(spark, "warehouse")
-        published = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
-        _published[state] = kpis.with_order_revenue(published)
+        _published[state] = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
     return _published[state]
 
 
@@ -149,7 +148,8 @@ def q_published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
     tables = warehouse.open_star(spark, root)
     counted = None
-    for name, df in tables.items():
+    for name in warehouse.TABLES:
+        df = tables[name]
         key = SURROGATE_KEYS.get(name, "date_key")
         one = df.agg(
             F.lit(name).alias("table_name"),
@@ -481,7 +481,7 @@ def q_registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         table.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit("warehouse").alias("namespace"), F.lit(name).alias("table_name"),
             F.lit(len(table.columns)).alias("column_count"), "row_count")
-        for name, table in schema_tables(spark, "warehouse").items()
+        for name, table in schema_tables(spark, "warehouse").items() if name in warehouse.TABLES
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.accounting import load_accounting
 from marketlens.operators.constraints import ConstraintViolation, constraint_report
-from marketlens.plans import kpis, warehouse
+from marketlens.plans import forecast, kpis, warehouse
 from marketlens.schemas import SURROGATE_KEYS
 from marketlens.sources import catalog
 from marketlens.sources.versioned import current_version
@@ -258,3 +258,42 @@ def test_figures_agree_with_each_other(star):
     assert monthly == kpis.kpi_overview(star).first().total_orders
     spend = kpis.customer_rfm(star).agg(F.sum("monetary_value")).first()[0]
     assert spend == kpis.monthly_sales_trend(star).agg(F.sum("total_revenue")).first()[0]
+
+
+def _exchanges_by_order(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum("hashpartitioning(order_id" in line for line in plan.splitlines())
+
+
+def test_views_over_lines_shuffle_nothing_by_order(spark, star, published):
+    """With broadcasts off, as at scale: the joins by order were made when the version was written."""
+    stored = warehouse.open_star(spark, published)
+    views = {
+        "sellers": kpis.seller_performance,
+        "sellers, reviews once": lambda s: kpis.seller_performance(s, dedupe_reviews=True),
+        "categories": kpis.category_profitability,
+        "categories, reviews once": lambda s: kpis.category_profitability(s, dedupe_reviews=True),
+        "weeks by seller": lambda s: forecast.weekly_series(forecast.daily_series(s, "seller")),
+        "weeks by category": lambda s: forecast.weekly_series(forecast.daily_series(s, "category")),
+    }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, view in views.items():
+            assert _exchanges_by_order(view(stored)) == 0 < _exchanges_by_order(view(star)), name
+            assert sorted(map(str, view(stored).collect())) == sorted(map(str, view(star).collect())), name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_of_unknown_orders_count_for_categories_only(spark, make_staging, tmp_path):
+    rows = make_staging(
+        customers=[("c1", "ann", "1", "a", "A")], sellers=[("s1", "1", "a", "A")],
+        products=[("p1", "x", 1, 1, 1, 1.0, 1.0, 1.0, 1.0)],
+        orders=[order("o1", "c1", "2018-01-10T08:00:00")],
+        order_items=[item("o1", 1, "p1", "s1", "1.00"), item("gone", 1, "p1", "s1", "2.00")])
+    stored = warehouse.publish(spark, rows, str(tmp_path))
+    assert [float(r.total_item_revenue) for r in kpis.seller_performance(stored).collect()] == [1.0]
+    assert [float(r.total_revenue) for r in kpis.category_profitability(stored).collect()] == [3.0]
+    assert forecast.daily_series(stored, "category").count() == 1
+    with pytest.raises(ValueError):
+        forecast.daily_series(stored, "colour")
