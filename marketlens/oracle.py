@@ -526,6 +526,18 @@ def queries() -> dict[str, str]:
             FROM (SELECT seller_id FROM dim_sellers UNION SELECT customer_id FROM dim_customers)"""),
         "surrogate_keys": "SELECT count(*) AS row_count, count(*) AS key_count, 1 AS first_key, count(*) AS last_key FROM lineitem",
         "published_tables": sql(_table_counts()),
+        "increment_tables": sql(_table_counts()),
+        "increment_sellers": SELLER,
+        "increment_categories": category("order_reviews", "review_score", 1),
+        "increment_months": sql(f"""SELECT year, month, month_name, total_orders, {money("cents")} AS total_revenue
+            FROM monthly""", MONTHLY),
+        "ingest_counts": """
+            WITH d AS (SELECT 0 AS batch, c_custkey AS k, c_custkey % 9 <> 0 AS fresh FROM customer WHERE c_custkey % 2 = 0
+                       UNION ALL
+                       SELECT 1, c_custkey, c_custkey % 9 <> 0 AND c_custkey % 2 <> 0 FROM customer WHERE c_custkey % 3 <> 1)
+            SELECT batch, count(*) AS rows_read, count(*) FILTER (k % 9 = 0) AS rejected_cells,
+                   count(*) FILTER (k % 11 = 0) AS malformed_rows, count(*) FILTER (fresh) AS rows_added
+            FROM d GROUP BY batch""",
         "constraints": sql(_constraint_rows()),
         "fk_orphans": sql(_orphans()),
         "load_accounting": sql(_accounting()),

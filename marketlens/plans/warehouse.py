@@ -12,6 +12,7 @@ Two ways to get a star, with the same columns and the same KPI plans on top:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -177,8 +178,12 @@ def publish(
     staging: dict[str, DataFrame],
     root: str,
     calendar: tuple[str, str] = DEFAULT_CALENDAR,
+    also: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Full refresh of all eight tables and the joins stored with them, or of none: dimensions, facts, checks, joins, commit."""
+    """Full refresh of all eight tables and the joins stored with them, or of none: dimensions, facts, checks, joins, commit.
+
+    ``also`` gives further tables of the version from the stored star.
+    """
     version, path = new_version_path(root)
     scratch_root(spark)  # settled before the writers below start
 
@@ -221,8 +226,9 @@ def publish(
     star = {name: star[name] for name in TABLES}
     enforce(star, without_generated_keys())
     # The joins by order that the views share, written once per version.
-    with ThreadPoolExecutor(max_workers=3) as pool:
-        level = {name: pool.submit(store, name, join) for name, join in stored_joins(star).items()}
+    more = {**stored_joins(star), **(also(star) if also else {})}
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        level = {name: pool.submit(store, name, table) for name, table in more.items()}
         star.update({name: job.result() for name, job in level.items()})
     commit_version(spark, root, version, star)
     return star

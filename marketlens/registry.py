@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,14 +17,15 @@ from marketlens.operators.dedupe import insert_or_ignore
 from marketlens.operators.keys import dense_keys, extend_dimension
 from marketlens.operators.timeseries import lag_features
 from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
+from marketlens.plans.increments import publish_batches
 from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS, SURROGATE_KEYS
-from marketlens.session import list_path, scratch_path
+from marketlens.session import list_path, scratch_path, scratch_root
 from marketlens.sources import testtables
 from marketlens.sources.catalog import create_namespaces, register_version, register_views, schema_tables
 from marketlens.sources.csv_files import ingest, open_staging, profile_files
 from marketlens.sources.reports import HEADINGS, write_export, write_report
-from marketlens.streaming.ingest import read_increments, start_ingest
+from marketlens.streaming.ingest import batch_counts, read_increments, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,7 @@ GIVEN_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "l
                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 _published: dict[tuple, dict[str, DataFrame]] = {}
+_incremental: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -146,18 +149,19 @@ def q_published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full publish; rows of every table of the committed version and of its keys."""
     root = scratch_path(spark, "warehouse")
     warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
-    tables = warehouse.open_star(spark, root)
-    counted = None
-    for name in warehouse.TABLES:
-        df = tables[name]
-        key = SURROGATE_KEYS.get(name, "date_key")
-        one = df.agg(
+    return _table_sizes(warehouse.open_star(spark, root))
+
+
+def _table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
+    parts = [
+        tables[name].agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
-            F.countDistinct(key).alias("key_count"),
+            F.countDistinct(SURROGATE_KEYS.get(name, "date_key")).alias("key_count"),
         )
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+        for name in warehouse.TABLES
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,6 +474,79 @@ def q_incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_increments(spark, target)
 
 
+#: Which rows of a table come with the first delivery; customers, parts and suppliers of early orders come late.
+_FIRST_DELIVERY = {
+    "customers": "customer_id % 4 <> 0", "sellers": "seller_id % 3 <> 1", "products": "product_id % 5 <> 2", "category_translation": "true",
+    "orders": "order_id % 3 <> 0", "order_items": "order_id % 2 = 0 OR order_item_id = 1", "order_payments": "order_id % 3 <> 1",
+    "order_reviews": "order_id % 5 < 3",
+}
+
+
+def _deliver(spark: SparkSession, sf_dir: str, raw: str, staged: str, rows: dict[str, str]) -> None:
+    """Write the named rows of each table as CSV and take them into the staging tables by a stream each."""
+    def one(table: str) -> None:
+        frame = testtables.STAGING_BUILDERS[table](spark, sf_dir).filter(rows[table])
+        if table == "order_reviews":  # staging keeps one row per review id, so ids must tell reviews apart
+            frame = frame.withColumn("review_id", F.concat_ws("-", "review_id", "order_id", "review_score"))
+        if table == "order_items":  # the given line numbers repeat within an order
+            digest = F.xxhash64(*[c for c in frame.columns if c != "order_item_id"], "order_item_id")
+            frame = frame.withColumn("order_item_id", F.pmod(digest, F.lit(2_000_000_000)))
+        frame.write.mode("append").option("header", True).option("escape", '"').csv(f"{raw}/{table}")
+        dataset = next(d for d in DATASETS.values() if d.table == table)
+        start_ingest(spark, f"{raw}/{table}", dataset, f"{staged}/{table}", f"{raw}/_progress/{table}", key_parts=16).awaitTermination()
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(one, rows))
+
+
+def incremental_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star after two deliveries, each published when it had come, the second one as an increment."""
+    state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), list_path(spark, sf_dir))
+    if state not in _incremental:
+        scratch_root(spark)
+        raw, staged, root = (scratch_path(spark, label) for label in ("raw", "staged", "warehouse"))
+        _deliver(spark, sf_dir, raw, staged, _FIRST_DELIVERY)
+        publish_batches(spark, root, staged, CALENDAR)
+        late = {table: f"NOT ({first})" for table, first in _FIRST_DELIVERY.items() if first != "true"}
+        _deliver(spark, sf_dir, raw, staged, late)
+        _incremental[state] = publish_batches(spark, root, staged, CALENDAR)
+    return _incremental[state]
+
+
+def q_increment_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and keys of every table after the increment: those of a full refresh."""
+    return _table_sizes(incremental_star(spark, sf_dir))
+
+
+def q_increment_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sellers = kpis.seller_performance(incremental_star(spark, sf_dir))
+    return comparable(sellers).withColumn("seller_id", F.col("seller_id").cast("long"))
+
+
+def q_increment_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(kpis.category_profitability(incremental_star(spark, sf_dir)))
+
+
+def q_increment_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(kpis.monthly_sales_trend(incremental_star(spark, sf_dir)))
+
+
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places delivered with unreadable coordinates and overlong lines: what each batch read, rejected and added."""
+    raw, target = scratch_path(spark, "raw"), scratch_path(spark, "places")
+    places = testtables.table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "string(c_nationkey) AS geolocation_zip_code_prefix",
+        "concat(CASE WHEN c_custkey % 9 = 0 THEN 'near ' ELSE '' END, c_custkey % 50) AS geolocation_lat",
+        "double(c_custkey) AS geolocation_lng", "'city' AS geolocation_city",
+        "concat('state', CASE WHEN c_custkey % 11 = 0 THEN ',more' ELSE '' END) AS geolocation_state")
+    for wanted in ("c_custkey % 2 = 0", "c_custkey % 3 <> 1"):
+        rows = places.filter(wanted).drop("c_custkey")
+        # Without quotes a comma inside a cell makes the line one cell too long.
+        rows.write.mode("append").option("header", True).option("quote", "").csv(raw)
+        start_ingest(spark, raw, DATASETS["geolocation"], target, f"{raw}-progress", key_parts=16).awaitTermination()
+    return batch_counts(spark, target).select(F.col("_batch").alias("batch"), "rows_read", "rejected_cells", "malformed_rows", "rows_added")
+
+
 def q_registered_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Namespace, columns and rows of the warehouse tables, registered again after a second publish."""
     root = scratch_path(spark, "warehouse")
@@ -572,6 +649,11 @@ QUERIES: dict[str, Query] = {
     "profile_files": q_profile_files,
     "sql_over_views": q_sql_over_views,
     "incremental_ingest": q_incremental_ingest,
+    "increment_tables": q_increment_tables,
+    "increment_sellers": q_increment_sellers,
+    "increment_categories": q_increment_categories,
+    "increment_months": q_increment_months,
+    "ingest_counts": q_ingest_counts,
     "registered_tables": q_registered_tables,
     "segment_export": q_segment_export,
     "segment_report": q_segment_report,

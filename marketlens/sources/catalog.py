@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.plans.kpis import VIEWS
@@ -15,15 +17,29 @@ def create_namespaces(spark: SparkSession) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def register_tables(spark: SparkSession, schema: str, folders: dict[str, str]) -> None:
-    """Point ``schema.table`` at the root folder of each table, with all its partitions; the files stay where they are."""
-    for name, folder in folders.items():
-        spark.sql(f"DROP TABLE IF EXISTS {schema}.`{name}`")
-        spark.catalog.createTable(f"{schema}.{name}", path=folder, source="parquet")
+def register_tables(spark: SparkSession, schema: str, folders: Mapping[str, str | Sequence[str]]) -> None:
+    """Point ``schema.table`` at the root folder of each table, with all its partitions; the files stay where they are.
+
+    A table of several folders becomes a view over them, as a catalog table has one folder.
+    """
+    for name, found in folders.items():
+        paths = [found] if isinstance(found, str) else list(found)
+        _forget(spark, schema, name)
+        if len(paths) > 1:
+            union = " UNION ALL ".join(f"SELECT * FROM parquet.`{path}`" for path in paths)
+            spark.sql(f"CREATE VIEW {schema}.`{name}` AS {union}")
+            continue
+        spark.catalog.createTable(f"{schema}.{name}", path=paths[0], source="parquet")
         if any(c.isPartition for c in spark.catalog.listColumns(f"{schema}.{name}")):
             spark.catalog.recoverPartitions(f"{schema}.{name}")
 
 
+def _forget(spark: SparkSession, schema: str, name: str) -> None:
+    if spark.catalog.tableExists(f"{schema}.{name}"):
+        kind = "VIEW" if spark.catalog.getTable(f"{schema}.{name}").tableType == "VIEW" else "TABLE"
+        spark.sql(f"DROP {kind} {schema}.`{name}`")
+
+
 def register_version(spark: SparkSession, schema: str, root: str) -> list[str]:
     """Point the namespace at the current version of a table set; again after each publish."""
     folders = table_paths(spark, root)
