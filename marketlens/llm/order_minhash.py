@@ -1,20 +1,25 @@
-"""Near-duplicate classes by Order MinHash over five-word shingles, verified by banded alignment.
+"""Near-duplicate classes by Order MinHash over five-word shingles, verified by banded alignment of the words.
 
 A text is the sequence of its five-word shingles, each labelled with its occurrence number, so a repeated
 shingle counts as often as it stands there.  A sketch takes the shingles with the two least hashes and keeps
-them in text order; two texts share it with a probability of about the square of their similarity, less if
-their order differs.  Ten sketches miss a pair at similarity 0.8 once in about 30,000 times.
+them in text order; two texts share it with a probability of about the square of their shingles' similarity, less
+if their order differs.  One changed word changes five shingles, so texts that agree in 90 % of their words have
+about 0.42 of their shingles in common and share a given sketch with probability 0.17; ``SKETCHES`` of them miss
+such a pair about once in a hundred times.
 
-Verification aligns two shingle sequences inside the band that similarity 0.8 leaves for insertions and
-deletions.  As labelled shingles are unique, the best alignment is the longest increasing chain of their
-matches.  With m aligned shingles of n and k, the similarity is m / (n + k - m).
+Verification aligns the words themselves, so it measures edits: with m words aligned in order, of n and k, the
+similarity is m / (n + k - m), and m is the longest common subsequence inside the band that similarity 0.8 leaves
+for insertions and deletions.  It is found exactly, a row of the band at a time as bits of one number.  Pairs whose
+lengths or counts of words rule the similarity out are not aligned.
 
 Candidates come from buckets of equal sketches: equal texts are one node; up to ``ALL_PAIRS`` nodes are compared
-with each other, more at first with one of them, another in each bucket.  Large buckets that still hold several
-classes are then finished exactly: their members are dealt into blocks of about ``BLOCK``, and each pair of blocks
-compares all its texts of different classes, but a pair of texts only in the first bucket that they share and only
-while nothing else in the two blocks has linked their classes.  So every pair of texts with a common sketch is
-compared or is in one class without it; no bucket, and no member of one, is left out for its size.
+with each other, more at first with one of them, another in each bucket.  What large buckets then hold of several
+classes, mostly texts that share a passage and little else, is finished exactly by a prefix filter: the words of a
+text, labelled with their occurrence, are put in one order for all texts, rare ones first, and of n words the first
+n - 0.8 n + 1 are its prefix.  Texts with similarity 0.8 have a word of their prefixes in common, so all pairs of
+different classes that do are aligned, whatever buckets they are in, unless the places of that word or the parities of
+their words prove them to differ more.  No bucket, and no member of one, is left out for
+its size.
 
 Null texts are classes of their own; texts without words equal only their exact copies; texts of fewer than
 five words are one shingle.  Repeated rows are copies.  The class id is the least id in the class.
@@ -22,8 +27,6 @@ five words are one shingle.  Repeated rows are copies.  The class id is the leas
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -34,10 +37,11 @@ from marketlens.session import materialize
 from .components import components
 
 WORDS, LEAST = 5, 2
-SKETCHES = 10
+SKETCHES = 24
 SIMILARITY = 0.8
 ALL_PAIRS = 24
-BLOCK = 128
+RANKS = 1 << 16
+MARKS = 512
 CHUNK_BYTES = 1 << 20
 U = np.uint64
 A, B, C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -62,8 +66,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _CACHE: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the labelled shingles of all texts, and where each text's begin (one more for the end)."""
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and where each text's begin (one more for the end)."""
     data = np.frombuffer(("\n".join(texts) + "\n").encode(), np.uint8)
     size = max(len(data), CHUNK_BYTES + 65536)
     if size not in _CACHE:
@@ -79,7 +83,12 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum((data.astype(U) + U(1)) * up, out=total[1:])
     word = mix((total[end] - total[begin]) * down[begin])
     last = np.cumsum([len(t.encode()) + 1 for t in texts])
-    first = np.concatenate([[0], np.searchsorted(begin, last)])
+    return word, np.concatenate([[0], np.searchsorted(begin, last)])
+
+
+def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the labelled shingles of all texts, and where each text's begin (one more for the end)."""
+    word, first = words_of(texts)
     n = np.diff(first)
     kept = np.where(n == 0, 0, np.maximum(n - WORDS + 1, 1))
     starts = np.concatenate([[0], np.cumsum(kept)])
@@ -154,26 +163,42 @@ def signatures(docs: DataFrame) -> DataFrame:
     return worded.mapInArrow(run, "node binary, keys array<long>").dropDuplicates(["node"])
 
 
+def aligned(a: list[int], b: list[int], band: int) -> int:
+    """Length of the longest common subsequence of two lists whose places differ by ``band`` at most.
+
+    Bit i of ``open_`` is 0 where the best alignment of a[:i + 1] is longer than that of a[:i]; a word of b moves these
+    places at its matches, all in one addition.
+    """
+    places: dict[int, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    width = (1 << (2 * band + 1)) - 1
+    open_ = whole
+    for j, word in enumerate(b):
+        match = places.get(word, 0)
+        if match:
+            match &= width << (j - band) if j > band else width >> (band - j)
+            hit = open_ & match
+            open_ = ((open_ + hit) | (open_ - hit)) & whole
+    return len(a) - open_.bit_count()
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Aligned share of two labelled shingle sequences; 0 where it is certain to be below ``least``."""
-    n = len(a) + len(b)
-    if min(len(a), len(b)) < least * max(len(a), len(b)) or not n:
+    """Aligned share of two sequences of words; 0 where it is certain to be below ``least``."""
+    n, k = len(a), len(b)
+    if not n or not k or min(n, k) < least * max(n, k):
         return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    needed = least / (1 + least) * n
-    if len(i) < needed - 1e-9:
+    needed = least / (1 + least) * (n + k)
+    if n == k and (a == b).sum() == n:
+        return 1.0
+    words, (more, fewer) = np.unique(np.concatenate([a, b])), (np.sort(a), np.sort(b))
+    both = [np.searchsorted(x, words, "right") - np.searchsorted(x, words) for x in (more, fewer)]
+    if np.minimum(*both).sum() < needed - 1e-9:
         return 0.0
-    band = np.abs(i - j) <= n - 2 * needed + 1e-9
-    chain = j[band][np.argsort(i[band])]
-    if len(chain) > 1 and not (np.diff(chain) > 0).all():
-        tails: list[int] = []
-        for x in chain.tolist():
-            at = bisect_left(tails, x)
-            tails[at:at + 1] = [x]
-        m = len(tails)
-    else:
-        m = len(chain)
-    return m / (n - m)
+    band = int(n + k - 2 * needed + 1e-9)
+    m = aligned(a.tolist(), b.tolist(), band)
+    return m / (n + k - m) if m >= needed - 1e-9 else 0.0
 
 
 def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -183,7 +208,7 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
             left, right = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             found = []
             for begin, end in _parts([x + y for x, y in zip(left, right, strict=True)]):
-                (a, at), (b, bt) = shingles(left[begin:end]), shingles(right[begin:end])
+                (a, at), (b, bt) = words_of(left[begin:end]), words_of(right[begin:end])
                 found += [similarity(a[at[k]:at[k + 1]], b[bt[k]:bt[k + 1]], least) for k in range(end - begin)]
             found = np.array(found)
             ok = pa.array(found >= least - 1e-12)
@@ -208,60 +233,85 @@ def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return star.unionByName(every).distinct(), large
 
 
-def block_pairs(members: DataFrame) -> DataFrame:
-    """``pair, side`` added to members (key, node, root) of mixed buckets, once for each pair of blocks that a member is in.
+def labelled_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word and occurrence in its text as one hash, the text's number, and how many words the texts have."""
+    word, first = words_of(texts)
+    n = np.diff(first)
+    owner = np.repeat(np.arange(len(texts)), n)
+    times = pd.DataFrame({"owner": owner, "word": word}).groupby(["owner", "word"], sort=False).cumcount().to_numpy()
+    return mix(word + times.astype(U) * C), owner, n
+
+
+def rarity(texts: DataFrame) -> np.ndarray:
+    """How many labelled words fall into each of ``RANKS`` classes of their hash: a table of fixed size that orders words by rarity."""
+    def run(batches):
+        total = np.zeros(RANKS, np.int64)
+        for batch in batches:
+            found = batch.column("text").to_pylist()
+            for begin, end in _parts(found):
+                token, _, _ = labelled_words(found[begin:end])
+                total += np.bincount((token % U(RANKS)).astype(np.int64), minlength=RANKS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    out = np.zeros(RANKS, np.int64)
+    for r in texts.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out
 
-    A class of ``BLOCK`` members or more has blocks of its own, which are not paired with each other; smaller classes share
-    blocks.  ``side`` is 0 and 1 for the two blocks of a pair, 2 for a block that is compared with itself.
+
+def prefixes(texts: DataFrame, ranks: np.ndarray, least: float = SIMILARITY) -> DataFrame:
+    """``token, place, node, root, n, marks``: the rarest labelled words of each text, one of which any similar text has among its own.
+
+    ``marks`` holds the parity of the labelled words in each of ``MARKS`` classes of their hash: where two texts differ in
+    d words, their marks differ in d places at most.
     """
-    sizes = members.groupBy("key", "root").agg(F.count("*").alias("n"))
-    homes = sizes.withColumn("home", F.when(F.col("n") >= BLOCK, F.col("root")).otherwise(F.lit(b"")))
-    units = homes.groupBy("key", "home").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = homes.join(units, ["key", "home"]).select("key", "root", "home", "blocks")
-    at = F.struct("home", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("number"))
-    members = members.join(dealt, ["key", "root"]).withColumn("at", at).drop("home", "blocks")
-    numbers = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("number")
-    blocks = units.select("key", "home", numbers).select("key", F.struct("home", "number").alias("at"))
-    left, right = blocks.withColumnRenamed("at", "a"), blocks.withColumnRenamed("at", "b")
-    differ = (F.col("a") <= F.col("b")) & ((F.col("a.home") != F.col("b.home")) | (F.col("a.home") == F.lit(b"")))
-    both = left.join(right, "key").filter(differ).withColumn("pair", F.struct("key", "a", "b"))
-    one = F.array(F.struct(F.col("a").alias("at"), F.when(F.col("a") == F.col("b"), 2).otherwise(0).alias("side")))
-    two = F.when(F.col("a") == F.col("b"), one).otherwise(F.concat(one, F.array(F.struct(F.col("b").alias("at"), F.lit(1).alias("side")))))
-    sides = both.select("key", "pair", F.explode(two).alias("x")).select("key", "pair", "x.at", "x.side")
-    return members.join(sides, ["key", "at"]).drop("at")
-
-
-def links_of_blocks(table: pa.Table) -> pa.Table:
-    """``u, v`` of links between the texts of a pair of blocks, enough of them to join all classes that any links join."""
-    nodes, texts = table.column("node").to_pylist(), table.column("text").to_pylist()
-    root, side = pd.factorize(pd.Series(table.column("root").to_pylist()))[0], table.column("side").to_numpy()
-    keys = np.array(table.column("keys").to_pylist(), np.int64)
-    place = table.column("i")[0].as_py()
-    values = []
-    for begin, end in _parts(texts):
-        v, at = shingles(texts[begin:end])
-        values += [v[at[k]:at[k + 1]] for k in range(end - begin)]
-    size = np.array([len(v) for v in values])
-    parent = list(range(root.max() + 1))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    u, v = [], []
-    other = np.flatnonzero(side != 0)
-    for x in np.flatnonzero(side != 1).tolist():
-        y = other[other > x] if side[x] == 2 else other
-        first = ~(keys[y, :place] == keys[x, :place]).any(axis=1)
-        close = np.minimum(size[y], size[x]) >= SIMILARITY * np.maximum(size[y], size[x])
-        for z in y[first & close & (root[y] != root[x])].tolist():
-            a, b = find(root[x]), find(root[z])
-            if a != b and similarity(values[x], values[z]) >= SIMILARITY - 1e-12:
-                parent[a] = b
-                u.append(nodes[x])
-                v.append(nodes[z])
-    return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+    shared = texts.sparkSession.sparkContext.broadcast(ranks)
+
+    def run(batches):
+        for batch in batches:
+            found = batch.column("text").to_pylist()
+            for begin, end in _parts(found):
+                token, owner, n = labelled_words(found[begin:end])
+                order = np.lexsort((token, shared.value[(token % U(RANKS)).astype(np.int64)], owner))
+                place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+                odd = np.zeros((end - begin, MARKS), np.uint8)
+                np.add.at(odd, (owner, (token >> U(40)).astype(np.int64) % MARKS), 1)
+                marks = np.packbits(odd & 1, axis=1, bitorder="little").view(np.int64)
+                marks = pa.FixedSizeListArray.from_arrays(pa.array(marks.ravel()), MARKS // 64).cast(pa.list_(pa.int64()))
+                inside = place < (n - np.ceil(least * n - 1e-9) + 1)[owner]
+                kept = order[inside]
+                who = pa.array(owner[kept] + begin)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token[kept].astype(np.int64)), pa.array(place[inside]), batch.column("node").take(who),
+                     batch.column("root").take(who), pa.array(n[owner[kept]].astype(np.int64)),
+                     marks.take(pa.array(owner[kept]))], ["token", "place", "node", "root", "n", "marks"])
+    names = "token long, place long, node binary, root binary, n long, marks array<long>"
+    return texts.select("node", "root", "text").mapInArrow(run, names)
+
+
+def rest_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``u, v``: all pairs of texts of different classes among the members that may be similar."""
+    named = members.select("node", "root").distinct().join(texts, "node").select("node", "root", "text")
+    found = materialize(prefixes(named, rarity(named)), "prefixes")
+    several = found.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
+    left = found.join(several, "token", "left_semi")
+    right = left.select("token", F.col("node").alias("v"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("place").alias("_place"), F.col("marks").alias("_marks"))
+    # Behind the first word that two texts share there must be enough words left in both.
+    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("_n")) - 1e-9
+    near = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place")) >= needed
+    apart = sum(F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("_marks")[i])) for i in range(MARKS // 64))
+    near = near & (apart <= F.col("n") + F.col("_n") - 2 * needed)
+    differ = (F.col("u") < F.col("v")) & (F.col("root") != F.col("_root"))
+    met = left.withColumnRenamed("node", "u").join(right, "token").filter(differ & near)
+    return met.select("u", "v").distinct()
+
+
+def mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key, node, i, root`` of the members of buckets that hold several classes."""
+    placed = members.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    return materialize(placed.join(several, "key", "left_semi"), "mixed")
 
 
 def node_roots(docs: DataFrame) -> DataFrame:
@@ -272,15 +322,11 @@ def node_roots(docs: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     texts = materialize(docs.dropDuplicates(["node"]).select("node", "text").join(wanted, "node", "left_semi"), "texts")
-    edges = materialize(linked(pairs, texts), "linked").select("u", "v")
-    roots = components(edges)
-    rest = large.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
-    mixed = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    rest = materialize(rest.join(mixed, "key", "left_semi"), "mixed")
+    roots = components(materialize(linked(pairs, texts), "linked").select("u", "v"))
+    rest = mixed(large, roots)
     if rest.isEmpty():
         return roots
-    held = block_pairs(rest).join(signed, "node").join(texts, "node").select("pair", "side", "i", "node", "root", "keys", "text")
-    found = materialize(held.groupBy("pair").applyInArrow(links_of_blocks, "u binary, v binary"), "linked")
+    found = materialize(linked(materialize(rest_pairs(rest, texts), "pairs"), texts), "linked").select("u", "v")
     return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
 
 
