@@ -1,7 +1,7 @@
 """Removal of repeated byte strings: a depth-limited radix sort of text windows, most significant digit first.
 
-A string of ``WIDTH`` bytes that starts at two places is found by ordering suffixes no deeper than ``WIDTH``
-bytes.  The digits of a window are read from its anchor outwards, the anchor being the place of the least hash
+A string of ``width`` bytes (``WIDTH`` unless another is asked for) that starts at two places is found by ordering
+suffixes no deeper than ``width`` bytes.  The digits of a window are read from its anchor outwards, the anchor being the place of the least hash
 of 17 bytes among those inside the window: equal windows have equal anchors, so it can serve as the first
 digit, and neighbouring windows with one anchor share their first digits and need one row between them.
 
@@ -10,6 +10,9 @@ digit, and neighbouring windows with one anchor share their first digits and nee
     pass 3   415 bytes, all that the 16 windows cover: if repeated, so is each of the windows
     pass 4   the 400 bytes of each window that is left
 
+(for a width of 400).  The digits of later passes are hashes of longer pieces around the same anchor, not of the bytes
+that follow; what they group is the same.
+
 Each pass distributes rows by the hash of their digits and sorts; a digit that is found at one place only ends
 there, and passes 3 and 4 decide by 128 bits.  A group of equal digits never has to meet in one task: a task
 knows of the equal digits in its own batch and sends one row for all of them, the others go anywhere.
@@ -32,14 +35,19 @@ from marketlens.session import materialize
 
 WIDTH = 400
 GRAM = 17
-REACH = WIDTH - GRAM + 1  # places in a window where an anchor can be
-BLOCK, PART = REACH // 2, 16
+PART = 16
+WIDTHS = range(64, 512)
 CHUNK = 1 << 19
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def reach_of(width: int) -> int:
+    """How many places in a window an anchor can be at."""
+    return width - GRAM + 1
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
@@ -68,25 +76,25 @@ class Rolling:
         return (self.total[length:] - self.total[:-length]) * self.down[:len(self.total) - length]
 
 
-def _least_places(data: np.ndarray, roll: Rolling) -> np.ndarray:
+def _least_places(roll: Rolling, reach: int) -> np.ndarray:
     """For each window that fits, the place of the least gram hash in it, the first of equal ones."""
     grams = mix(roll.all(GRAM))
     value = (grams & ~U((1 << 20) - 1)) | np.arange(len(grams), dtype=U)
-    n = len(value) - REACH + 1
-    padded = np.full(-(-len(value) // REACH) * REACH, U(0xFFFFFFFFFFFFFFFF))
+    n = len(value) - reach + 1
+    padded = np.full(-(-len(value) // reach) * reach, U(0xFFFFFFFFFFFFFFFF))
     padded[:len(value)] = value
-    rows = padded.reshape(-1, REACH)
+    rows = padded.reshape(-1, reach)
     before = np.minimum.accumulate(rows, axis=1).ravel()
     after = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(after[:n], before[REACH - 1:REACH - 1 + n]) & U((1 << 20) - 1)).astype(np.int64)
+    return (np.minimum(after[:n], before[reach - 1:reach - 1 + n]) & U((1 << 20) - 1)).astype(np.int64)
 
 
-def _chunks(texts: list[bytes]):
+def _chunks(texts: list[bytes], width: int):
     """Lists of (text number, place in it, bytes): parts of about ``CHUNK`` bytes that hold every window once."""
     group, size = [], 0
     for i, t in enumerate(texts):
-        for at in range(0, max(len(t) - WIDTH + 1, 0), CHUNK):
-            part = t[at:at + CHUNK + WIDTH - 1]
+        for at in range(0, max(len(t) - width + 1, 0), CHUNK):
+            part = t[at:at + CHUNK + width - 1]
             if group and size + len(part) > CHUNK:
                 yield group
                 group, size = [], 0
@@ -96,30 +104,31 @@ def _chunks(texts: list[bytes]):
         yield group
 
 
-def blocks_of(texts: list[bytes]):
+def blocks_of(texts: list[bytes], width: int = WIDTH):
     """(text number, key, first window of the block, first own window and how many, as one number) per block of windows."""
-    for group in _chunks(texts):
+    block = reach_of(width) // 2
+    for group in _chunks(texts, width):
         data = np.frombuffer(b"".join(p for _, _, p in group), np.uint8)
         roll = Rolling(data, BASES[0])
-        anchor = _least_places(data, roll)
+        anchor = _least_places(roll, reach_of(width))
         sizes = np.array([len(p) for _, _, p in group])
         ends = np.cumsum(sizes)
         begins = ends - sizes
         valid = np.zeros(len(anchor) + 1, bool)
         step = np.zeros(len(anchor) + 1, np.int64)
         np.add.at(step, begins, 1)
-        np.add.at(step, np.minimum(ends - WIDTH + 1, len(anchor)), -1)
+        np.add.at(step, np.minimum(ends - width + 1, len(anchor)), -1)
         valid = np.cumsum(step)[:-1] > 0
         p = np.flatnonzero(valid)
-        side = (anchor[p] - p) // BLOCK
+        side = (anchor[p] - p) // block
         new = np.ones(len(p), bool)
         new[1:] = (anchor[p][1:] != anchor[p][:-1]) | (side[1:] != side[:-1]) | (p[1:] != p[:-1] + 1)
         new[np.searchsorted(p, begins)] = True
         first = np.flatnonzero(new)
         n = np.diff(np.append(first, len(p)))
-        core = anchor[p[first]] - BLOCK * side[first]
-        key = mix(roll(core, WIDTH - BLOCK + 1) + side[first].astype(U))
-        lead = core - BLOCK + 1
+        core = anchor[p[first]] - block * side[first]
+        key = mix(roll(core, width - block + 1) + side[first].astype(U))
+        lead = core - block + 1
         which = np.searchsorted(ends, p[first], "right")
         shift = np.array([at for _, at, _ in group])[which] - begins[which]
         number = np.array([i for i, _, _ in group])[which]
@@ -223,7 +232,7 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def _first_pass(docs: DataFrame) -> DataFrame:
+def _first_pass(docs: DataFrame, width: int) -> DataFrame:
     def run(batches):
         seen_all: set[bytes] = set()
         for batch in _small(batches, 6_000_000):
@@ -232,7 +241,7 @@ def _first_pass(docs: DataFrame) -> DataFrame:
             seen_all = set(nodes)  # a copy further off sends equal rows once more
             texts = [batch.column("text")[i].as_py().encode() for i in new]
             node = batch.column("node").take(pa.array(new, pa.int64()))
-            found = list(blocks_of(texts))
+            found = list(blocks_of(texts, width))
             if found:
                 number, key, pos, own = _merged(*(np.concatenate(c) for c in zip(*found, strict=True)))
                 yield _rows(node, number, key, None, pos, own, None)
@@ -263,7 +272,7 @@ def _small(batches, most: int = 400_000):
             yield batch.slice(begin)
 
 
-def _second_pass(texts: DataFrame) -> DataFrame:
+def _second_pass(texts: DataFrame, width: int) -> DataFrame:
     """Rows of 16 windows each, by what they have in common; ``more`` hashes all they cover, 0 if that leaves the text."""
     def run(batches):
         for batch in _small(batches):
@@ -277,10 +286,10 @@ def _second_pass(texts: DataFrame) -> DataFrame:
             part = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
             q = pos[row] + PART * part
             owner, q = np.unique(np.stack([owner[row], q]), axis=1)  # blocks that meet within a part both have it
-            key = roll(base[owner] + q + PART - 1, WIDTH - PART + 1)
-            whole = (q >= 0) & (q + WIDTH + PART - 1 <= size[owner])
+            key = roll(base[owner] + q + PART - 1, width - PART + 1)
+            whole = (q >= 0) & (q + width + PART - 1 <= size[owner])
             cover = np.zeros(len(q), U)
-            cover[whole] = other(base[owner[whole]] + q[whole], WIDTH + PART - 1) | U(1)
+            cover[whole] = other(base[owner[whole]] + q[whole], width + PART - 1) | U(1)
             if len(q):
                 yield _rows(batch.column("node"), owner, key, None, q, np.zeros(len(q), np.int64), cover)
     return texts.mapInArrow(run, ROW)
@@ -301,7 +310,7 @@ def hash_node(node: bytes) -> int:
     return int.from_bytes(node[:8], "little")
 
 
-def _fourth_pass(texts: DataFrame) -> DataFrame:
+def _fourth_pass(texts: DataFrame, width: int) -> DataFrame:
     """A row per window of the parts that pass 3 left."""
     def run(batches):
         for batch in _small(batches):
@@ -309,11 +318,11 @@ def _fourth_pass(texts: DataFrame) -> DataFrame:
             q = flat.to_numpy().astype(np.int64)
             w = (q[:, None] + np.arange(PART)).ravel()
             owner = np.repeat(owner, PART)
-            ok = (w >= 0) & (w + WIDTH <= size[owner])
+            ok = (w >= 0) & (w + width <= size[owner])
             w, owner = w[ok], owner[ok]
             if len(w):
                 w, owner = np.unique(np.stack([owner, w]), axis=1)[::-1]
-                key, check = (Rolling(data, b)(base[owner] + w, WIDTH) for b in BASES)
+                key, check = (Rolling(data, b)(base[owner] + w, width) for b in BASES)
                 yield _rows(batch.column("node"), owner, key, check, w, np.zeros(len(w), np.int64), None)
     return texts.mapInArrow(run, ROW)
 
@@ -322,24 +331,26 @@ def with_nodes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("node", F.unhex(F.md5("text")))
 
 
-def repeated_starts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def repeated_starts(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """Texts that share windows (``node, text``), and ``node, pos, n``: n windows from pos on are found elsewhere too."""
-    long = docs.filter(F.octet_length("text") >= WIDTH).select("node", "text")
-    first = sorted_pass(_first_pass(long)).groupBy("node").agg(F.collect_set(F.struct("pos", "own")).alias("places"))
+    if width not in WIDTHS:
+        raise ValueError(f"width {width} is not in {WIDTHS}")
+    long = docs.filter(F.octet_length("text") >= width).select("node", "text")
+    first = sorted_pass(_first_pass(long, width)).groupBy("node").agg(F.collect_set(F.struct("pos", "own")).alias("places"))
     one_each = long.groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(one_each.join(first, "node"), "shared-texts")
-    left = sorted_pass(sorted_pass(_second_pass(texts), then=_third_pass), every=True)
+    left = sorted_pass(sorted_pass(_second_pass(texts, width), then=_third_pass), every=True)
     left = materialize(left.select("node", "pos", "again", "head", F.col("more").alias("core")), "window-parts")
     unsure = left.filter(~F.col("again"))
     twins = left.filter("head").join(unsure.select("core").distinct(), "core", "left_semi")  # where theirs may be found again
     open_parts = unsure.unionByName(twins.select(*unsure.columns)).groupBy("node").agg(F.collect_set("pos").alias("places"))
-    single = sorted_pass(_fourth_pass(texts.select("node", "text").join(open_parts, "node").select("node", "text", "places")))
+    single = sorted_pass(_fourth_pass(texts.select("node", "text").join(open_parts, "node").select("node", "text", "places"), width))
     found = left.filter("again").select("node", "pos", F.lit(PART).alias("n")).unionByName(
         single.select("node", "pos", F.lit(1).alias("n")))
     return texts.select("node", "text"), found
 
 
-def spans(texts: DataFrame, starts: DataFrame) -> DataFrame:
+def spans(texts: DataFrame, starts: DataFrame, width: int = WIDTH) -> DataFrame:
     """``node, n_removed, n_spans, kept``: what is left of each text that loses bytes."""
     grouped = starts.groupBy("node").agg(F.collect_set(F.struct("pos", "n")).alias("places"))
 
@@ -351,7 +362,7 @@ def spans(texts: DataFrame, starts: DataFrame) -> DataFrame:
                 pos, n = (places.values.field(k).to_numpy().astype(np.int64) for k in range(2))
                 step = np.zeros(len(data) + 1, np.int64)
                 np.add.at(step, pos, 1)
-                np.add.at(step, pos + n - 1 + WIDTH, -1)
+                np.add.at(step, pos + n - 1 + width, -1)
                 gone = np.cumsum(step)[:-1] > 0
                 count = int(gone[0]) + int(np.count_nonzero(gone[1:] & ~gone[:-1]))
                 rows.append((int(gone.sum()), count, data[~gone].tobytes()))
@@ -362,24 +373,24 @@ def spans(texts: DataFrame, starts: DataFrame) -> DataFrame:
     return texts.join(grouped, "node").mapInArrow(run, "node binary, n_removed long, n_spans long, kept binary")
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``node, n_removed, n_spans, kept`` for each text of ``docs`` (``node``, ``text``) that loses bytes.
 
     ``kept`` is null where nothing is kept because several rows hold the whole text.
     """
-    texts, starts = repeated_starts(docs)
-    part = spans(texts, starts)
-    copies = docs.groupBy("node", F.octet_length("text").alias("n")).count().filter((F.col("count") > 1) & (F.col("n") >= WIDTH))
+    texts, starts = repeated_starts(docs, width)
+    part = spans(texts, starts, width)
+    copies = docs.groupBy("node", F.octet_length("text").alias("n")).count().filter((F.col("count") > 1) & (F.col("n") >= width))
     whole = copies.select("node", F.col("n").cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
                           F.lit(None).cast("binary").alias("kept"))
     return part.join(whole, "node", "left_anti").unionByName(whole)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with repeated strings cut out of its texts; bytes of characters that were cut apart go too."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     base = with_nodes(docs.select(row, F.coalesce("text", F.lit("")).alias("text")))
-    found = removals(base.select("node", "text"))
+    found = removals(base.select("node", "text"), width)
 
     @F.pandas_udf("string")
     def readable(kept: pd.Series) -> pd.Series:
