@@ -6,8 +6,9 @@ the next shorter one (escape probability: distinct successors over successors an
 below all contexts a byte costs eight bits.  The statistics stay as trained, so the code length of a text under
 a language is exact, and the shortest one wins.
 
-Training reads whole labelled documents, at most ``SAMPLE_DOCS`` per language, those with the smallest hash of
-their id: a bounded sample on purpose.  Spark counts the four-byte strings of the sample; the driver compiles the
+Training reads whole labelled documents, about ``SAMPLE_DOCS`` per language, those with the smallest hash of
+their id: a bounded sample on purpose.  Contexts that the sample holds less than ``LEAST_CONTEXT`` times are left out
+of the trees.  Spark counts the four-byte strings of the sample; the driver compiles the
 counts, whose number the sample bounds, into one table of costs (context, byte, language) that every task looks
 up.  Prediction is one pass over all documents without a shuffle and sees the text alone.
 
@@ -19,13 +20,16 @@ their other columns; repeated rows get equal results.  A null id is neither held
 from __future__ import annotations
 
 import dataclasses
+import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 SAMPLE_DOCS = 500
+#: How many times the cost of a usual text of its language a text may have and still be kept.
+TOLERANCE = 1.25
 LEAST_CONTEXT = 2
 ORDER = 3
 PAD = b"\n" * ORDER
@@ -37,19 +41,34 @@ def held_out(id_column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 3 == 1, F.lit(False))
 
 
-def sample(docs: DataFrame) -> DataFrame:
-    """Labelled documents to learn from: per language those with the smallest hashes of their ids, at most ``SAMPLE_DOCS``."""
-    docs = docs.select("doc_id", "lang", "text").filter(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).withColumn("_h", F.xxhash64(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy("_h")
-    limits = (docs.select("lang", "_h").withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= SAMPLE_DOCS)
-              .groupBy("lang").agg(F.max("_h").alias("h")).collect())
+def _hashed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).withColumn(
+        "_h", F.shiftrightunsigned(F.xxhash64("doc_id"), 34))
+
+
+def _share(docs: DataFrame) -> DataFrame:
+    """The rows with the least hashes, about ``SAMPLE_DOCS`` of each language: those below a bound set from its count of rows."""
+    sizes = docs.groupBy("lang").count().collect()
     taken = F.lit(False)
-    for r in limits:
-        taken = taken | ((F.col("lang") == r["lang"]) & (F.col("_h") <= r["h"]))
+    for r in sizes:
+        bound = min(1 << 30, math.ceil((1 << 30) * SAMPLE_DOCS / r["count"]))
+        taken = taken | ((F.col("lang") == r["lang"]) & (F.col("_h") < bound))
     return docs.filter(taken).select("lang", "text")
 
 
+def sample(docs: DataFrame) -> DataFrame:
+    """Labelled documents to learn from, about ``SAMPLE_DOCS`` per language."""
+    return _share(_hashed(docs).filter(~held_out()))
+
+
+def usual_costs(docs: DataFrame, model: Model) -> dict[str, float]:
+    """Bits a byte that hardly any labelled document of a language exceeds, from about ``SAMPLE_DOCS`` that weren't learned from."""
+    rows = _share(_hashed(docs).filter(held_out())).withColumnRenamed("lang", "_lang")
+    judged = predict(rows, model).filter(F.col("lang_pred") == F.col("_lang"))
+    found = judged.groupBy("_lang").agg(F.percentile_approx("bits_per_byte", 0.98, 1000).alias("bits")).collect()
+    return {r["_lang"]: TOLERANCE * r["bits"] for r in found}
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """``lang, gram, n``: how often each string of four bytes occurs, texts being preceded by three line feeds."""
     def run(batches):
@@ -163,29 +182,43 @@ def train(docs: DataFrame) -> Model:
 
 
 def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Adds ``lang_pred``, ``score`` (share of the likelihood, all languages alike) to the rows of ``df``."""
+    """Adds ``lang_pred``, ``score`` (share of the likelihood, all languages alike) and ``bits_per_byte`` to the rows of ``df``.
+
+    Columns of ``df`` that have these names are replaced.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, bits_per_byte double")
     def judged(texts: pd.Series) -> pd.DataFrame:
         model = shared.value
         bits = model.bits(texts.tolist())
         least = bits.min(1, keepdims=True)
         score = 1 / np.exp2(least - bits).sum(1)
         names = np.array(model.languages, object)
-        return pd.DataFrame({"lang_pred": names[bits.argmin(1)], "score": score})
+        size = np.maximum([len(t.encode()) for t in texts], 1)
+        return pd.DataFrame({"lang_pred": names[bits.argmin(1)], "score": score, "bits_per_byte": least[:, 0] / size})
 
     readable = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(model.languages))
     df = df.withColumn("_judged", judged(F.when(readable, F.col(text)).otherwise("")) if model.languages else F.lit(None))
     pick = lambda name, other: F.when(readable, F.col("_judged")[name]).otherwise(other) if model.languages else other
-    return df.withColumns({"lang_pred": pick("lang_pred", F.lit(UNKNOWN)), "score": pick("score", F.lit(0.0))}).drop("_judged")
+    return df.withColumns({"lang_pred": pick("lang_pred", F.lit(UNKNOWN)), "score": pick("score", F.lit(0.0)),
+                           "bits_per_byte": pick("bits_per_byte", F.lit(None).cast("double"))}).drop("_judged")
 
 
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows whose language is known and whose likelihood it mostly explains, with their own columns."""
+    """The rows in a learned language, with their own columns.
+
+    A text is of a language if this explains most of its likelihood and if its bytes cost no more than ``TOLERANCE`` times
+    what those of usual labelled documents cost: texts of random letters and of languages that weren't learned cost more.
+    A language without labelled documents to measure has no such limit.
+    """
+    limits = usual_costs(docs, model) if model.languages else {}
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     judged = predict(docs.select(row, F.col("text").alias("_text")), model, "_text")
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)).select("row.*")
+    fine = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)
+    for lang, most in limits.items():
+        fine = fine & ((F.col("lang_pred") != lang) | (F.col("bits_per_byte") <= most))
+    return judged.filter(fine).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -200,18 +200,39 @@ def test_language_of_documents(spark, docs, monkeypatch):
     assert kept.columns == docs.columns and kept.filter("text is null or text = ''").count() == 0
 
 
+def test_texts_of_no_learned_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(9)
+    letters = lambda alphabet: " ".join("".join(rng.choices(alphabet, k=rng.randrange(2, 9))) for _ in range(80))
+    strange = [letters("abcdefghijklmnopqrstuvwxyz") for _ in range(50)] + [letters("абвгдежзийклмнопрстуфхц") for _ in range(50)]
+    added = spark.createDataFrame([(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(strange)], docs.schema)
+    usual = docs.filter(F.size(F.split("text", r"\s+")) >= 25)
+    kept = language_id.keep_known(usual.unionByName(added), language_id.train(usual))
+    assert kept.filter("doc_id >= 1000000000").count() == 0
+    assert kept.count() >= 0.97 * usual.count()
+
+
 # --- near-duplicates ---------------------------------------------------------
 
 
-def labelled(text):
-    words = "".join(" " if c in BLANKS else c for c in text or "").split(" ")
-    words = [w for w in words if w]
-    seen, out = Counter(), set()
-    for i in range(max(1, len(words) - 4) if words else 0):
-        s = tuple(words[i:i + 5])
-        out.add((s, seen[s]))
-        seen[s] += 1
-    return out
+def split_words(text):
+    return [w for w in "".join(" " if c in BLANKS else c for c in text or "").split(" ") if w]
+
+
+def plain_aligned(a, b):
+    """Longest common subsequence by the table of all prefixes."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def plain_similarity(a, b):
+    m = order_minhash.aligned(a, b, len(a) + len(b))
+    return m / (len(a) + len(b) - m) if m else 0.0
 
 
 def plain_classes(rows):
@@ -223,11 +244,11 @@ def plain_classes(rows):
             t = parent[t]
         return t
 
-    sets = {t: labelled(t) for t in texts}
+    words = {t: split_words(t) for t in texts}
+    runs = {t: {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for t, w in words.items()}
     for i, a in enumerate(texts):
         for b in texts[:i]:
-            both = len(sets[a] & sets[b])
-            if both and both / (len(sets[a]) + len(sets[b]) - both) >= 0.8:
+            if runs[a] & runs[b] and plain_similarity(words[a], words[b]) >= 0.8:
                 parent[find(a)] = find(b)
     members = defaultdict(list)
     for i, t in rows:
@@ -269,9 +290,9 @@ def test_large_families_are_never_joined_wrongly(spark):
     assert len(set(got.values())) <= 1.2 * len(set(expected.values())) + 10
 
 
-@pytest.mark.parametrize(("block", "n"), [(128, 400), (16, 200)])
-def test_large_families_equal_brute_force(spark, monkeypatch, block, n):
-    monkeypatch.setattr(order_minhash, "BLOCK", block)
+@pytest.mark.parametrize(("ranks", "n"), [(1 << 16, 400), (8, 200)])
+def test_large_families_equal_brute_force(spark, monkeypatch, ranks, n):
+    monkeypatch.setattr(order_minhash, "RANKS", ranks)
     rows = variants(5, n)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert dict(tuple(r) for r in order_minhash.near_duplicates(frame).collect()) == dict(plain_classes(rows))
@@ -296,6 +317,38 @@ def test_order_matters_to_the_alignment():
     assert order_minhash.similarity(a, a[:300]) == 0.0
 
 
+def test_alignment_equals_the_table(spark):
+    rng = random.Random(7)
+    for _ in range(60):
+        a, b = (rng.choices("abcdefgh", k=rng.randrange(0, 40)) for _ in range(2))
+        assert order_minhash.aligned(a, b, 80) == plain_aligned(a, b)
+        assert order_minhash.aligned(a, b, 3) <= plain_aligned(a, b)
+        c = [x for x in a if rng.random() < 0.9]
+        assert order_minhash.aligned(a, c, len(a) - len(c)) == len(c)
+
+
+@pytest.mark.parametrize("n", [1500])
+def test_pairs_that_agree_in_nine_of_ten_words_share_a_class(spark, n):
+    """All pairs of the first documents by length and common words, aligned in full."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter(F.col("text").isNotNull()).orderBy("doc_id").limit(n)
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    texts = {r.doc_id: split_words(r.text) for r in docs.select("doc_id", "text").collect()}
+    order = sorted((i for i in texts if len(texts[i]) >= 20), key=lambda i: len(texts[i]))
+    bags, pairs = {i: Counter(texts[i]) for i in order}, []
+    for at, i in enumerate(order):
+        for k in order[at + 1:]:
+            longest = len(texts[k])
+            if 0.9 * longest > len(texts[i]):
+                break
+            rare = [w for w in bags[i] if len(w) > 6]
+            if sum(w in bags[k] for w in rare) < 0.4 * len(rare) or sum((bags[i] & bags[k]).values()) < 0.9 * longest:
+                continue
+            if order_minhash.aligned(texts[i], texts[k], longest) >= 0.9 * longest:
+                pairs.append((i, k))
+    caught = sum(got[i] == got[k] for i, k in pairs)
+    assert len(pairs) >= 20 and caught >= 0.9 * len(pairs), (caught, len(pairs))
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, x) for x in range(101, 140)] + [(rng.randrange(200, 230), rng.randrange(200, 230)) for _ in range(20)]
@@ -323,6 +376,20 @@ def plain_removal(texts, width=repeated_windows.WIDTH):
     return out
 
 
+@pytest.mark.parametrize("width", [64, 200, 401])
+def test_other_widths_equal_a_plain_search(spark, width):
+    rng = random.Random(width)
+    noise = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = [noise(k) for k in (width - 1, width, width + 1, 2 * width, 900)]
+    texts = [noise(rng.randrange(0, 500)) + rng.choice(shared) + noise(rng.randrange(0, 300)) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in repeated_windows.remove_repeats(frame, width).collect()}
+    expected = plain_removal(texts, width)
+    assert [hashlib.sha256(got[i].encode()).hexdigest() for i in range(len(texts))] == [e[3] for e in expected]
+    with pytest.raises(ValueError):
+        repeated_windows.remove_repeats(frame, 1000)
+
+
 def test_repeated_strings_equal_a_plain_search(spark, tmp_path):
     rng = random.Random(3)
     noise = lambda n: "".join(rng.choices("abcdefgh é\n", k=n))
