@@ -1,9 +1,13 @@
 """Chat formatting: field-path fingerprints choose a declarative mapping, built-in functions write the turns.
 
-``fingerprint`` hashes the sorted nested field paths of a record.  For a DataFrame that is one value, known
-before any row is read; for a column of JSON records it is one value per row, taken from the record's own
-schema.  ``MAPPINGS`` names, for each known layout, the expression that yields its turns; records of an
-unknown layout get no turns and keep their fingerprint, so they can be counted and mapped later.
+``fingerprint`` hashes the sorted nested field paths of a record.  For a DataFrame that is one value, taken
+from those of its fields that a layout has; for a column of JSON records it is one value per row, taken from the
+record's own schema.  ``MAPPINGS`` names, for each known layout, the expression that yields its turns; JSON records of
+an unknown layout get no turns and keep their fingerprint, so they can be counted and mapped later.
+
+A DataFrame may have further columns, also ones that other layouts have: ``rows`` comes first, then the layout with the
+most fields, then the order of ``MAPPINGS``.  A JSON record must have exactly the fields of its layout; the fields
+of a list are those of all its elements together, and one that an element lacks is null there.
 
 A turn is written ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside a role or a text a backslash becomes
 ``\\s`` and ``<|`` becomes ``<\\p|`` (in a role a line feed becomes ``\\l``), so no text can hold a control
@@ -15,6 +19,8 @@ conversation id is a conversation of its own.  Empty tables give no rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -31,7 +37,7 @@ _input = "concat_ws('\\n', r.instruction, nullif(r.input, ''))"
 
 #: layout -> (field paths, the turns as a SQL expression over the record ``r``).  Optional fields make several layouts.
 MAPPINGS = {
-    "rows": (("conv_id", "role", "text", "turn"), None),
+    "rows": (("conv_id", "role", "text", "turn"), f"array({_one('r.role', 'r.text')})"),
     "prompt_response": (("prompt", "response"), f"array({_user('r.prompt')}, {_assistant('r.response')})"),
     "question_answer": (("answer", "question"), f"array({_user('r.question')}, {_assistant('r.answer')})"),
     "instruction": (("instruction", "output"), f"array({_user('r.instruction')}, {_assistant('r.output')})"),
@@ -76,9 +82,11 @@ def json_paths(record: Column) -> Column:
     top = F.sort_array(F.json_object_keys(record))
 
     def below(key: Column) -> Column:
-        first = F.call_function("get_json_object", record, F.concat(F.lit("$['"), key, F.lit("'][0]")))
-        inner = F.transform(F.sort_array(F.json_object_keys(first)), lambda k: F.concat(key, F.lit("[]."), k))
-        return F.coalesce(inner, F.array(key))
+        value = F.call_function("get_json_object", record, F.concat(F.lit("$['"), key, F.lit("']")))
+        elements = F.from_json(value, "array<string>")
+        fields = F.transform(elements, lambda e: F.coalesce(F.json_object_keys(e), F.array().cast("array<string>")))
+        inner = F.transform(F.array_sort(F.array_distinct(F.flatten(fields))), lambda k: F.concat(key, F.lit("[]."), k))
+        return F.when(F.size(inner) > 0, inner).otherwise(F.array(key))
 
     return F.array_join(F.flatten(F.transform(top, below)), "\n")
 
@@ -89,38 +97,47 @@ def canonical_roles(turns: Column) -> Column:
         F.coalesce(known[m["role"]], m["role"], F.lit("")).alias("role"), F.coalesce(m["text"], F.lit("")).alias("text")))
 
 
+def _mapped(layouts: list[str], record: str) -> tuple[Column, Column]:
+    """The name and the turns of the layout that has the column ``fingerprint``, over the struct ``record``."""
+    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
+    for name in layouts:
+        hit = F.col("fingerprint") == fingerprint(F.lit(_joined(name)))
+        layout = F.when(hit, name).otherwise(layout)
+        turns = F.when(hit, F.expr(re.sub(r"\br\.", f"{record}.", MAPPINGS[name][1])).cast(TURN)).otherwise(turns)
+    return layout, turns
+
+
 def turns_of_json(df: DataFrame, record: str) -> DataFrame:
     """Adds ``layout`` (null if unknown), ``fingerprint`` and ``turns`` for a column of JSON records of mixed layouts."""
     df = df.withColumn("fingerprint", fingerprint(json_paths(F.col(record)))).withColumn("_r", F.from_json(record, RECORD))
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURN)
-    for name, (_, expression) in MAPPINGS.items():
-        if expression:
-            hit = F.col("fingerprint") == fingerprint(F.lit(_joined(name)))
-            layout = F.when(hit, name).otherwise(layout)
-            turns = F.when(hit, F.expr(expression.replace("r.", "_r.")).cast(TURN)).otherwise(turns)
+    layout, turns = _mapped([name for name in MAPPINGS if name != "rows"], "_r")
     return df.withColumns({"layout": layout, "turns": canonical_roles(turns)}).drop("_r")
 
 
-def layout_of(df: DataFrame, columns: list[str] | None = None) -> str | None:
-    """The layout whose field paths are exactly those of the DataFrame (or of the given columns of it)."""
-    schema = df.select(*columns).schema if columns else df.schema
-    found = "\n".join(field_paths(schema))
-    return next((name for name in MAPPINGS if _joined(name) == found), None)
+def layouts_of(df: DataFrame, id_column: str | None = None) -> list[str]:
+    """The layouts all of whose field paths the DataFrame has, the one to use first."""
+    found = set(field_paths(df.schema))
+    fitting = [name for name, (paths, _) in MAPPINGS.items() if found.issuperset(paths) and (name == "rows" or id_column not in paths)]
+    return sorted(fitting, key=lambda name: (name != "rows", -len(MAPPINGS[name][0])))
 
 
-def turn_rows(df: DataFrame, id_column: str | None = None) -> DataFrame:
-    """Rows ``conv_id, turn, role, text`` of a DataFrame in any of the layouts; other columns are left out."""
-    fields = {p.split(".")[0].split("[")[0] for paths, _ in MAPPINGS.values() for p in paths}
-    name = layout_of(df, [c for c in df.columns if c in fields and c != id_column])
-    if name is None:
+def turn_rows(df: DataFrame, id_column: str = "conv_id") -> DataFrame:
+    """Rows ``conv_id, turn, role, text`` of a DataFrame in any of the layouts; other columns are left out.
+
+    ``id_column`` names the conversations where the layout is not ``rows``, which has ``conv_id`` and keeps its roles as they are.
+    """
+    layouts = layouts_of(df, id_column)
+    if not layouts:
         raise ValueError(f"no mapping has the fields {df.columns}")
-    if MAPPINGS[name][1] is None:
-        return df.select("conv_id", "turn", "role", "text")
-    used = sorted({p.split(".")[0].split("[")[0] for p in MAPPINGS[name][0]})
-    turns = F.expr(MAPPINGS[name][1])
-    rows = df.select(F.col(id_column).alias("conv_id"), F.struct(*used).alias("r")).select(
-        "conv_id", F.posexplode(canonical_roles(turns)).alias("turn", "m"))
-    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), "m.role", "m.text")
+    name, known = layouts[0], MAPPINGS[layouts[0]][0]
+    used = sorted({p.split(".")[0].split("[")[0] for p in known})
+    paths = "\n".join(p for p in field_paths(df.schema) if p in known)
+    records = df.select(F.col("conv_id" if name == "rows" else id_column).alias("conv_id"), F.struct(*used).alias("r"),
+                        fingerprint(F.lit(paths)).alias("fingerprint"))
+    _, turns = _mapped([name], "r")
+    rows = records.select("conv_id", "r", F.posexplode(turns if name == "rows" else canonical_roles(turns)).alias("n", "m"))
+    turn = F.col("r.turn") if name == "rows" else F.col("n").cast("long")
+    return rows.select("conv_id", turn.alias("turn"), "m.role", "m.text")
 
 
 def escaped(text: Column, in_role: bool = False) -> Column:

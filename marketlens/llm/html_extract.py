@@ -54,6 +54,7 @@ class Page:
         stack: list[tuple[str, int]] = [("#root", 0)]  # open elements with the block they are in
         pieces: list[str] = []
         loose: list[int] = []  # where in the stack dropped elements without an end tag are
+        places: dict[str, list[int]] = {}  # where in the stack each tag is open, so that nothing walks the stack
         last_end: dict[str, int] = {}
         linked = dropped = 0
         at, end = 0, len(source)
@@ -75,6 +76,8 @@ class Page:
                 linked -= tag == "a"
                 dropped -= tag in DROPPED
                 stack.pop()
+                if stack:
+                    places[tag].pop()
             while loose and loose[-1] >= to:
                 loose.pop()
 
@@ -102,16 +105,12 @@ class Page:
             if not tag:
                 continue
             if token[1]:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
+                if places.get(tag):
+                    close(places[tag][-1])
                 continue
             if tag == "body" or (stack[-1][0] == "head" and tag not in IN_HEAD):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == "head":
-                        close(i)
-                        break
+                if places.get("head"):
+                    close(places["head"][-1])
             if loose and (tag in BREAKS or tag == stack[loose[-1]][0]):
                 close(loose[-1] if tag not in BREAKS else loose[0])
             if tag in VOID:
@@ -119,7 +118,7 @@ class Page:
                     pieces.append("" if tag == "wbr" or dropped else " ")
                 continue
             if tag not in INLINE:
-                self._imply(tag, stack, close)
+                self._imply(tag, places, close)
                 flush()
             block = stack[-1][1]
             if tag not in INLINE and not dropped and tag not in DROPPED:
@@ -134,6 +133,7 @@ class Page:
                 block = len(self.tag) - 1
             if tag in DROPPED and tag not in RAW and tag != "head" and dropped == 0 and not ended(tag):
                 loose.append(len(stack))
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, block))
             linked += tag == "a"
             dropped += tag in DROPPED
@@ -144,16 +144,16 @@ class Page:
         flush()
 
     @staticmethod
-    def _imply(tag: str, stack, close) -> None:
+    def _imply(tag: str, places, close) -> None:
         """Ends that a start tag implies: a paragraph before any block, a list item before the next one."""
-        ends = CLOSED_BY.get(tag, "").split()
-        for i in range(len(stack) - 1, 0, -1):
-            name = stack[i][0]
-            if name == "p" or name in ends:
-                close(i)
-                if name != "p" and name != "td" and name != "th":
-                    return
-            elif name in SCOPE and not (name == "tr" and "tr" in ends):
+        ends = {"p", *CLOSED_BY.get(tag, "").split()}
+        while True:
+            scope = max((places[n][-1] for n in SCOPE - ends if places.get(n)), default=0)
+            at, name = max(((places[n][-1], n) for n in ends if places.get(n)), default=(0, ""))
+            if at <= scope:
+                return
+            close(at)
+            if name not in ("p", "td", "th"):
                 return
 
     def features(self) -> list[tuple[str, ...]]:

@@ -52,10 +52,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Domain suffixes of the host, each followed by the beginnings of the path that have the given lengths."""
+def keys_of(host: Column, path: Column, lengths: list[int], most_labels: int) -> Column:
+    """Domain suffixes of the host, each followed by the beginnings of the path that have the given lengths.
+
+    Suffixes have ``most_labels`` labels at most, those of the longest listed domain, so a long host is linear.
+    """
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    first = F.greatest(F.lit(1), F.size(labels) - (most_labels - 1))
+    suffixes = F.transform(F.sequence(first, F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     starts = F.array(*[F.substring(path, 1, n) for n in sorted(set(lengths))])
     every = F.flatten(F.transform(suffixes, lambda s: F.transform(starts, lambda p: F.concat(s, p))))
     return F.when(host != "", F.array_distinct(every)).otherwise(F.array().cast("array<string>"))
@@ -189,7 +193,10 @@ def judge(pages: DataFrame, rules=RULES, listed: DataFrame | None = None) -> Dat
         listed = spark.createDataFrame([(d,) for d in LISTED], "key string").unionByName(site_domains(pages))
     lengths = [0, *[len(p) for _, p, _ in rules]]
     named = spark.createDataFrame([(h + p,) for h, p, _ in rules], "key string")
-    found = listed_keys(pages, keys_of(F.col("host"), F.col("path"), lengths), named.unionByName(listed.select("key")))
+    named = named.unionByName(listed.select("key"))
+    domain = F.substring_index("key", "/", 1)
+    most = named.agg(F.coalesce(F.max(F.size(F.split(domain, r"\."))), F.lit(1))).first()[0]
+    found = listed_keys(pages, keys_of(F.col("host"), F.col("path"), lengths, max(1, most)), named)
     verdict_of = F.create_map(*[F.lit(x) for h, p, v in rules for x in (h + p, v)]) if rules else F.create_map().cast("map<string,string>")
     fitting = F.filter("listed", lambda k: verdict_of[k].isNotNull())
     longest = F.aggregate(fitting, F.lit(None).cast("string"), lambda best, k: F.when(

@@ -4,6 +4,7 @@ import html as entities
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -56,6 +57,16 @@ def test_bad_sites_under_a_domain_not_seen_before(spark):
     assert [r.verdict for r in sorted(got, key=lambda r: r.page_id)] == ["block", "block", "allow", "allow"]
 
 
+def test_long_urls_are_linear(spark):
+    host = "a." * 50_000 + "spam-farm.example.com"
+    found = spark.range(1).select(url_filters.keys_of(F.lit(host), F.lit("/" + "x" * 50_000), [0, 1, 4], 3).alias("k")).first()["k"]
+    assert set(found) == {d + p for d in ("com", "example.com", "spam-farm.example.com") for p in ("", "/", "/xxx")}
+    start = time.time()
+    got = url_filters.judge(pages_of(spark, [(1, f"http://{host}/x"), (2, f"http://{host}.net/")])).collect()
+    assert [r.verdict for r in sorted(got, key=lambda r: r.page_id)] == ["block", "allow"]
+    assert time.time() - start < 60
+
+
 @pytest.mark.parametrize("share", [2, 50, 5000])
 def test_cascade_is_exact_for_all_keys(spark, share):
     keys = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
@@ -186,6 +197,16 @@ def test_dropped_elements_without_an_end_lose_no_blocks(tag):
     assert text(f"<p>One.</p><{tag}><p>in it</p></{tag}><p>Two.</p>") == ["One.", "Two."]
 
 
+@pytest.mark.parametrize("source", [
+    "<zz>" * 200_000 + "text", "<b>" * 8_000 + "</i>" * 200_000 + "text", "<div>" * 8_000 + "</p>" * 200_000 + "text",
+    "<ul><li><zz>" * 60_000 + "text", "<body>" * 100_000 + "text"], ids=["nested", "unmatched inline", "unmatched", "lists", "bodies"])
+def test_a_megabyte_of_tags_is_linear(source):
+    start = time.process_time()
+    page = html_extract.Page(source)
+    assert time.process_time() - start < 6
+    assert [t for _, t in page.texts] == ["text"]
+
+
 # --- chat formatting ---------------------------------------------------------
 
 
@@ -221,8 +242,31 @@ def test_layouts_by_fingerprint(spark):
     assert got == {r[0]: (r[1], r[2]) for r in records}
     typed = spark.createDataFrame([(7, [("human", "h")])], "id long, conversations array<struct<from: string, value: string>>")
     assert [tuple(r) for r in chat_format.turn_rows(typed, "id").collect()] == [(7, 0, "user", "h")]
+    assert [tuple(r) for r in chat_format.turn_rows(typed.withColumn("prompt", F.lit("x")), "id").collect()] == [(7, 0, "user", "h")]
     with pytest.raises(ValueError):
-        chat_format.turn_rows(typed.withColumn("prompt", F.lit("x")), "id")
+        chat_format.turn_rows(typed.select("id"), "id")
+
+
+def test_fields_of_all_elements_of_a_list_count(spark):
+    records = {'{"messages":[{"role":"user"},{"role":"assistant","content":"b"}]}': [("user", ""), ("assistant", "b")],
+               '{"messages":[{"role":"user","content":"a"},{"name":"x"}]}': None, '{"messages":[]}': None, '{"messages":[1,"x"]}': None}
+    frame = spark.createDataFrame([(r,) for r in records], "record string")
+    got = {r.record: r.turns and [tuple(t) for t in r.turns] for r in chat_format.turns_of_json(frame, "record").collect()}
+    assert got == records
+
+
+def test_clashing_columns_change_nothing(spark):
+    rows = [(1, 0, "human", "hi"), (1, 1, None, None), (None, None, "assistant", "x"), (2, 5, "assistant", "")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    extra = frame.withColumns({c: F.lit("z") for c in ("prompt", "response", "input", "system", "fingerprint", "r", "n", "m")}).withColumn(
+        "messages", F.array(F.struct(F.lit("user").alias("role"), F.lit("m").alias("content"))))
+    for table in (frame, extra):
+        found = chat_format.turn_rows(table)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(rows, key=str)
+    named = extra.drop("conv_id").withColumn("key", F.lit(3))
+    assert {tuple(r) for r in chat_format.turn_rows(named, "key").collect()} == {(3, 0, "system", "z"), (3, 1, "user", "z"), (3, 2, "assistant", "z")}
+    plan = chat_format.turn_rows(extra)._jdf.queryExecution().analyzed().toString()
+    assert "sha2(" in plan
 
 
 def test_chat_runs_without_python(spark):
