@@ -11,6 +11,7 @@ from marketlens.functions.text import clean_text, coerce, reader_na_to_null, str
 from marketlens.operators.audits import dataset_profile
 from marketlens.schemas import DATASETS, Dataset
 from marketlens.session import list_path
+from marketlens.sources.quoted_csv import longest_file, read_quoted
 from marketlens.sources.versioned import commit_version, new_version_path, open_current
 
 CORRUPT = "_corrupt_record"
@@ -34,12 +35,23 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def read_raw(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """The header decides the columns and their order; a missing path raises."""
+    """The header decides the columns and their order; a missing path raises.
+
+    ``multiline``: cells may hold line breaks.  Files that are longer than a split are then cut into records by the
+    parity of their quotes, shorter ones are read whole.
+    """
     options = csv_options(multiline)
     header = spark.read.options(**options).csv(path).columns
+    if multiline and longest_file(spark, path) > _split_bytes(spark):
+        return read_quoted(spark, path, header, ", ".join(f"`{c}` string" for c in [*header, CORRUPT]), options)
     return spark.read.options(**options).schema(text_schema(header)).csv(path)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def to_staging(raw: DataFrame, dataset: Dataset, legacy_zip: bool = False) -> DataFrame:
     """Clean and cast every column of the declared schema in one projection.
 
