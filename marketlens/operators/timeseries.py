@@ -67,3 +67,17 @@ def mark_last(df: DataFrame, size: int, flag: str) -> DataFrame:
     """Flag the last ``size`` weeks of every series."""
     latest_first = Window.partitionBy("series").orderBy(F.desc("week_end"))
     return df.select("*", (F.row_number().over(latest_first) <= size).alias(flag))
+
+
+def mark_after(df: DataFrame, size: int, flag: str) -> DataFrame:
+    """Flag the last ``size`` weeks of the whole panel: one date cuts all series."""
+    end = df.agg(F.max("week_end")).scalar()
+    return df.select("*", (F.col("week_end") > F.date_sub(end, 7 * size)).alias(flag))
+
+
+def aligned(weekly: DataFrame) -> DataFrame:
+    """Every series filled with weeks of 0 up to the last week that any series has."""
+    end = weekly.agg(F.max("week_end")).scalar()
+    silent = weekly.groupBy("series").agg(F.max("week_end").alias("_last")).filter(F.col("_last") < end)
+    weeks = F.sequence(F.date_add("_last", 7), end, F.expr("interval 7 days"))
+    return weekly.unionByName(silent.select("series", F.explode(weeks).alias("week_end"), F.lit(0.0).alias("revenue")))

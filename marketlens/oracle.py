@@ -580,7 +580,15 @@ def queries() -> dict[str, str]:
         "weekly_sales_by_seller": sql("SELECT * FROM weeks", *weekly("seller")),
         "weekly_sales_by_category": sql("SELECT * FROM weeks", *weekly("category")),
         "lag_features": sql("SELECT * FROM features", *weekly("seller")),
-        "train_test_split": sql("""SELECT series, week_end, revenue,
+        "train_test_split": sql("""SELECT series, week_end, revenue, week_end > (SELECT max(week_end) FROM panel) - 56 AS is_test
+            FROM (SELECT series, week_end, revenue, row_number() OVER (PARTITION BY series ORDER BY week_end) AS n FROM panel)
+            WHERE n > 4""", *weekly("seller"), """long_series AS (SELECT * FROM weeks
+            WHERE series IN (SELECT series FROM weeks GROUP BY 1 HAVING count(*) >= 15))""", """panel AS (
+            SELECT c.series, c.week_end, coalesce(w.revenue, 0.0) AS revenue
+            FROM (SELECT series, CAST(unnest(generate_series(min(week_end), (SELECT max(week_end) FROM long_series), INTERVAL 7 DAY)) AS DATE)
+                  AS week_end FROM long_series GROUP BY 1) c
+            LEFT JOIN long_series w ON c.series = w.series AND c.week_end = w.week_end)"""),
+        "train_test_split_by_series": sql("""SELECT series, week_end, revenue,
             row_number() OVER (PARTITION BY series ORDER BY week_end DESC) <= 8 AS is_test
             FROM features WHERE rolling_mean_4 IS NOT NULL
             AND series IN (SELECT series FROM weeks GROUP BY 1 HAVING count(*) >= 15)""", *weekly("state")),

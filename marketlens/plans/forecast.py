@@ -8,10 +8,10 @@ from functools import partial
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from marketlens.functions.numeric import as_money
-from marketlens.operators.timeseries import lag_features, mark_last, weekly_totals
+from marketlens.operators.timeseries import aligned, lag_features, mark_after, mark_last, weekly_totals
 from marketlens.plans.kpis import CATEGORY, ORDER_LINES, Star, daily_revenue, order_lines, orders_with_cents
 from marketlens.session import materialize
 
@@ -80,9 +80,14 @@ def with_history(weekly: DataFrame, min_weeks: int = MIN_WEEKS) -> tuple[DataFra
     return counted.filter(F.col("weeks") >= min_weeks).drop("weeks"), skipped
 
 
-def model_rows(weekly: DataFrame, test_weeks: int = TEST_WEEKS) -> DataFrame:
-    """Complete feature rows with ``is_test`` set on the last weeks of each series."""
-    return mark_last(lag_features(weekly).dropna(subset=list(FEATURES)), test_weeks, "is_test")
+def model_rows(weekly: DataFrame, test_weeks: int = TEST_WEEKS, by_date: bool = True) -> DataFrame:
+    """Complete feature rows with ``is_test`` set on the last weeks.
+
+    ``by_date`` cuts all series at one date, so that no row a pooled model learns from is later than one it is tested
+    on; series that end earlier should be ``aligned`` before.  Otherwise each series has its own last weeks.
+    """
+    rows = lag_features(weekly).dropna(subset=list(FEATURES))
+    return (mark_after if by_date else mark_last)(rows, test_weeks, "is_test")
 
 
 def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestRegressionModel:
@@ -107,6 +112,43 @@ def predict(model: RandomForestRegressionModel, rows: DataFrame) -> DataFrame:
     return model.transform(_assembled(rows)).drop("features")
 
 
+def forest_nodes(spark: SparkSession, model: RandomForestRegressionModel, path: str) -> DataFrame:
+    """The forest as a table: a row per node, read from the model stored at ``path``, which must not exist.
+
+    ``feature`` (a place in ``FEATURES``) and ``threshold`` say which child follows: ``left`` up to the threshold.  Leaves
+    have neither, and ``left`` = -1.  The root of each tree is node 0.  The table is as large as the forest, at most
+    ``TREES`` x (2^(``DEPTH`` + 1) - 1) rows, whatever the data.
+    """
+    model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    inner = F.col("leftChild") >= 0
+    return nodes.select(
+        F.col("treeID").alias("tree"),
+        F.col("id").alias("node"),
+        F.when(inner, F.col("split.featureIndex")).alias("feature"),
+        F.when(inner, F.element_at("split.leftCategoriesOrThreshold", 1)).alias("threshold"),
+        F.col("leftChild").alias("left"),
+        F.col("rightChild").alias("right"),
+        "prediction",
+    )
+
+
+def predict_nodes(nodes: DataFrame, rows: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """Adds ``predicted``, the mean over the trees of a node table, which built-in functions walk.
+
+    The trees reach the rows as one scalar subquery, an array of arrays of nodes.  A forest of more than ``depth`` levels raises.
+    """
+    fields = ("node", "feature", "threshold", "left", "right", "prediction")
+    trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("nodes"))
+    forest = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "nodes")))).scalar()
+    features = F.array(*[F.col(c).cast("double") for c in FEATURES])
+    step = "if(_x[t.nodes[at].feature] <= t.nodes[at].threshold, t.nodes[at].left, t.nodes[at].right)"
+    leaf = "if(t.nodes[at].left < 0, t.nodes[at].prediction, double(raise_error('the forest is deeper than stated')))"
+    mean = f"""aggregate(_forest, 0D, (total, t) -> total + aggregate(
+        sequence(1, {depth}), 0, (at, n) -> if(t.nodes[at].left < 0, at, {step}), at -> {leaf})) / size(_forest)"""
+    return rows.withColumns({"_forest": forest, "_x": features}).withColumn("predicted", F.expr(mean)).drop("_forest", "_x")
+
+
 def evaluate(predicted: DataFrame, by_series: bool = False) -> DataFrame:
     error = F.col("revenue") - F.col("predicted")
     groups = ["series"] if by_series else []
@@ -184,15 +226,30 @@ class ForecastRun:
     forecast: DataFrame
 
 
-def run_forecast(daily: DataFrame, period: tuple[str, str] = PERIOD, horizon: int = HORIZON) -> ForecastRun:
-    """Weeks, features, split, fit, evaluation and forecast in one go.
+def model_input(
+    daily: DataFrame, period: tuple[str, str] = PERIOD, align: bool = True
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The feature rows, the weeks they come from, and the skipped series.
 
-    The model is not refitted on the test weeks.  Weekly rows are stored once: the
-    fit, the evaluation and the forecast all start from that small table.
+    Weekly rows are stored once: the fit, the evaluation and the forecast all start from that small table.
     """
     weekly = materialize(weekly_series(daily, period), "weekly-revenue")
     usable, skipped = with_history(weekly)
-    rows = model_rows(usable)
+    if align:
+        usable = materialize(aligned(usable), "aligned-revenue")
+    return model_rows(usable, by_date=align), usable, skipped
+
+
+def run_forecast(
+    daily: DataFrame, period: tuple[str, str] = PERIOD, horizon: int = HORIZON, align: bool = True
+) -> ForecastRun:
+    """Weeks, features, split, fit, evaluation and forecast in one go.
+
+    All series end with the last week of any (those long enough by their own weeks are filled with 0), one date cuts
+    them, and all forecasts begin with the week after.  Without ``align`` each series keeps its own end and cut.  The
+    model is not refitted on the test weeks.
+    """
+    rows, usable, skipped = model_input(daily, period, align)
     train = rows.filter(~F.col("is_test"))
     if train.isEmpty():
         raise ValueError("no series has enough weeks to model")

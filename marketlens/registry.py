@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +15,7 @@ from marketlens.operators.accounting import load_accounting
 from marketlens.operators.constraints import constraint_report, foreign_key_orphans
 from marketlens.operators.dedupe import insert_or_ignore
 from marketlens.operators.keys import dense_keys, extend_dimension
-from marketlens.operators.timeseries import lag_features
+from marketlens.operators.timeseries import aligned, lag_features
 from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.increments import publish_batches
 from marketlens.plans.quality import quality_report
@@ -263,7 +263,14 @@ def q_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fc.model_rows(fc.with_history(_weekly(spark, sf_dir, "state"))[0])
+    """Weeks of all sellers up to the last week of any, cut at one date."""
+    rows = fc.model_rows(aligned(fc.with_history(_weekly(spark, sf_dir, "seller"))[0]))
+    return rows.select("series", "week_end", "revenue", "is_test")
+
+
+def q_train_test_split_by_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weeks of the regions, with each region's own last weeks."""
+    rows = fc.model_rows(fc.with_history(_weekly(spark, sf_dir, "state"))[0], by_date=False)
     return rows.select("series", "week_end", "revenue", "is_test")
 
 
@@ -295,6 +302,13 @@ def q_forecast_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.forecast.join(seen, "series").select("series", "purchase_date", inside.alias("in_range"))
 
 
+def q_forecast_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight weeks for all regions from a forest that was stored as a table of nodes and is walked in SQL."""
+    rows, usable = fc.model_input(fc.daily_series(star(spark, sf_dir), "state"), CALENDAR)[:2]
+    nodes = fc.forest_nodes(spark, fc.fit(rows.filter("NOT is_test")), scratch_path(spark, "forest"))
+    return fc.forecast(partial(fc.predict_nodes, nodes), usable)
+
+
 def q_forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recursion with the four-week mean in the place of the forest."""
     return fc.forecast(fc.four_week_mean, fc.with_history(_weekly(spark, sf_dir, "state"))[0])
@@ -302,7 +316,7 @@ def q_forecast_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_evaluate_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of last week's revenue as the prediction, per category."""
-    rows = fc.model_rows(fc.with_history(_weekly(spark, sf_dir, "category"))[0]).filter("is_test")
+    rows = fc.model_rows(fc.with_history(_weekly(spark, sf_dir, "category"))[0], by_date=False).filter("is_test")
     found = fc.evaluate(fc.last_week(rows), by_series=True)
     return found.select("series", "test_rows", *[F.round(c, 3).alias(c) for c in ("mae", "rmse", "mean_weekly_revenue")])
 
@@ -626,10 +640,12 @@ QUERIES: dict[str, Query] = {
     "weekly_sales_by_category": q_weekly_sales_by_category,
     "lag_features": q_lag_features,
     "train_test_split": q_train_test_split,
+    "train_test_split_by_series": q_train_test_split_by_series,
     "short_series": q_short_series,
     "forecast_8w": q_forecast_8w,
     "forecast_eval": q_forecast_eval,
     "forecast_calendar": q_forecast_calendar,
+    "forecast_stored": q_forecast_stored,
     "forecast_baseline": q_forecast_baseline,
     "evaluate_baseline": q_evaluate_baseline,
     "forecast_export": q_forecast_export,

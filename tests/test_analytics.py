@@ -3,10 +3,13 @@ from __future__ import annotations
 import datetime as dt
 import random
 from decimal import Decimal
+from functools import partial
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens.operators.timeseries import aligned
 from marketlens.plans import forecast as fc, segments, trend
 
 # Published monthly orders and revenue with growth and three-month mean.
@@ -114,8 +117,28 @@ def test_short_series_are_skipped(run):
     assert [(r.series, r.weeks) for r in run.skipped.collect()] == [("short", 9)]
 
 
-def test_split_takes_the_last_eight_weeks(run):
+def test_one_date_splits_all_series(run):
     rows = run.rows.collect()
+    cut = max(r.week_end for r in rows) - dt.timedelta(weeks=8)
+    assert all(r.is_test == (r.week_end > cut) for r in rows)
+    assert max(r.week_end for r in rows if not r.is_test) < min(r.week_end for r in rows if r.is_test)
+    ends = {s: max(r.week_end for r in rows if r.series == s) for s in ("a", "b")}
+    assert ends["a"] == ends["b"] and all(r.revenue == 0 for r in rows if r.series == "b" and r.week_end > dt.date(2017, 7, 23))
+    assert sum(r.series == "b" and r.is_test for r in rows) == 8
+
+
+def test_alignment_fills_up_to_the_last_week_of_any(spark):
+    weekly = spark.createDataFrame(
+        [("a", dt.date(2018, 1, 7), 1.0), ("a", dt.date(2018, 1, 14), 2.0), ("a", dt.date(2018, 1, 28), 3.0), ("b", dt.date(2018, 1, 14), 4.0)],
+        "series string, week_end date, revenue double")
+    got = sorted(map(tuple, aligned(weekly).filter("series = 'b'").collect()))
+    assert got == [("b", dt.date(2018, 1, 14), 4.0), ("b", dt.date(2018, 1, 21), 0.0), ("b", dt.date(2018, 1, 28), 0.0)]
+    assert aligned(weekly).count() == 6 and aligned(weekly.limit(0)).count() == 0
+
+
+def test_split_by_series_takes_the_last_eight_weeks_of_each(spark):
+    daily = _daily(spark, "a", 300).unionByName(_daily(spark, "b", 200))
+    rows = fc.run_forecast(daily, ("2017-01-01", "2018-09-05"), align=False).rows.collect()
     for series in ("a", "b"):
         mine = sorted((r.week_end, r.is_test) for r in rows if r.series == series)
         assert [t for _, t in mine] == [False] * (len(mine) - 8) + [True] * 8
@@ -126,7 +149,7 @@ def test_forecast_shape(run):
     assert {r.series for r in rows} == {"a", "b"}
     for series in ("a", "b"):
         weeks = sorted(r.purchase_date for r in rows if r.series == series)
-        last = max(r.week_end for r in run.rows.collect() if r.series == series)
+        last = max(r.week_end for r in run.rows.collect())
         assert weeks == [last + dt.timedelta(days=7 * n) for n in range(1, 9)]
     values = [r.revenue for r in run.rows.collect()]
     assert all(min(values) <= r.forecasted_revenue <= max(values) for r in rows)
@@ -148,6 +171,42 @@ def test_forecast_equals_step_by_step_prediction(spark):
     assert got == pytest.approx(expected, abs=0.011)
 
 
+NODES = """WITH RECURSIVE walk AS (
+    SELECT n, tree, 0 AS node FROM xs, (SELECT DISTINCT tree FROM nodes)
+    UNION ALL SELECT w.n, w.tree, CASE WHEN [lag_1, lag_2, lag_3, rolling_mean_4][CAST(feature AS BIGINT) + 1] <= threshold THEN "left" ELSE "right" END
+    FROM walk w JOIN nodes k ON k.tree = w.tree AND k.node = w.node JOIN xs ON xs.n = w.n WHERE "left" >= 0)
+SELECT n, avg(prediction) AS predicted FROM walk JOIN nodes USING (tree, node) WHERE "left" < 0 GROUP BY n ORDER BY n"""
+
+
+def test_a_forest_as_a_table_predicts_like_the_model(spark, tmp_path):
+    """A hundred trees, walked in Spark SQL and, from the exported table, in another engine."""
+    rng = random.Random(8)
+    data = [(i, *[float(rng.randrange(1000)) for _ in range(5)]) for i in range(300)]
+    rows = spark.createDataFrame(data, "n long, lag_1 double, lag_2 double, lag_3 double, rolling_mean_4 double, revenue double")
+    model = fc.fit(rows)
+    nodes = fc.forest_nodes(spark, model, str(tmp_path / "model"))
+    assert nodes.select("tree").distinct().count() == 100 and nodes.count() == model.totalNumNodes
+    expected = {r.n: r.predicted for r in fc.predict(model, rows).collect()}
+    walked = fc.predict_nodes(nodes, rows)
+    assert {r.n: r.predicted for r in walked.collect()} == expected
+    assert walked.columns == [*rows.columns, "predicted"]
+    assert "Python" not in walked._jdf.queryExecution().executedPlan().toString()
+    db = duckdb.connect()
+    db.register("nodes", nodes.toPandas())
+    db.register("xs", rows.toPandas())
+    assert {n: p for n, p in db.execute(NODES).fetchall()} == pytest.approx(expected)
+    with pytest.raises(Exception, match="deeper"):
+        fc.predict_nodes(nodes, rows, depth=2).collect()
+
+
+def test_forecast_from_the_table_equals_the_model(spark, tmp_path):
+    weekly = fc.weekly_series(_daily(spark, "a", 300).unionByName(_daily(spark, "b", 280)), ("2017-01-01", "2018-09-05"))
+    model = fc.fit(fc.model_rows(weekly).filter("NOT is_test"), trees=20)
+    nodes = fc.forest_nodes(spark, model, str(tmp_path / "model"))
+    stored = fc.forecast(partial(fc.predict_nodes, nodes), weekly)
+    assert sorted(stored.collect()) == sorted(fc.forecast(model, weekly).collect()) and stored.count() == 16
+
+
 def test_a_step_predicts_once(spark):
     weekly = fc.weekly_series(_daily(spark, "a", 300), ("2017-01-01", "2018-09-05"))
     model = fc.fit(fc.model_rows(weekly).filter("NOT is_test"), trees=2)
