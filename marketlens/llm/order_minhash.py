@@ -219,8 +219,8 @@ def linked(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     return both.mapInArrow(run, "u binary, v binary, similarity double")
 
 
-def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare, from members (key, node), and the members of buckets that hold more nodes than were compared pairwise."""
+def candidates(members: DataFrame) -> DataFrame:
+    """Pairs to compare, from members (key, node): all of a bucket of ``ALL_PAIRS`` nodes, and each with the first of a larger one."""
     order = F.struct(F.xxhash64("key", "node"), "node")
     sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.min(order)["node"].alias("first")).filter("n > 1")
     inside = members.join(sizes, "key")
@@ -229,8 +229,7 @@ def candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = inside.filter(F.col("n") <= ALL_PAIRS).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
     later = F.slice("all", F.col("i") + 2, F.size("all"))
     every = few.select("all", F.posexplode("all").alias("i", "u")).select("u", F.explode(later).alias("v"))
-    large = members.join(sizes.filter(F.col("n") > ALL_PAIRS).select("key"), "key", "left_semi")
-    return star.unionByName(every).distinct(), large
+    return star.unionByName(every).distinct()
 
 
 def labelled_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,7 +291,7 @@ def prefixes(texts: DataFrame, ranks: np.ndarray, least: float = SIMILARITY) ->
 
 def rest_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     """``u, v``: all pairs of texts of different classes among the members that may be similar."""
-    named = members.select("node", "root").distinct().join(texts, "node").select("node", "root", "text")
+    named = members.join(texts, "node").select("node", "root", "text")
     found = materialize(prefixes(named, rarity(named)), "prefixes")
     several = found.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
     left = found.join(several, "token", "left_semi")
@@ -307,23 +306,27 @@ def rest_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     return met.select("u", "v").distinct()
 
 
-def mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``key, node, i, root`` of the members of buckets that hold several classes."""
-    placed = members.join(roots.withColumnRenamed("root", "_r"), "node", "left").withColumn("root", F.coalesce("_r", "node")).drop("_r")
-    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    return materialize(placed.join(several, "key", "left_semi"), "mixed")
+def mixed(signed: DataFrame, roots: DataFrame) -> DataFrame:
+    """``node, root`` of the members of large buckets that hold several classes.
+
+    Classes are looked up per text, before its keys are listed, and buckets are judged by an aggregate; only members
+    of mixed buckets pass a join.
+    """
+    known = signed.join(roots.withColumnRenamed("root", "_r"), "node", "left")
+    placed = known.select("node", F.coalesce("_r", "node").alias("root"), F.explode("keys").alias("key"))
+    buckets = placed.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = buckets.filter((F.col("n") > ALL_PAIRS) & (F.col("lo") != F.col("hi"))).select("key")
+    return materialize(placed.join(several, "key", "left_semi").select("node", "root").distinct(), "mixed")
 
 
 def node_roots(docs: DataFrame) -> DataFrame:
     """``node, root`` of all texts that are linked to another text, but the roots; ``docs`` holds ``node`` and ``text``."""
     signed = materialize(signatures(docs), "signatures")
-    members = signed.select("node", F.posexplode("keys").alias("i", "key"))
-    pairs, large = candidates(members)
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(candidates(signed.select("node", F.explode("keys").alias("key"))), "pairs")
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     texts = materialize(docs.dropDuplicates(["node"]).select("node", "text").join(wanted, "node", "left_semi"), "texts")
     roots = components(materialize(linked(pairs, texts), "linked").select("u", "v"))
-    rest = mixed(large, roots)
+    rest = mixed(signed, roots)
     if rest.isEmpty():
         return roots
     found = materialize(linked(materialize(rest_pairs(rest, texts), "pairs"), texts), "linked").select("u", "v")
