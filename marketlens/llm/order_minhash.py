@@ -42,6 +42,7 @@ SIMILARITY = 0.8
 ALL_PAIRS = 24
 RANKS = 1 << 16
 MARKS = 512
+BEFORE = 8  # words kept before each word of a prefix, so that a pair is rarely met twice
 CHUNK_BYTES = 1 << 20
 U = np.uint64
 A, B, C = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -260,10 +261,10 @@ def rarity(texts: DataFrame) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, ranks: np.ndarray, least: float = SIMILARITY) -> DataFrame:
-    """``token, place, node, root, n, marks``: the rarest labelled words of each text, one of which any similar text has among its own.
+    """``token, place, node, root, n, marks, before``: the rarest labelled words of each text, one of which any similar text has among its own.
 
     ``marks`` holds the parity of the labelled words in each of ``MARKS`` classes of their hash: where two texts differ in
-    d words, their marks differ in d places at most.
+    d words, their marks differ in d places at most.  ``before`` holds the ``BEFORE`` words that come before this one.
     """
     shared = texts.sparkSession.sparkContext.broadcast(ranks)
 
@@ -281,11 +282,15 @@ def prefixes(texts: DataFrame, ranks: np.ndarray, least: float = SIMILARITY) ->
                 inside = place < (n - np.ceil(least * n - 1e-9) + 1)[owner]
                 kept = order[inside]
                 who = pa.array(owner[kept] + begin)
+                m = np.minimum(place[inside], BEFORE)
+                ends = np.cumsum(m)
+                back = np.repeat(np.flatnonzero(inside) - m, m) + np.arange(m.sum()) - np.repeat(ends - m, m)
+                before = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(token[order[back]].astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token[kept].astype(np.int64)), pa.array(place[inside]), batch.column("node").take(who),
                      batch.column("root").take(who), pa.array(n[owner[kept]].astype(np.int64)),
-                     marks.take(pa.array(owner[kept]))], ["token", "place", "node", "root", "n", "marks"])
-    names = "token long, place long, node binary, root binary, n long, marks array<long>"
+                     marks.take(pa.array(owner[kept])), before], ["token", "place", "node", "root", "n", "marks", "before"])
+    names = "token long, place long, node binary, root binary, n long, marks array<long>, before array<long>"
     return texts.select("node", "root", "text").mapInArrow(run, names)
 
 
@@ -295,12 +300,14 @@ def rest_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
     found = materialize(prefixes(named, rarity(named)), "prefixes")
     several = found.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
     left = found.join(several, "token", "left_semi")
-    right = left.select("token", F.col("node").alias("v"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("place").alias("_place"), F.col("marks").alias("_marks"))
+    right = left.select("token", F.col("node").alias("v"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("place").alias("_place"), F.col("marks").alias("_marks"), F.col("before").alias("_before"))
     # Behind the first word that two texts share there must be enough words left in both.
     needed = SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("_n")) - 1e-9
     near = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place")) >= needed
     apart = sum(F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("_marks")[i])) for i in range(MARKS // 64))
     near = near & (apart <= F.col("n") + F.col("_n") - 2 * needed)
+    # Prefixes have one order for all texts: two that share a word just before this one have met there, where more words were left.
+    near = near & ~F.arrays_overlap("before", "_before")
     differ = (F.col("u") < F.col("v")) & (F.col("root") != F.col("_root"))
     met = left.withColumnRenamed("node", "u").join(right, "token").filter(differ & near)
     return met.select("u", "v").distinct()
