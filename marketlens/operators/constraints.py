@@ -14,13 +14,19 @@ class ConstraintViolation(ValueError):
     """Raised with the offending constraints and their row counts."""
 
 
-def _column_checks(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
-    """NOT NULL and length checks of one table, in a single scan."""
+def column_checks(df: DataFrame, rules: TableRules) -> dict[str, str]:
+    """``kind|column`` and the predicate that a row violates, for every NOT NULL and length rule."""
     checks = {f"not_null|{c}": f"`{c}` IS NULL" for c in rules.not_null}
     strings = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     for column, limit in rules.max_length.items():
         if column in strings:
             checks[f"length<={limit}|{column}"] = f"char_length(`{column}`) > {limit}"
+    return checks
+
+
+def _column_checks(table: str, df: DataFrame, rules: TableRules) -> DataFrame:
+    """NOT NULL and length checks of one table, in a single scan."""
+    checks = column_checks(df, rules)
     counted = df.agg(*[F.expr(f"count_if({violated}) AS `{check}`") for check, violated in checks.items()])
     return counted.unpivot([], counted.columns, "_check", "violations").selectExpr(
         f"'{table}' AS table_name",
@@ -59,7 +65,8 @@ def constraint_report(star: dict[str, DataFrame], rules: dict[str, TableRules] =
     parts: list[DataFrame] = []
     for table, rule in rules.items():
         df = star[table]
-        parts.append(_column_checks(table, df, rule))
+        if rule.not_null or rule.max_length:
+            parts.append(_column_checks(table, df, rule))
         parts += [_unique_check(table, df, key) for key in rule.unique]
         for column, (parent, parent_key) in rule.foreign_keys.items():
             orphans = foreign_key_orphans(df, column, star[parent], parent_key)
@@ -78,9 +85,33 @@ def without_generated_keys() -> dict[str, TableRules]:
     }
 
 
-def enforce(star: dict[str, DataFrame], rules: dict[str, TableRules] = WAREHOUSE_RULES) -> None:
-    broken = constraint_report(star, rules).filter("violations > 0").collect()  # at most one row per constraint
-    if broken:
+def without_counted_columns(counted: set[str], joined: dict[str, tuple[str, ...]]) -> dict[str, TableRules]:
+    """What is left to check once the column rules of the ``counted`` tables are known.
+
+    ``joined`` names the references of each table that came out of a join with the
+    parent's stored table and so cannot dangle.
+    """
+    return {
+        table: replace(
+            rule,
+            not_null=() if table in counted else rule.not_null,
+            max_length={} if table in counted else rule.max_length,
+            foreign_keys={c: parent for c, parent in rule.foreign_keys.items() if c not in joined.get(table, ())},
+        )
+        for table, rule in without_generated_keys().items()
+    }
+
+
+def enforce(
+    star: dict[str, DataFrame],
+    rules: dict[str, TableRules] = WAREHOUSE_RULES,
+    counted: dict[tuple[str, str], int] | None = None,
+) -> None:
+    """Raise if a rule is broken.  ``counted`` holds violations known already, by table and ``kind|column``."""
+    found = [(table, *check.split("|"), rows) for (table, check), rows in (counted or {}).items() if rows]
+    checked = constraint_report(star, rules).filter("violations > 0")
+    found += [tuple(row) for row in checked.collect()]  # at most one row per constraint
+    if found:
         raise ConstraintViolation(
-            "; ".join(f"{r.table_name}.{r.column_name} {r.constraint_kind}: {r.violations} rows" for r in broken)
+            "; ".join(f"{table}.{column} {kind}: {rows} rows" for table, kind, column, rows in found)
         )

@@ -7,19 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def first_per_key(df: DataFrame, *keys: str) -> DataFrame:
+def first_per_key(df: DataFrame, *keys: str, copies: str | None = None) -> DataFrame:
     """Keep the smallest row per non-NULL key, comparing the other columns left to right.
 
     ``min`` over a struct combines on the map side, so a key that holds a third of
     all rows reaches the shuffle as one row per task; a ranking window would send
-    the whole group to one task.
+    the whole group to one task.  ``copies`` names a further column with the number
+    of rows that had the key.
     """
     rest = [c for c in df.columns if c not in keys]
     keyed = df.dropna(subset=list(keys))
-    if not rest:
+    if not rest and not copies:
         return keyed.distinct()
-    picked = keyed.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    merged = [F.min(F.struct(*rest)).alias("_first")] if rest else []
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    picked = keyed.groupBy(*keys).agg(*merged, *counted)
+    columns = [F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
+    return picked.select(*columns, *([copies] if copies else []))
 
 
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataFrame:

@@ -465,7 +465,7 @@ def _accounting() -> str:
         count(*) FILTER (WHERE known) AS rows_loaded
         FROM (SELECT product_id IN (SELECT product_id FROM dim_products)
                  AND seller_id IN (SELECT seller_id FROM dim_sellers) AS known FROM order_items)"""
-    return " UNION ALL ".join(
+    steps = " UNION ALL ".join(
         [
             dim("dim_customers", "customers", "customer_id"),
             dim("dim_sellers", "sellers", "seller_id"),
@@ -476,6 +476,7 @@ def _accounting() -> str:
             copied.format("fact_reviews", "order_reviews"),
         ]
     )
+    return f"SELECT *, 0 AS unexplained FROM ({steps})"
 
 
 def _orphans() -> str:

@@ -19,9 +19,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketlens.functions.dates import date_key, elapsed_days
-from marketlens.operators.constraints import enforce, without_generated_keys
+from marketlens.operators.constraints import enforce, without_counted_columns
 from marketlens.operators.dedupe import first_per_key
 from marketlens.operators.keys import dense_keys, sparse_keys
+from marketlens.operators.write_counts import COPIES, WriteCounts
 from marketlens.plans.kpis import stored_joins
 from marketlens.schemas import SURROGATE_KEYS
 from marketlens.session import scratch_root
@@ -33,6 +34,12 @@ DEFAULT_CALENDAR = ("2016-01-01", "2019-12-31")
 TABLES = ("dim_date", "dim_customers", "dim_sellers", "dim_products",
           "fact_orders", "fact_order_items", "fact_payments", "fact_reviews")
 
+#: What a full load counted while it wrote, stored with the version.
+LOAD_COUNTS = "load_counts"
+
+# References whose keys are taken from the stored dimension by a join.
+_JOINED = {"fact_orders": ("customer_key",), "fact_order_items": ("product_key", "seller_key")}
+
 
 def dim_date(spark: SparkSession, calendar: tuple[str, str] = DEFAULT_CALENDAR) -> DataFrame:
     first, last = (date.fromisoformat(d) for d in calendar)
@@ -54,21 +61,22 @@ def dim_date(spark: SparkSession, calendar: tuple[str, str] = DEFAULT_CALENDAR)
     )
 
 
-def dim_customers(customers: DataFrame) -> DataFrame:
+def dim_customers(customers: DataFrame, copies: str | None = None) -> DataFrame:
     return first_per_key(
         customers.select("customer_id", "customer_unique_id", "customer_zip_code_prefix",
                          "customer_city", "customer_state"),
         "customer_id",
+        copies=copies,
     )
 
 
-def dim_sellers(sellers: DataFrame) -> DataFrame:
+def dim_sellers(sellers: DataFrame, copies: str | None = None) -> DataFrame:
     return first_per_key(
-        sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"), "seller_id"
+        sellers.select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"), "seller_id", copies=copies
     )
 
 
-def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, translation: DataFrame, copies: str | None = None) -> DataFrame:
     """English label where one is known, else the raw category name."""
     labels = translation.select("product_category_name", F.col("product_category_name_english").alias("_label"))
     labelled = products.join(labels, "product_category_name", "left").select(
@@ -77,7 +85,7 @@ def dim_products(products: DataFrame, translation: DataFrame) -> DataFrame:
         F.coalesce("_label", "product_category_name").alias("product_category_name_english"),
         "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
     )
-    return first_per_key(labelled, "product_id")
+    return first_per_key(labelled, "product_id", copies=copies)
 
 
 def _resolve(fact: DataFrame, dim: DataFrame, natural_id: str, key: str) -> DataFrame:
@@ -95,7 +103,12 @@ def inside_calendar(moment: Column, calendar: tuple[str, str]) -> Column:
     )
 
 
-def fact_orders(orders: DataFrame, customers: DataFrame, calendar: tuple[str, str] = DEFAULT_CALENDAR) -> DataFrame:
+def fact_orders(
+    orders: DataFrame,
+    customers: DataFrame,
+    calendar: tuple[str, str] = DEFAULT_CALENDAR,
+    copies: str | None = None,
+) -> DataFrame:
     """Orders of known customers inside the calendar, one row per order.
 
     The calendar has no gaps, so joining it is the same as a range filter on the
@@ -120,7 +133,7 @@ def fact_orders(orders: DataFrame, customers: DataFrame, calendar: tuple[str, st
         promised.alias("estimated_delivery_timestamp"),
         "customer_key",
     )
-    kept = first_per_key(shaped, "order_id")
+    kept = first_per_key(shaped, "order_id", copies=copies)
     done, due = F.col("delivered_customer_timestamp"), F.col("estimated_delivery_timestamp")
     return kept.select(
         "order_id", "customer_key", "order_status", "purchase_date_key", "purchase_timestamp",
@@ -128,6 +141,7 @@ def fact_orders(orders: DataFrame, customers: DataFrame, calendar: tuple[str, st
         "estimated_delivery_timestamp",
         elapsed_days(done, due).alias("delivery_delay_days"),
         F.coalesce(done > due, F.lit(False)).alias("is_delayed"),
+        *([copies] if copies else []),
     )
 
 
@@ -182,8 +196,10 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Full refresh of all eight tables and the joins stored with them, or of none: dimensions, facts, checks, joins, commit.
 
-    ``also`` gives further tables of the version from the stored star.
+    ``also`` gives further tables of the version from the stored star.  Rows, merged copies and column rules are
+    counted by the writes themselves and stored as ``load_counts``.
     """
+    counts = WriteCounts()
     version, path = new_version_path(root)
     scratch_root(spark)  # settled before the writers below start
 
@@ -192,20 +208,21 @@ def publish(
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     def dimension(name: str, df: DataFrame) -> DataFrame:
-        return store(name, dense_keys(df, SURROGATE_KEYS[name]))
+        return store(name, counts.rows(name, dense_keys(counts.copies(name, df), SURROGATE_KEYS[name])))
 
     def fact(name: str, df: DataFrame) -> DataFrame:
-        return store(name, sparse_keys(df, SURROGATE_KEYS[name]))
+        once = counts.copies(name, df) if COPIES in df.columns else df
+        return store(name, counts.rows(name, sparse_keys(once, SURROGATE_KEYS[name])))
 
     star: dict[str, DataFrame] = {}
     # Tables of one level do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(max_workers=6) as pool:
         level = {
-            "dim_date": pool.submit(store, "dim_date", dim_date(spark, calendar)),
-            "dim_customers": pool.submit(dimension, "dim_customers", dim_customers(staging["customers"])),
-            "dim_sellers": pool.submit(dimension, "dim_sellers", dim_sellers(staging["sellers"])),
+            "dim_date": pool.submit(store, "dim_date", counts.rows("dim_date", dim_date(spark, calendar))),
+            "dim_customers": pool.submit(dimension, "dim_customers", dim_customers(staging["customers"], COPIES)),
+            "dim_sellers": pool.submit(dimension, "dim_sellers", dim_sellers(staging["sellers"], COPIES)),
             "dim_products": pool.submit(
-                dimension, "dim_products", dim_products(staging["products"], staging["category_translation"])
+                dimension, "dim_products", dim_products(staging["products"], staging["category_translation"], COPIES)
             ),
             "fact_payments": pool.submit(fact, "fact_payments", fact_payments(staging["order_payments"])),
             "fact_reviews": pool.submit(fact, "fact_reviews", fact_reviews(staging["order_reviews"])),
@@ -213,7 +230,7 @@ def publish(
         star.update({name: job.result() for name, job in level.items()})
         level = {
             "fact_orders": pool.submit(
-                fact, "fact_orders", fact_orders(staging["orders"], star["dim_customers"], calendar)
+                fact, "fact_orders", fact_orders(staging["orders"], star["dim_customers"], calendar, COPIES)
             ),
             "fact_order_items": pool.submit(
                 fact,
@@ -224,9 +241,9 @@ def publish(
         star.update({name: job.result() for name, job in level.items()})
 
     star = {name: star[name] for name in TABLES}
-    enforce(star, without_generated_keys())
+    enforce(star, without_counted_columns(counts.tables(), _JOINED), counts.violations())
     # The joins by order that the views share, written once per version.
-    more = {**stored_joins(star), **(also(star) if also else {})}
+    more = {LOAD_COUNTS: counts.frame(spark), **stored_joins(star), **(also(star) if also else {})}
     with ThreadPoolExecutor(max_workers=6) as pool:
         level = {name: pool.submit(store, name, table) for name, table in more.items()}
         star.update({name: job.result() for name, job in level.items()})

@@ -67,6 +67,47 @@ def test_accounting(spark, shop, star):
     assert (rows["fact_order_items"].unknown_reference, rows["fact_order_items"].rows_loaded) == (2, 5)
     assert (rows["dim_customers"].null_key, rows["dim_customers"].duplicate_key, rows["dim_customers"].rows_loaded) == (1, 2, 4)
     assert rows["fact_payments"].rows_read == rows["fact_payments"].rows_loaded == 5
+    assert {r.unexplained for r in rows.values()} == {0}
+
+
+def test_accounting_by_the_counts_of_the_writes(spark, shop, star, published):
+    stored = warehouse.open_star(spark, published)
+    assert warehouse.LOAD_COUNTS in stored
+    assert sorted(load_accounting(shop, stored).collect()) == sorted(load_accounting(shop, star).collect())
+    counted = {r.step: (r.rows_loaded, r.duplicate_key) for r in stored[warehouse.LOAD_COUNTS].collect()}
+    assert {t: n for t, (n, _) in counted.items()} == {t: stored[t].count() for t in warehouse.TABLES}
+    assert {t for t, (_, copies) in counted.items() if copies} == {"dim_customers", "fact_orders"}
+
+
+def test_a_lost_row_is_unexplained_and_no_duplicate(spark, shop, star):
+    lossy = dict(star, fact_orders=star["fact_orders"].filter("order_id <> 'o2'"),
+                 fact_payments=star["fact_payments"].unionByName(star["fact_payments"].limit(1)))
+    rows = {r.step: r for r in load_accounting(shop, lossy).collect()}
+    assert (rows["fact_orders"].duplicate_key, rows["fact_orders"].unexplained) == (1, 1)
+    assert rows["fact_payments"].unexplained == -1
+    stored = dict(lossy, **{warehouse.LOAD_COUNTS: spark.createDataFrame([("fact_orders", 4, 1)], "step string, rows_loaded long, duplicate_key long")})
+    assert [(r.step, r.unexplained) for r in load_accounting(shop, stored).collect()] == [("fact_orders", 1)]
+
+
+def test_accounting_reads_little(shop, spark, published):
+    """Loaded tables are not read again, but for the ids of the three dimensions."""
+    plan = load_accounting(shop, warehouse.open_star(spark, published))._jdf.queryExecution().optimizedPlan().toString()
+    assert "purchase_date_key" not in plan and "payment_key" not in plan and "review_key" not in plan
+
+
+def test_publish_of_empty_tables_counts_nothing(spark, make_staging, tmp_path):
+    warehouse.publish(spark, make_staging(), str(tmp_path))
+    counted = warehouse.open_star(spark, str(tmp_path))[warehouse.LOAD_COUNTS].collect()
+    assert {r.step: (r.rows_loaded, r.duplicate_key) for r in counted if r.step != "dim_date"} == {
+        t: (0, 0) for t in warehouse.TABLES if t != "dim_date"}
+
+
+def test_first_load_of_an_increment_chain_drops_its_counts(spark, shop, tmp_path):
+    from marketlens.plans.increments import publish_increment
+
+    warehouse.publish(spark, shop, str(tmp_path))
+    publish_increment(spark, str(tmp_path), shop, shop["category_translation"])
+    assert warehouse.LOAD_COUNTS not in warehouse.open_star(spark, str(tmp_path))
 
 
 def test_published_star_gives_the_same_views(spark, star, published):
