@@ -1,6 +1,8 @@
 """Data-quality audits over a set of tables.
 
-Every table is read once per audit, however many columns or rules are checked.
+All audits come from :func:`audit_counts`, one aggregate per table.  An audit asked for by
+itself leaves the columns that it does not need to the optimizer, which drops them; to run
+several, store the few rows of counts once and derive each from them.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marketlens.functions.numeric import audit_percent
 from marketlens.operators.dedupe import surplus_rows
@@ -44,6 +46,9 @@ MAX_MISSING_PERCENT = 10
 MAX_DUPLICATE_PERCENT = 5
 MIN_ROWS = 100
 
+#: Texts of more bytes are compared by digest.
+LONGEST_KEPT = 32
+
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     if not parts:
@@ -51,86 +56,114 @@ def _stack(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def audit_counts(
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]] = BUSINESS_KEYS,
+    rules: Sequence[Rule] = VALUE_RULES,
+) -> DataFrame:
+    """One row per table: its rows, present cells per column, rows beyond the first of each key, violations per rule.
 
+    Each table is read once.  Tables without a key have NULL ``surplus``, those without
+    rules an empty map.
+    """
+    def one(table: str, df: DataFrame) -> DataFrame:
+        present = [part for c in df.columns for part in (F.lit(c), F.expr(f"count(`{c}`)"))]
+        broken = [part for r in rules if r.table == table for part in (F.lit(r.name), F.expr(f"count_if({r.violation})"))]
+        return df.agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.create_map(*present).alias("present"),
+            (surplus_rows(keys[table]) if table in keys else F.lit(None)).cast("bigint").alias("surplus"),
+            F.create_map(*broken).cast("map<string,bigint>").alias("broken"),
+        ).select(F.lit(table).alias("table_name"), "*")
 
-def missing_values(tables: Mapping[str, DataFrame], schema: str = "staging") -> DataFrame:
-    """One row per column with its NULL count and share."""
+    return _stack([one(table, df) for table, df in tables.items() if df.columns])
 
-    def one(table: str, df: DataFrame) -> DataFrame:
-        counted = df.agg(F.expr("count(1) AS `|total`"), *[F.expr(f"count(`{c}`) AS `{c}`") for c in df.columns])
-        return counted.unpivot("|total", df.columns, "column_name", "_present").select(
-            F.lit(schema).alias("schema_name"),
-            F.lit(table).alias("table_name"),
-            "column_name",
-            (F.col("|total") - F.col("_present")).alias("missing_count"),
-            F.col("|total").alias("total_count"),
-        )
 
-    rows = _stack([one(t, df) for t, df in tables.items() if df.columns])
-    return rows.withColumn("missing_pct", audit_percent(F.col("missing_count"), F.col("total_count")))
+def missing_of(counts: DataFrame, schema: str = "staging") -> DataFrame:
+    """One row per column with its NULL count and share."""
+    columns = counts.select("table_name", "total_rows", F.explode("present").alias("column_name", "_present"))
+    missing = F.col("total_rows") - F.col("_present")
+    return columns.select(
+        F.lit(schema).alias("schema_name"),
+        "table_name",
+        "column_name",
+        missing.alias("missing_count"),
+        F.col("total_rows").alias("total_count"),
+        audit_percent(missing, F.col("total_rows")).alias("missing_pct"),
+    )
 
 
-def duplicate_keys(
-    tables: Mapping[str, DataFrame],
-    schema: str = "staging",
-    keys: Mapping[str, Sequence[str]] = BUSINESS_KEYS,
+def duplicates_of(
+    counts: DataFrame, schema: str = "staging", keys: Mapping[str, Sequence[str]] = BUSINESS_KEYS
 ) -> DataFrame:
-    """Rows beyond the first of each business key; tables that are absent are skipped."""
-    rows = _stack(
-        [
-            tables[table]
-            .agg(F.count(F.lit(1)).alias("total_rows"), surplus_rows(key).alias("duplicate_rows"))
-            .select(
-                F.lit(schema).alias("schema_name"),
-                F.lit(table).alias("table_name"),
-                F.lit(", ".join(key)).alias("unique_keys"),
-                "total_rows",
-                "duplicate_rows",
-            )
-            for table, key in keys.items()
-            if table in tables
-        ]
+    """Rows beyond the first of each business key, for every table that has one."""
+    names = F.create_map(*[F.lit(part) for table, key in keys.items() for part in (table, ", ".join(key))])
+    return counts.filter(F.col("surplus").isNotNull()).select(
+        F.lit(schema).alias("schema_name"),
+        "table_name",
+        names[F.col("table_name")].alias("unique_keys"),
+        "total_rows",
+        F.col("surplus").alias("duplicate_rows"),
+        audit_percent(F.col("surplus"), F.col("total_rows")).alias("duplicate_pct"),
     )
-    return rows.withColumn("duplicate_pct", audit_percent(F.col("duplicate_rows"), F.col("total_rows")))
 
 
-def value_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = VALUE_RULES) -> DataFrame:
-    """One row per rule; all rules of a table share one scan."""
-    parts = []
-    for table in dict.fromkeys(r.table for r in rules):
-        if table not in tables:
-            continue
-        mine = [r for r in rules if r.table == table]
-        counted = tables[table].agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            *[F.expr(f"count_if({r.violation}) AS _rule_{n}") for n, r in enumerate(mine)],
-        )
-        rows = ", ".join(
-            f"{_quoted(r.name)}, '{r.table}', '{r.column}', _rule_{n}, {_quoted(r.violation)}"
-            for n, r in enumerate(mine)
-        )
-        parts.append(
-            counted.selectExpr(
-                "total_rows",
-                f"stack({len(mine)}, {rows})"
-                " AS (rule_name, table_name, column_name, violations_count, sql_constraint)",
-            )
-        )
-    return _stack(parts).select(
+def broken_rules_of(counts: DataFrame, rules: Sequence[Rule] = VALUE_RULES) -> DataFrame:
+    """One row per rule of the counted tables."""
+    told = F.create_map(*[
+        part for r in rules
+        for part in (F.lit(r.name), F.struct(F.lit(r.column).alias("column"), F.lit(r.violation).alias("violation")))
+    ])
+    listed = counts.select("table_name", "total_rows", F.explode("broken").alias("rule_name", "violations_count"))
+    return listed.withColumn("_rule", told[F.col("rule_name")]).select(
         "rule_name",
         "table_name",
-        "column_name",
+        F.col("_rule.column").alias("column_name"),
         "total_rows",
         "violations_count",
         audit_percent(F.col("violations_count"), F.col("total_rows")).alias("violation_pct"),
-        "sql_constraint",
+        F.col("_rule.violation").alias("sql_constraint"),
     )
 
 
+def missing_values(tables: Mapping[str, DataFrame], schema: str = "staging") -> DataFrame:
+    return missing_of(audit_counts(tables), schema)
+
+
+def duplicate_keys(
+    tables: Mapping[str, DataFrame],
+    schema: str = "staging",
+    keys: Mapping[str, Sequence[str]] = BUSINESS_KEYS,
+) -> DataFrame:
+    """Tables that have no key, or are absent, are skipped."""
+    keyed = {table: df for table, df in tables.items() if table in keys}
+    return duplicates_of(audit_counts(keyed, keys), schema, keys)
+
+
+def value_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = VALUE_RULES) -> DataFrame:
+    ruled = {table: df for table, df in tables.items() if any(r.table == table for r in rules)}
+    return broken_rules_of(audit_counts(ruled, rules=rules), rules)
+
+
+def _narrow(field: T.StructField) -> Column:
+    """The column, or a digest where it is long, equal for equal values only.
+
+    A digest has 64 characters, so no text that is kept as it is equals one.
+    """
+    cell = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.when(F.octet_length(cell) > LONGEST_KEPT, F.sha2(cell, 256)).otherwise(cell).alias(field.name)
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        return F.sha2(F.to_json(cell), 256).alias(field.name)
+    return cell
+
+
 def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows, columns, NULL cells and repeated whole rows of every dataset."""
+    """Rows, columns, NULL cells and repeated whole rows of every dataset.
+
+    Rows are told apart by their short cells and digests of the others, so whole texts,
+    pages and vectors are not shuffled.  Nested values are compared as JSON.
+    """
 
     def one(name: str, df: DataFrame) -> DataFrame:
         present = " + ".join(f"count(`{c}`)" for c in df.columns)
@@ -138,7 +171,7 @@ def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
         return df.agg(
             F.expr("count(1) AS row_count"),
             F.expr(f"count(1) * {width} - ({present}) AS missing_values"),
-            surplus_rows([f"`{c}`" for c in df.columns]).alias("duplicate_rows"),
+            surplus_rows([_narrow(f) for f in df.schema.fields]).alias("duplicate_rows"),
         ).selectExpr(
             f"'{name}' AS dataset", "row_count", f"{width} AS column_count", "missing_values", "duplicate_rows"
         )

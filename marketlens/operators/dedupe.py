@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def first_per_key(df: DataFrame, *keys: str, copies: str | None = None) -> DataFrame:
@@ -43,7 +43,7 @@ def new_keys_only(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataF
     return fresh.join(seen, on, "left_anti")
 
 
-def surplus_rows(keys: Sequence[str]):
+def surplus_rows(keys: Sequence[str | Column]) -> Column:
     """Rows beyond the first of each key.
 
     The key is a struct, so keys that are (partly) NULL count as keys too.

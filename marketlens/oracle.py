@@ -494,12 +494,42 @@ def _orphans() -> str:
     )
 
 
+# What is spoilt in the exported files: cells that do not fit their type, lines with a cell too many.
+SPOILT_CELLS = {
+    "orders": ("order_id % 7 = 0", "order_id % 5 = 0"),
+    "order_items": ("order_id % 6 = 0", "order_id % 10 = 0"),
+    "payments": ("order_id % 9 = 0",),
+    "products": ("product_id % 4 = 0",),
+    "geolocation": ("geolocation_lng = 3",),
+}
+SPOILT_LINES = {"orders": "order_id % 11 = 0", "customers": "customer_id % 8 = 0", "payments": "order_id % 4 = 1", "sellers": "seller_id % 3 = 0"}
 CSV_COUNTS = " UNION ALL ".join(
-    f"SELECT '{key}' AS dataset, '{d.table}' AS table_name, count(*) AS rows_loaded, 0 AS rejected_cells, "
-    f"0 AS malformed_rows, 'loaded' AS status FROM {TABLE_SOURCES[d.table]}"
+    f"SELECT '{key}' AS dataset, '{d.table}' AS table_name, count(*) AS rows_loaded, "
+    f"{' + '.join(f'count(*) FILTER (WHERE {w})' for w in SPOILT_CELLS.get(key, ('FALSE',)))} AS rejected_cells, "
+    f"count(*) FILTER (WHERE {SPOILT_LINES.get(key, 'FALSE')}) AS malformed_rows, "
+    f"'loaded' AS status FROM {TABLE_SOURCES[d.table]}"
     for key, d in DATASETS.items()
 )
 
+# The planted defects of the star, counted over the natural tables.
+DEFECTS = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{kind}' AS constraint_kind, '{column}' AS column_name, count(*) AS violations "
+    f"FROM {source} WHERE {where} HAVING count(*) > 0"
+    for table, kind, column, source, where in (
+        ("dim_customers", "length<=10", "customer_state", "dim_customers", "customer_id % 7 = 0"),
+        ("dim_sellers", "length<=100", "seller_city",
+         "(SELECT * FROM dim_sellers UNION ALL SELECT * FROM dim_sellers WHERE seller_id % 4 = 1)", "seller_id % 3 = 0"),
+        ("dim_sellers", "unique", "seller_id", "dim_sellers", "seller_id % 4 = 1"),
+        ("dim_sellers", "unique", "seller_key", "dim_sellers", "seller_id % 4 = 1"),
+        ("fact_orders", "not_null", "order_status", "fact_orders", "order_id % 5 = 0"),
+        ("fact_orders", "not_null", "purchase_date_key", "fact_orders", "order_id % 17 = 0"),
+        ("fact_orders", "references dim_customers", "customer_key", "fact_orders", "order_id % 13 = 0"),
+        ("fact_order_items", "references dim_products", "product_key", "fact_order_items", "order_id % 11 = 0"),
+        ("fact_payments", "length<=50", "payment_type", "order_payments", "order_id % 3 = 0"),
+        ("fact_reviews", "not_null", "review_score", "order_reviews", "review_score = 1"),
+    )
+)
+
 TOKENS = ("NA", " NA ", "nan", " None ", "null", "N/A", "", "  ")
 
 
@@ -540,6 +570,7 @@ def queries() -> dict[str, str]:
                    count(*) FILTER (k % 11 = 0) AS malformed_rows, count(*) FILTER (fresh) AS rows_added
             FROM d GROUP BY batch""",
         "constraints": sql(_constraint_rows()),
+        "constraint_defects": sql(DEFECTS),
         "fk_orphans": sql(_orphans()),
         "load_accounting": sql(_accounting()),
         "kpi_overview": kpi_overview(),

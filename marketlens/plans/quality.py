@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from marketlens.operators.audits import duplicate_keys, missing_values, value_rules
+from marketlens.operators.audits import audit_counts, broken_rules_of, duplicates_of, missing_of, quality_gate
 from marketlens.session import materialize
 from marketlens.sources.reports import write_report
 
@@ -35,11 +35,12 @@ class QualityReport:
         write_report(self.duplicates, folder, "duplicate_rows_report", ["table_name"])
         write_report(self.rules, folder, "value_constraints_report", ["table_name", "rule_name"])
 
+    @property
+    def gate(self) -> DataFrame:
+        return quality_gate(self.missing, self.duplicates)
+
 
 def quality_report(tables: Mapping[str, DataFrame], schema: str = "staging") -> QualityReport:
-    """Each audit runs once; its few result rows are stored, so filtering them is free."""
-    return QualityReport(
-        materialize(missing_values(tables, schema), "missing-values"),
-        materialize(duplicate_keys(tables, schema), "duplicate-keys"),
-        materialize(value_rules(tables), "value-rules"),
-    )
+    """Each table is read once for all three audits; its one row of counts is stored, so all else is free."""
+    counts = materialize(audit_counts(tables), "audit-counts")
+    return QualityReport(missing_of(counts, schema), duplicates_of(counts, schema), broken_rules_of(counts))

@@ -168,6 +168,26 @@ def q_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraint_report(star(spark, sf_dir))
 
 
+def q_constraint_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The constraints that the stored star breaks once cells, keys and rows of it are spoilt by rules on its ids."""
+    tables = dict(star(spark, sf_dir))
+
+    def spoil(table: str, column: str, value: str, where: str) -> None:
+        tables[table] = tables[table].withColumn(column, F.expr(f"CASE WHEN {where} THEN {value} ELSE `{column}` END"))
+
+    spoil("dim_customers", "customer_state", "repeat('X', 11)", "customer_id % 7 = 0")
+    spoil("dim_sellers", "seller_city", "repeat('ä', 101)", "seller_id % 3 = 0")
+    spoil("dim_products", "product_category_name", "repeat('x', 100)", "product_id % 2 = 0")  # as long as allowed
+    spoil("fact_orders", "order_status", "NULL", "order_id % 5 = 0")
+    spoil("fact_orders", "customer_key", "customer_key + 1000000000", "order_id % 13 = 0")
+    spoil("fact_orders", "purchase_date_key", "NULL", "order_id % 17 = 0")  # missing, and so no orphan
+    spoil("fact_order_items", "product_key", "-product_key", "order_id % 11 = 0")
+    spoil("fact_payments", "payment_type", "repeat('p', 51)", "order_id % 3 = 0")
+    spoil("fact_reviews", "review_score", "NULL", "review_score = 1")
+    tables["dim_sellers"] = tables["dim_sellers"].unionByName(tables["dim_sellers"].filter("seller_id % 4 = 1"))
+    return constraint_report(tables).filter("violations > 0")
+
+
 def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw order lines whose order, part or supplier does not exist, and orders without a customer."""
     items, orders = testtables.order_items(spark, sf_dir), testtables.orders(spark, sf_dir)
@@ -352,8 +372,7 @@ def q_dataset_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = staging(spark, sf_dir)
-    return audits.quality_gate(audits.missing_values(tables), audits.duplicate_keys(tables))
+    return quality_report(staging(spark, sf_dir)).gate
 
 
 def q_quality_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,19 +434,43 @@ def q_safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _export_csv(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> str:
+#: Cells that are exported unreadable: dataset, column, rows.
+_BAD_CELLS = {
+    "orders": (("order_purchase_timestamp", "order_id % 7 = 0"), ("order_estimated_delivery_date", "order_id % 5 = 0")),
+    "order_items": (("price", "order_id % 6 = 0"), ("order_item_id", "order_id % 10 = 0")),
+    "payments": (("payment_value", "order_id % 9 = 0"),),
+    "products": (("product_weight_g", "product_id % 4 = 0"),),
+    "geolocation": (("geolocation_lat", "geolocation_lng = 3"),),
+}
+#: Rows whose line gets one cell too many.
+_LONG_LINES = {"orders": "order_id % 11 = 0", "customers": "customer_id % 8 = 0", "payments": "order_id % 4 = 1",
+               "sellers": "seller_id % 3 = 0"}
+
+
+def _export_csv(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], planted: bool = False) -> str:
+    """The tables as CSV, ``planted`` with unreadable cells and lines that are one cell too long."""
     folder = scratch_path(spark, "raw")
     for key in keys:
-        dataset = DATASETS[key]
-        table = testtables.STAGING_BUILDERS[dataset.table](spark, sf_dir)
-        table.write.option("header", True).option("escape", '"').csv(f"{folder}/{key}")
+        table = testtables.STAGING_BUILDERS[DATASETS[key].table](spark, sf_dir)
+        for column, where in _BAD_CELLS.get(key, ()) if planted else ():
+            shown = F.col(column).cast("string")
+            spoilt = F.concat(F.lit("about "), F.coalesce(shown, F.lit("none")))
+            table = table.withColumn(column, F.when(F.expr(where), spoilt).otherwise(shown))
+        writer = table.write.option("header", True).option("escape", '"')
+        if planted and key in _LONG_LINES:
+            # Whole lines as the one cell of a file with another separator, so that the added cell is not quoted.
+            cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in table.columns]
+            extra = F.when(F.expr(_LONG_LINES[key]), F.lit(",more")).otherwise(F.lit(""))
+            lines = table.select(F.concat(F.concat_ws(",", *cells), extra).alias(",".join(table.columns)))
+            writer = lines.write.option("header", True).option("sep", "\u0001").option("quote", "")
+        writer.csv(f"{folder}/{key}")
     return folder
 
 
 def q_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raw files read, cleaned, typed and stored; one result row per dataset."""
+    """All raw files, with unreadable cells and overlong lines among them, read, cleaned, typed and stored."""
     keys = tuple(DATASETS)
-    raw = _export_csv(spark, sf_dir, keys)
+    raw = _export_csv(spark, sf_dir, keys, planted=True)
     result = ingest(spark, raw, scratch_path(spark, "staging"), files={k: k for k in keys})
     return result.select("dataset", "table_name", "rows_loaded", "rejected_cells", "malformed_rows", "status")
 
@@ -611,6 +654,7 @@ QUERIES: dict[str, Query] = {
     "surrogate_keys": q_surrogate_keys,
     "published_tables": q_published_tables,
     "constraints": q_constraints,
+    "constraint_defects": q_constraint_defects,
     "fk_orphans": q_fk_orphans,
     "load_accounting": q_load_accounting,
     "kpi_overview": _over_star(kpis.kpi_overview),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pandas as pd
@@ -171,6 +172,37 @@ def test_profile_counts_cells_and_repeated_rows(spark):
     assert (row.row_count, row.column_count, row.missing_values, row.duplicate_rows) == (4, 2, 4, 1)
 
 
+def test_profile_tells_long_and_nested_cells_apart(spark):
+    long = "x" * 5_000
+    rows = [(long + "a", [1.0], "k"), (long + "b", [1.0], "k"), (long + "a", [1.0], "k"), (long + "a", None, "k"), (None, [1.0], "k"),
+            ("", [], "k"), (None, [], "k"), (hashlib.sha256((long + "a").encode()).hexdigest(), [1.0], "k")]
+    frame = spark.createDataFrame(rows, "text string, `v e` array<double>, k string")
+    row = audits.dataset_profile({"t": frame}).first()
+    assert (row.row_count, row.column_count, row.missing_values, row.duplicate_rows) == (8, 3, 3, 1)
+
+
+def test_all_audits_from_one_scan_of_each_table(spark, shop):
+    counts = audits.audit_counts(shop)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == len(shop)
+    assert {r.table_name for r in counts.collect()} == set(shop)
+    assert sorted(audits.missing_of(counts).collect()) == sorted(audits.missing_values(shop).collect())
+    assert sorted(audits.duplicates_of(counts).collect()) == sorted(audits.duplicate_keys(shop).collect())
+    assert sorted(audits.broken_rules_of(counts).collect()) == sorted(audits.value_rules(shop).collect())
+
+
+def test_a_single_audit_counts_only_what_it_needs(shop):
+    assert "distinct" not in audits.missing_values(shop)._jdf.queryExecution().optimizedPlan().toString()
+    keys = audits.duplicate_keys({"customers": shop["customers"]})._jdf.queryExecution().optimizedPlan().toString()
+    assert "customer_city" not in keys.split("Aggregate")[1].split("\n")[0]
+
+
+def test_copies_of_each_key_are_counted(spark):
+    frame = spark.createDataFrame([("a", 2), ("a", 1), ("b", None), (None, 5), ("a", 1)], "k string, v int")
+    assert sorted(map(tuple, first_per_key(frame, "k", copies="n").collect())) == [("a", 1, 3), ("b", None, 1)]
+    assert sorted(map(tuple, first_per_key(frame.select("k"), "k", copies="n").collect())) == [("a", 3), ("b", 1)]
+
+
 def test_orphans_count_rows_not_keys(spark):
     child = spark.createDataFrame([(1,), (9,), (9,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (1,)], "p int")
