@@ -158,25 +158,39 @@ def _narrow(field: T.StructField) -> Column:
     return cell
 
 
+def _profile(fields: Sequence[T.StructField]) -> list[Column]:
+    present = " + ".join(f"count(`{f.name}`)" for f in fields)
+    return [
+        F.expr("count(1) AS row_count"),
+        F.expr(f"count(1) * {len(fields)} - ({present}) AS missing_values"),
+        surplus_rows([_narrow(f) for f in fields]).alias("duplicate_rows"),
+    ]
+
+
+_PROFILE = ("dataset", "row_count", "column_count", "missing_values", "duplicate_rows")
+
+
 def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns, NULL cells and repeated whole rows of every dataset.
 
     Rows are told apart by their short cells and digests of the others, so whole texts,
     pages and vectors are not shuffled.  Nested values are compared as JSON.
     """
+    return _stack([
+        df.agg(*_profile(df.schema.fields)).select(
+            F.lit(name).alias("dataset"), "row_count", F.lit(len(df.columns)).alias("column_count"),
+            "missing_values", "duplicate_rows")
+        for name, df in sorted(datasets.items())
+    ])
 
-    def one(name: str, df: DataFrame) -> DataFrame:
-        present = " + ".join(f"count(`{c}`)" for c in df.columns)
-        width = len(df.columns)
-        return df.agg(
-            F.expr("count(1) AS row_count"),
-            F.expr(f"count(1) * {width} - ({present}) AS missing_values"),
-            surplus_rows([_narrow(f) for f in df.schema.fields]).alias("duplicate_rows"),
-        ).selectExpr(
-            f"'{name}' AS dataset", "row_count", f"{width} AS column_count", "missing_values", "duplicate_rows"
-        )
-
-    return _stack([one(name, df) for name, df in sorted(datasets.items())])
+
+def profile_groups(df: DataFrame, by: str, names: Sequence[str]) -> DataFrame:
+    """The same of the datasets that one table holds, told apart by the column ``by``; those without rows included."""
+    fields = [f for f in df.schema.fields if f.name != by]
+    found = df.groupBy(F.col(by).alias("dataset")).agg(*_profile(fields))
+    listed = df.sparkSession.createDataFrame([(name, len(fields)) for name in names], "dataset string, column_count int")
+    counted = ("row_count", "missing_values", "duplicate_rows")
+    return listed.join(found, "dataset", "left").na.fill(0, list(counted)).select(*_PROFILE)
 
 
 def quality_gate(missing: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -7,12 +7,90 @@ in integer cents and ratios are rounded in integer arithmetic.
 
 from __future__ import annotations
 
-from marketlens.functions.text import READER_NA_TOKENS
-from marketlens.operators.audits import MAX_DUPLICATE_PERCENT, MAX_MISSING_PERCENT, MIN_ROWS, VALUE_RULES
-from marketlens.plans.segments import OTHER_SEGMENT, SEGMENTS
-from marketlens.schemas import BUSINESS_KEYS, DATASETS, STAGING_SCHEMAS, SURROGATE_KEYS, WAREHOUSE_RULES
 from marketlens.sources.testtables import CALENDAR, PAYMENT_TYPES, TRANSLATION
 
+# Fixed values, stated here once more on purpose: a rule that is wrong in the library must not be wrong in its SQL too.
+
+# Raw dataset, staging table, its key, its columns.
+DATASETS = (
+    ("customers", "customers", "customer_id",
+     "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"),
+    ("orders", "orders", "order_id",
+     "order_id customer_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date "
+     "order_delivered_customer_date order_estimated_delivery_date"),
+    ("order_items", "order_items", "order_id, order_item_id",
+     "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"),
+    ("payments", "order_payments", "order_id, payment_sequential",
+     "order_id payment_sequential payment_type payment_installments payment_value"),
+    ("reviews", "order_reviews", "review_id",
+     "review_id order_id review_score review_comment_title review_comment_message review_creation_date review_answer_timestamp"),
+    ("products", "products", "product_id",
+     "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty product_weight_g "
+     "product_length_cm product_height_cm product_width_cm"),
+    ("sellers", "sellers", "seller_id", "seller_id seller_zip_code_prefix seller_city seller_state"),
+    ("geolocation", "geolocation", "geolocation_zip_code_prefix, geolocation_lat, geolocation_lng",
+     "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city geolocation_state"),
+    ("category_translation", "category_translation", "product_category_name",
+     "product_category_name product_category_name_english"),
+)
+
+# Rule, table, column, what breaks it.
+VALUE_RULES = (
+    ("Review score between 1 and 5", "order_reviews", "review_score", "review_score < 1 OR review_score > 5"),
+    ("Non-negative item price", "order_items", "price", "price < 0"),
+    ("Non-negative freight value", "order_items", "freight_value", "freight_value < 0"),
+    ("Non-negative payment value", "order_payments", "payment_value", "payment_value < 0"),
+    ("Non-negative payment installments", "order_payments", "payment_installments", "payment_installments < 0"),
+    ("Approval timestamp >= purchase timestamp", "orders", "order_approved_at",
+     "order_approved_at < order_purchase_timestamp"),
+    ("Delivery timestamp >= purchase timestamp", "orders", "order_delivered_customer_date",
+     "order_delivered_customer_date < order_purchase_timestamp"),
+)
+
+# The quality gate: at most so many percent missing and repeated, at least so many rows.
+GATE_MISSING, GATE_REPEATED, GATE_ROWS = 10, 5, 100
+
+# Segment, recency scores from and to, frequency scores from and to.
+SEGMENTS = (
+    ("Champions", 4, 5, 4, 5), ("Loyal Customers", 3, 5, 3, 5), ("Potential Loyalists", 4, 5, 2, 5), ("New Customers", 5, 5, 1, 1),
+    ("Promising", 4, 4, 1, 1), ("Needs Attention", 3, 3, 2, 2), ("About to Sleep", 3, 3, 1, 1), ("Can't Lose Them", 1, 2, 4, 5),
+    ("At Risk", 1, 2, 3, 3), ("Hibernating", 2, 2, 1, 2),
+)
+OTHER_SEGMENT = "Lost"
+
+# Raw cells that count as missing.
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+# Warehouse table, its generated key, other columns that may not be NULL, unique natural keys.
+WAREHOUSE = (
+    ("dim_date", "", "date_key date year quarter month month_name day day_of_week day_name is_weekend", "date_key date"),
+    ("dim_customers", "customer_key", "customer_id customer_unique_id", "customer_id"),
+    ("dim_sellers", "seller_key", "seller_id", "seller_id"),
+    ("dim_products", "product_key", "product_id", "product_id"),
+    ("fact_orders", "order_key", "order_id customer_key order_status purchase_date_key purchase_timestamp", "order_id"),
+    ("fact_order_items", "order_item_key",
+     "order_id order_item_id product_key seller_key shipping_limit_date price freight_value", ""),
+    ("fact_payments", "payment_key", "order_id payment_sequential payment_type payment_installments payment_value", ""),
+    ("fact_reviews", "review_key",
+     "review_id order_id review_score review_creation_timestamp review_answer_timestamp", ""),
+)
+# The longest text of a column; ids are numbers in the given tables and have no length.
+LENGTHS = (
+    ("dim_date", "month_name", 20), ("dim_date", "day_name", 20),
+    ("dim_customers", "customer_unique_id", 50), ("dim_customers", "customer_zip_code_prefix", 20),
+    ("dim_customers", "customer_city", 100), ("dim_customers", "customer_state", 10),
+    ("dim_sellers", "seller_zip_code_prefix", 20), ("dim_sellers", "seller_city", 100), ("dim_sellers", "seller_state", 10),
+    ("dim_products", "product_category_name", 100), ("dim_products", "product_category_name_english", 100),
+    ("fact_orders", "order_status", 50), ("fact_payments", "payment_type", 50),
+)
+REFERENCES = (
+    ("fact_orders", "customer_key", "dim_customers"), ("fact_orders", "purchase_date_key", "dim_date"),
+    ("fact_order_items", "product_key", "dim_products"), ("fact_order_items", "seller_key", "dim_sellers"),
+)
+
 FIRST_DAY, LAST_DAY = CALENDAR
 
 
@@ -346,24 +424,24 @@ def share(part: str, whole: str) -> str:
 
 
 MISSING = " UNION ALL ".join(
-    f"SELECT 'staging' AS schema_name, '{d.table}' AS table_name, '{c}' AS column_name, "
+    f"SELECT 'staging' AS schema_name, '{t}' AS table_name, '{c}' AS column_name, "
     f"count(*) - count({c}) AS missing_count, count(*) AS total_count, "
-    f"{share(f'count(*) - count({c})', 'count(*)')} AS missing_pct FROM {TABLE_SOURCES[d.table]}"
-    for d in DATASETS.values()
-    for c in d.schema.names
+    f"{share(f'count(*) - count({c})', 'count(*)')} AS missing_pct FROM {TABLE_SOURCES[t]}"
+    for _, t, _, columns in DATASETS
+    for c in columns.split()
 )
 DUPLICATES = " UNION ALL ".join(
-    f"SELECT 'staging' AS schema_name, '{t}' AS table_name, '{', '.join(k)}' AS unique_keys, n AS total_rows, "
+    f"SELECT 'staging' AS schema_name, '{t}' AS table_name, '{k}' AS unique_keys, n AS total_rows, "
     f"n - d AS duplicate_rows, {share('n - d', 'n')} AS duplicate_pct "
-    f"FROM (SELECT count(*) AS n, count(DISTINCT row({', '.join(k)})) AS d FROM {TABLE_SOURCES[t]})"
-    for t, k in BUSINESS_KEYS.items()
+    f"FROM (SELECT count(*) AS n, count(DISTINCT row({k})) AS d FROM {TABLE_SOURCES[t]})"
+    for _, t, k, _ in DATASETS
 )
 RULES = " UNION ALL ".join(
-    f"SELECT '{r.name}' AS rule_name, '{r.table}' AS table_name, '{r.column}' AS column_name, count(*) AS total_rows, "
-    f"count(*) FILTER (WHERE {r.violation}) AS violations_count, "
-    f"{share(f'count(*) FILTER (WHERE {r.violation})', 'count(*)')} AS violation_pct, "
-    f"'{r.violation}' AS sql_constraint FROM {TABLE_SOURCES[r.table]}"
-    for r in VALUE_RULES
+    f"SELECT '{name}' AS rule_name, '{table}' AS table_name, '{column}' AS column_name, count(*) AS total_rows, "
+    f"count(*) FILTER (WHERE {broken}) AS violations_count, "
+    f"{share(f'count(*) FILTER (WHERE {broken})', 'count(*)')} AS violation_pct, "
+    f"'{broken}' AS sql_constraint FROM {TABLE_SOURCES[table]}"
+    for name, table, column, broken in VALUE_RULES
 )
 
 GIVEN_COLUMNS = {
@@ -404,32 +482,23 @@ STAR_WIDTHS = {"dim_date": 10, "dim_customers": 6, "dim_sellers": 5, "dim_produc
 
 def _constraint_rows() -> str:
     """Every constraint is expected to hold; the natural columns are counted, generated keys are taken as sound."""
-    generated = set(SURROGATE_KEYS.values())
     renamed = {"review_creation_timestamp": "review_creation_date"}
-    rows = []
-    for table, rule in WAREHOUSE_RULES.items():
+    generated = {key for _, key, _, _ in WAREHOUSE}
+    rows: list[tuple[str, str, str, str]] = []
+    for table, key, filled, unique in WAREHOUSE:
         source = STAR_SOURCES[table]
-
-        def row(kind: str, column: str, count: str) -> None:
-            rows.append(
-                f"SELECT '{table}' AS table_name, '{kind}' AS constraint_kind, '{column}' AS column_name, "
-                f"CAST(({count}) AS BIGINT) AS violations"
-            )
-
-        for c in rule.not_null:
-            natural = renamed.get(c, c)
-            row("not_null", c, "0" if c in generated else f"SELECT count(*) FROM {source} WHERE {natural} IS NULL")
-        long_ids = {"customer_id", "seller_id", "product_id", "order_id", "review_id"}
-        for c, limit in rule.max_length.items():
-            if c not in long_ids:
-                row(f"length<={limit}", c, f"SELECT count(*) FROM {source} WHERE length({c}) > {limit}")
-        for key in rule.unique:
-            natural = [c for c in key if c not in generated]
-            row("unique", ", ".join(key),
-                f"SELECT count(*) - count(DISTINCT row({', '.join(natural)})) FROM {source}" if natural else "0")
-        for c, (parent, _) in rule.foreign_keys.items():
-            row(f"references {parent}", c, "0")
-    return " UNION ALL ".join(rows)
+        if key:
+            rows += [(table, "not_null", key, "0"), (table, "unique", key, "0")]
+        for c in filled.split():
+            rows.append((table, "not_null", c,
+                         "0" if c in generated else f"SELECT count(*) FROM {source} WHERE {renamed.get(c, c)} IS NULL"))
+        rows += [(table, "unique", c, f"SELECT count(*) - count(DISTINCT row({c})) FROM {source}") for c in unique.split()]
+    rows += [(t, f"length<={n}", c, f"SELECT count(*) FROM {STAR_SOURCES[t]} WHERE length({c}) > {n}") for t, c, n in LENGTHS]
+    rows += [(t, f"references {parent}", c, "0") for t, c, parent in REFERENCES]
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{kind}' AS constraint_kind, '{c}' AS column_name, CAST(({count}) AS BIGINT) AS violations"
+        for t, kind, c, count in rows
+    )
 
 
 def _table_counts() -> str:
@@ -504,11 +573,11 @@ SPOILT_CELLS = {
 }
 SPOILT_LINES = {"orders": "order_id % 11 = 0", "customers": "customer_id % 8 = 0", "payments": "order_id % 4 = 1", "sellers": "seller_id % 3 = 0"}
 CSV_COUNTS = " UNION ALL ".join(
-    f"SELECT '{key}' AS dataset, '{d.table}' AS table_name, count(*) AS rows_loaded, "
+    f"SELECT '{key}' AS dataset, '{table}' AS table_name, count(*) AS rows_loaded, "
     f"{' + '.join(f'count(*) FILTER (WHERE {w})' for w in SPOILT_CELLS.get(key, ('FALSE',)))} AS rejected_cells, "
     f"count(*) FILTER (WHERE {SPOILT_LINES.get(key, 'FALSE')}) AS malformed_rows, "
-    f"'loaded' AS status FROM {TABLE_SOURCES[d.table]}"
-    for key, d in DATASETS.items()
+    f"'loaded' AS status FROM {TABLE_SOURCES[table]}"
+    for key, table, _, _ in DATASETS
 )
 
 # The planted defects of the star, counted over the natural tables.
@@ -640,10 +709,10 @@ def queries() -> dict[str, str]:
         "rule_audit": sql(RULES),
         "dataset_profile": PROFILE,
         "quality_gate": sql(f"""SELECT table_name, total_rows, worst AS worst_missing_pct, duplicate_pct,
-            total_rows >= {MIN_ROWS} AS rows_ok, worst <= {MAX_MISSING_PERCENT} AS missing_ok,
-            duplicate_pct <= {MAX_DUPLICATE_PERCENT} AS duplicates_ok,
-            total_rows >= {MIN_ROWS} AND worst <= {MAX_MISSING_PERCENT}
-              AND duplicate_pct <= {MAX_DUPLICATE_PERCENT} AS passed
+            total_rows >= {GATE_ROWS} AS rows_ok, worst <= {GATE_MISSING} AS missing_ok,
+            duplicate_pct <= {GATE_REPEATED} AS duplicates_ok,
+            total_rows >= {GATE_ROWS} AND worst <= {GATE_MISSING}
+              AND duplicate_pct <= {GATE_REPEATED} AS passed
             FROM duplicates JOIN (SELECT table_name, max(missing_pct) AS worst FROM missing GROUP BY 1) USING (table_name)""",
             f"missing AS ({MISSING})", f"duplicates AS ({DUPLICATES})"),
         "quality_issues": sql(f"""SELECT 'missing' AS audit, table_name, column_name AS subject,
@@ -655,7 +724,7 @@ def queries() -> dict[str, str]:
         "clean_text": f"""SELECT doc_id, CASE WHEN t NOT IN ('', 'nan', 'NaN', 'None') THEN t END AS clean_text
             FROM (SELECT doc_id, trim(text, {_strip_list()}) AS t FROM documents)""",
         "null_tokens": f"""SELECT event_id, CASE WHEN trim(t, ' ') NOT IN ('', 'nan', 'NaN', 'None') THEN trim(t, ' ') END
-            AS event_type FROM (SELECT event_id, CASE WHEN raw NOT IN ({", ".join(f"'{t}'" for t in READER_NA_TOKENS)})
+            AS event_type FROM (SELECT event_id, CASE WHEN raw NOT IN ({", ".join(f"'{t}'" for t in NA_TOKENS)})
             THEN raw END AS t FROM (SELECT event_id, CASE WHEN value < 8
             THEN [{", ".join(f"'{t}'" for t in TOKENS)}][event_id % 8 + 1] ELSE event_type END AS raw FROM events))""",
         "safe_timestamp": """SELECT event_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN date_trunc('day', ts)
@@ -672,10 +741,10 @@ def queries() -> dict[str, str]:
             printf('%.2f', rolling_avg_3m_revenue) AS rolling
             FROM ({growth("monthly", "year, month, month_name, total_orders", "")})""", MONTHLY),
         "profile_files": sql(" UNION ALL ".join(
-            f"SELECT '{t}.csv' AS dataset, count(*) AS row_count, {len(c)} AS column_count, "
-            f"{' + '.join(f'(count(*) - count({x}))' for x in c)} AS missing_values, "
-            f"count(*) - count(DISTINCT row({', '.join(c)})) AS duplicate_rows FROM {'stg_orders' if t == 'orders' else t}"
-            for t, c in ((t, STAGING_SCHEMAS[t].names) for t in STAGING_SCHEMAS))),
+            f"SELECT '{t}.csv' AS dataset, count(*) AS row_count, {len(c.split())} AS column_count, "
+            f"{' + '.join(f'(count(*) - count({x}))' for x in c.split())} AS missing_values, "
+            f"count(*) - count(DISTINCT row({', '.join(c.split())})) AS duplicate_rows FROM {'stg_orders' if t == 'orders' else t}"
+            for _, t, _, c in DATASETS)),
         "sql_over_views": sql(f"""SELECT year, month,
             {percent("cents", "(SELECT sum(payment_cents) FROM order_payments)")} AS share_pct FROM monthly""", MONTHLY),
         "incremental_ingest": sql("""SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_unique_id,

@@ -450,7 +450,8 @@ _LONG_LINES = {"orders": "order_id % 11 = 0", "customers": "customer_id % 8 = 0"
 def _export_csv(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], planted: bool = False) -> str:
     """The tables as CSV, ``planted`` with unreadable cells and lines that are one cell too long."""
     folder = scratch_path(spark, "raw")
-    for key in keys:
+
+    def export(key: str) -> None:
         table = testtables.STAGING_BUILDERS[DATASETS[key].table](spark, sf_dir)
         for column, where in _BAD_CELLS.get(key, ()) if planted else ():
             shown = F.col(column).cast("string")
@@ -464,6 +465,9 @@ def _export_csv(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], planted
             lines = table.select(F.concat(F.concat_ws(",", *cells), extra).alias(",".join(table.columns)))
             writer = lines.write.option("header", True).option("sep", "\u0001").option("quote", "")
         writer.csv(f"{folder}/{key}")
+
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(export, keys))
     return folder
 
 
@@ -497,9 +501,13 @@ def q_report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_profile_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every CSV file of a folder profiled: one for each of the nine datasets."""
     folder = scratch_path(spark, "raw")
-    for table in testtables.STAGING_BUILDERS:
+
+    def export(table: str) -> None:
         rows = testtables.STAGING_BUILDERS[table](spark, sf_dir)
         rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{table}.csv")
+
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(export, testtables.STAGING_BUILDERS))
     return profile_files(spark, folder)
 
 

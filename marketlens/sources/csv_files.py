@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from marketlens.functions.text import clean_text, coerce, reader_na_to_null, strip_leading_zeros
-from marketlens.operators.audits import dataset_profile
+from marketlens.operators.audits import dataset_profile, profile_groups
 from marketlens.schemas import DATASETS, Dataset
 from marketlens.session import list_path
 from marketlens.sources.quoted_csv import longest_file, read_quoted
 from marketlens.sources.versioned import commit_version, new_version_path, open_current
 
 CORRUPT = "_corrupt_record"
+_ENTRY = "_entry"
+_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/+"
 
 
 def csv_options(multiline: bool) -> dict[str, str]:
@@ -146,17 +150,59 @@ def open_staging(spark: SparkSession, root: str, datasets: Mapping[str, Dataset]
     return tables
 
 
+def _entry_of(path: Column, raw_dir: str) -> Column:
+    """The entry of ``raw_dir`` that a file belongs to, from the file's path."""
+    depth = len(_parts(raw_dir))
+    return F.split(F.regexp_replace(path, _SCHEME, ""), "/+")[depth]
+
+
+def _parts(path: str) -> list[str]:
+    return [part for part in re.sub(_SCHEME, "", path).split("/") if part]
+
+
+def _long_entries(spark: SparkSession, raw_dir: str, paths: list[str]) -> set[str]:
+    """Entries with a file that is longer than a split; only the listing is read."""
+    files = spark.read.format("binaryFile").load(paths).filter(F.col("length") > _split_bytes(spark))
+    return {r.entry for r in files.select(_entry_of(F.col("path"), raw_dir).alias("entry")).distinct().collect()}
+
+
 def profile_files(spark: SparkSession, raw_dir: str, multiline: bool = True) -> DataFrame:
     """Profile every ``*.csv`` entry of a folder, in name order.
 
     An entry is a file, or a folder of files that belong together.  Cells that a
-    reader takes as missing count as missing; text is not stripped.
+    reader takes as missing count as missing; text is not stripped.  Entries of one
+    header are read in one scan and told apart by the path of their files; those with
+    files longer than a split, where cells may hold line breaks, are read by themselves.
     """
-    paths = [path for path, _, _ in list_path(spark, raw_dir) if path.endswith(".csv")]
+    found = list_path(spark, raw_dir)
+    paths = {path.rsplit("/", 1)[-1]: path for path, _, _ in found if path.endswith(".csv")}
     if not paths:
         raise FileNotFoundError(f"no CSV file in {raw_dir}")
-    frames = {}
-    for path in paths:
-        raw = read_raw(spark, path, multiline).drop(CORRUPT)
-        frames[path.rsplit("/", 1)[-1]] = raw.select(*[reader_na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
-    return dataset_profile(frames)
+    root = next(iter(paths.values())).rsplit("/", 1)[0]
+    options = csv_options(multiline)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = dict(zip(paths, pool.map(lambda path: tuple(spark.read.options(**options).csv(path).columns), paths.values())))
+    long = _long_entries(spark, root, list(paths.values())) if multiline else set()
+
+    def cells(raw: DataFrame, header: tuple[str, ...], *more: Column) -> DataFrame:
+        return raw.select(*[reader_na_to_null(F.col(f"`{c}`")).alias(c) for c in header], *more)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, header in headers.items():
+        if name not in long:
+            groups.setdefault(header, []).append(name)
+    parts = []
+    for header, names in groups.items():
+        if not header:  # files without a byte
+            empty = [(name, 0, 0, 0, 0) for name in names]
+            parts.append(spark.createDataFrame(
+                empty, "dataset string, row_count bigint, column_count int, missing_values bigint, duplicate_rows bigint"))
+            continue
+        raw = spark.read.options(**options).schema(text_schema(list(header))).csv([paths[name] for name in names])
+        # The path is an escaped URI; a plus sign in it stands for itself.
+        entry = F.url_decode(F.replace(_entry_of(F.col("_metadata.file_path"), root), F.lit("+"), F.lit("%2B")))
+        parts.append(profile_groups(cells(raw, header, entry.alias(_ENTRY)), _ENTRY, names))
+    if long:
+        parts.append(dataset_profile({
+            name: cells(read_raw(spark, paths[name], multiline), headers[name]) for name in sorted(long)}))
+    return reduce(DataFrame.unionByName, parts).orderBy("dataset")

@@ -93,6 +93,39 @@ def test_profile_of_all_files(spark, raw):
     assert rows["product_category_name_translation.csv"].row_count == 1
 
 
+def test_files_of_one_header_are_profiled_in_one_scan(spark, tmp_path):
+    (tmp_path / "a b+c.csv").write_text('k,v\n1,"x\ny"\n1,"x\ny"\n2,NA\n')
+    (tmp_path / "d%20é.csv").write_text("k,v\n1,x\n")
+    (tmp_path / "heading.csv").write_text("k,v\n")
+    (tmp_path / "nothing.csv").write_text("")
+    (tmp_path / "other.csv").write_text("v,k\n,\n")
+    (tmp_path / "notes.txt").write_text("k,v\n1,2\n")
+    parts = tmp_path / "parts.csv"
+    parts.mkdir()
+    for n in range(3):
+        (parts / f"part-{n}.csv").write_text("k,v\n7,same\n")
+    frame = profile_files(spark, str(tmp_path))
+    assert [tuple(r[c] for c in ("dataset", "row_count", "column_count", "missing_values", "duplicate_rows")) for r in frame.collect()] == [
+        ("a b+c.csv", 3, 2, 1, 1), ("d%20é.csv", 1, 2, 0, 0), ("heading.csv", 0, 2, 0, 0), ("nothing.csv", 0, 0, 0, 0),
+        ("other.csv", 1, 2, 2, 0), ("parts.csv", 3, 2, 0, 2)]
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("] csv") == 2  # one scan of each header
+
+
+def test_long_files_are_profiled_like_short_ones(spark, tmp_path):
+    rows = "".join(f'{n % 50},"line {n % 50}\nnext, ""{n % 50}"""\n' for n in range(400))
+    (tmp_path / "long.csv").write_text("k,v\n" + rows)
+    (tmp_path / "short.csv").write_text('k,v\n1,"a\nb"\n')
+    whole = profile_files(spark, str(tmp_path)).collect()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        split = profile_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(split) == sorted(whole) and (whole[0].row_count, whole[0].duplicate_rows) == (400, 350)
+
+
 def test_quality_report_files(spark, shop, tmp_path):
     report = quality_report(shop)
     assert {r.table_name for r in report.duplicate_issues.collect()} == {"customers", "orders", "order_reviews"}
