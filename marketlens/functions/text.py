@@ -43,6 +43,12 @@ def reader_na_to_null(column: Column) -> Column:
     return F.when(~column.isin(*READER_NA_TOKENS), column)
 
 
+def reader_na_sql(name: str) -> str:
+    """The same of a named column as SQL text, which builds faster for hundreds of columns."""
+    tokens = ", ".join(f"'{token}'" for token in READER_NA_TOKENS)
+    return f"CASE WHEN `{name}` NOT IN ({tokens}) THEN `{name}` END AS `{name}`"
+
+
 def clean_text(column: Column) -> Column:
     return null_tokens_to_null(strip_text(column))
 

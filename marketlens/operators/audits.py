@@ -145,16 +145,16 @@ def value_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule] = VALUE_R
     return broken_rules_of(audit_counts(ruled, rules=rules), rules)
 
 
-def _narrow(field: T.StructField) -> Column:
+def _narrow(field: T.StructField) -> str:
     """The column, or a digest where it is long, equal for equal values only.
 
     A digest has 64 characters, so no text that is kept as it is equals one.
     """
-    cell = F.col(f"`{field.name}`")
+    cell = f"`{field.name}`"
     if isinstance(field.dataType, T.StringType):
-        return F.when(F.octet_length(cell) > LONGEST_KEPT, F.sha2(cell, 256)).otherwise(cell).alias(field.name)
+        return f"CASE WHEN octet_length({cell}) > {LONGEST_KEPT} THEN sha2({cell}, 256) ELSE {cell} END"
     if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-        return F.sha2(F.to_json(cell), 256).alias(field.name)
+        return f"sha2(to_json({cell}), 256)"
     return cell
 
 
@@ -163,13 +163,10 @@ def _profile(fields: Sequence[T.StructField]) -> list[Column]:
     return [
         F.expr("count(1) AS row_count"),
         F.expr(f"count(1) * {len(fields)} - ({present}) AS missing_values"),
-        surplus_rows([_narrow(f) for f in fields]).alias("duplicate_rows"),
+        F.expr(f"count(1) - count(DISTINCT struct({', '.join(map(_narrow, fields))})) AS duplicate_rows"),
     ]
 
 
-_PROFILE = ("dataset", "row_count", "column_count", "missing_values", "duplicate_rows")
-
-
 def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, columns, NULL cells and repeated whole rows of every dataset.
 
@@ -184,13 +181,11 @@ def dataset_profile(datasets: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def profile_groups(df: DataFrame, by: str, names: Sequence[str]) -> DataFrame:
-    """The same of the datasets that one table holds, told apart by the column ``by``; those without rows included."""
+def profile_groups(df: DataFrame, by: str) -> DataFrame:
+    """The same of the datasets that one table holds, told apart by the column ``by``; one without rows has none here."""
     fields = [f for f in df.schema.fields if f.name != by]
     found = df.groupBy(F.col(by).alias("dataset")).agg(*_profile(fields))
-    listed = df.sparkSession.createDataFrame([(name, len(fields)) for name in names], "dataset string, column_count int")
-    counted = ("row_count", "missing_values", "duplicate_rows")
-    return listed.join(found, "dataset", "left").na.fill(0, list(counted)).select(*_PROFILE)
+    return found.select("dataset", "row_count", "missing_values", "duplicate_rows")
 
 
 def quality_gate(missing: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from marketlens.functions.text import clean_text, coerce, reader_na_to_null, strip_leading_zeros
-from marketlens.operators.audits import dataset_profile, profile_groups
+from marketlens.functions.text import clean_text, coerce, reader_na_sql, reader_na_to_null, strip_leading_zeros
+from marketlens.operators.audits import profile_groups
 from marketlens.schemas import DATASETS, Dataset
 from marketlens.session import list_path
 from marketlens.sources.quoted_csv import longest_file, read_quoted
@@ -18,6 +18,7 @@ from marketlens.sources.versioned import commit_version, new_version_path, open_
 
 CORRUPT = "_corrupt_record"
 _ENTRY = "_entry"
+_COUNTS = ("row_count", "missing_values", "duplicate_rows")
 _SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/+"
 
 
@@ -184,25 +185,23 @@ def profile_files(spark: SparkSession, raw_dir: str, multiline: bool = True) ->
         headers = dict(zip(paths, pool.map(lambda path: tuple(spark.read.options(**options).csv(path).columns), paths.values())))
     long = _long_entries(spark, root, list(paths.values())) if multiline else set()
 
-    def cells(raw: DataFrame, header: tuple[str, ...], *more: Column) -> DataFrame:
-        return raw.select(*[reader_na_to_null(F.col(f"`{c}`")).alias(c) for c in header], *more)
-
     groups: dict[tuple[str, ...], list[str]] = {}
     for name, header in headers.items():
-        if name not in long:
-            groups.setdefault(header, []).append(name)
+        # Files without a byte have no header; there is nothing to read in them.
+        if header:
+            groups.setdefault(header + (name,) * (name in long), []).append(name)
+    # The path is an escaped URI; a plus sign in it stands for itself.
+    path = F.url_decode(F.replace(_entry_of(F.col("_metadata.file_path"), root), F.lit("+"), F.lit("%2B")))
     parts = []
-    for header, names in groups.items():
-        if not header:  # files without a byte
-            empty = [(name, 0, 0, 0, 0) for name in names]
-            parts.append(spark.createDataFrame(
-                empty, "dataset string, row_count bigint, column_count int, missing_values bigint, duplicate_rows bigint"))
-            continue
-        raw = spark.read.options(**options).schema(text_schema(list(header))).csv([paths[name] for name in names])
-        # The path is an escaped URI; a plus sign in it stands for itself.
-        entry = F.url_decode(F.replace(_entry_of(F.col("_metadata.file_path"), root), F.lit("+"), F.lit("%2B")))
-        parts.append(profile_groups(cells(raw, header, entry.alias(_ENTRY)), _ENTRY, names))
-    if long:
-        parts.append(dataset_profile({
-            name: cells(read_raw(spark, paths[name], multiline), headers[name]) for name in sorted(long)}))
-    return reduce(DataFrame.unionByName, parts).orderBy("dataset")
+    for names in groups.values():
+        header = headers[names[0]]
+        if names[0] in long:
+            raw, entry = read_raw(spark, paths[names[0]], multiline), F.lit(names[0])
+        else:
+            raw, entry = spark.read.options(**options).schema(text_schema(list(header))).csv([paths[n] for n in names]), path
+        parts.append(profile_groups(raw.select(*[F.expr(reader_na_sql(c)) for c in header], entry.alias(_ENTRY)), _ENTRY))
+    listed = spark.createDataFrame([(name, len(header)) for name, header in headers.items()], "dataset string, column_count int")
+    if not parts:
+        parts = [listed.limit(0).selectExpr("dataset", *[f"0L AS {c}" for c in _COUNTS])]
+    found = listed.join(reduce(DataFrame.unionByName, parts), "dataset", "left").na.fill(0, list(_COUNTS))
+    return found.select("dataset", _COUNTS[0], "column_count", *_COUNTS[1:]).orderBy("dataset")
