@@ -212,6 +212,17 @@ def test_texts_of_no_learned_language_go(spark):
     assert kept.count() >= 0.97 * usual.count()
 
 
+def test_usual_costs_come_from_all_documents_held_out(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, cases.prose(rng, "en", rng.randrange(20, 60)), "en") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    bits = sorted(r.bits_per_byte for r in language_id.predict(docs.filter(language_id.held_out()), model).collect())
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 5)
+    most = language_id.TOLERANCE * bits[math.ceil(0.98 * len(bits)) - 1]
+    assert language_id.usual_costs(docs, model) == {"en": pytest.approx(most, rel=1e-9)}
+
+
 # --- near-duplicates ---------------------------------------------------------
 
 
