@@ -12,7 +12,7 @@ Two ways to get a star, with the same columns and the same KPI plans on top:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
@@ -23,7 +23,7 @@ from marketlens.operators.constraints import enforce, without_counted_columns
 from marketlens.operators.dedupe import first_per_key
 from marketlens.operators.keys import dense_keys, sparse_keys
 from marketlens.operators.write_counts import COPIES, WriteCounts
-from marketlens.plans.kpis import stored_joins
+from marketlens.plans.kpis import STORED_JOINS, stored_joins
 from marketlens.schemas import SURROGATE_KEYS
 from marketlens.session import scratch_root
 from marketlens.sources.versioned import commit_version, new_version_path, open_current
@@ -193,10 +193,11 @@ def publish(
     root: str,
     calendar: tuple[str, str] = DEFAULT_CALENDAR,
     also: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None,
+    joins: Sequence[str] = STORED_JOINS,
 ) -> dict[str, DataFrame]:
     """Full refresh of all eight tables and the joins stored with them, or of none: dimensions, facts, checks, joins, commit.
 
-    ``also`` gives further tables of the version from the stored star.  Rows, merged copies and column rules are
+    ``joins`` names the joins to store; views over another one calculate it themselves.  ``also`` gives further tables of the version from the stored star.  Rows, merged copies and column rules are
     counted by the writes themselves and stored as ``load_counts``.
     """
     counts = WriteCounts()
@@ -243,7 +244,8 @@ def publish(
     star = {name: star[name] for name in TABLES}
     enforce(star, without_counted_columns(counts.tables(), _JOINED), counts.violations())
     # The joins by order that the views share, written once per version.
-    more = {LOAD_COUNTS: counts.frame(spark), **stored_joins(star), **(also(star) if also else {})}
+    stored = {name: table for name, table in stored_joins(star).items() if name in joins}
+    more = {LOAD_COUNTS: counts.frame(spark), **stored, **(also(star) if also else {})}
     with ThreadPoolExecutor(max_workers=6) as pool:
         level = {name: pool.submit(store, name, table) for name, table in more.items()}
         star.update({name: job.result() for name, job in level.items()})

@@ -20,7 +20,7 @@ from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.increments import publish_batches
 from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS, SURROGATE_KEYS
-from marketlens.session import list_path, scratch_path, scratch_root
+from marketlens.session import list_path, materialize, scratch_path, scratch_root
 from marketlens.sources import testtables
 from marketlens.sources.catalog import create_namespaces, register_version, register_views, schema_tables
 from marketlens.sources.csv_files import ingest, open_staging, profile_files
@@ -41,16 +41,20 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return testtables.staging_tables(spark, sf_dir)
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def star(spark: SparkSession, sf_dir: str, lines: str | None = None) -> dict[str, DataFrame]:
     """The published star of ``sf_dir``, loaded by the first query of a session that needs it.
 
-    A folder whose files have changed is loaded again.
+    The lines per order and seller or category are stored by the first query that asks for them (``lines``); most
+    queries need neither.  A folder whose files have changed is loaded again.
     """
     state = (spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID(), list_path(spark, sf_dir))
     if state not in _published:
         root = scratch_path(spark, "warehouse")
-        _published[state] = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR)
-    return _published[state]
+        _published[state] = warehouse.publish(spark, staging(spark, sf_dir), root, CALENDAR, joins=[kpis.ORDER_REVENUE])
+    tables = _published[state]
+    if lines in kpis.ORDER_LINES and kpis.ORDER_LINES[lines] not in tables:
+        tables[kpis.ORDER_LINES[lines]] = materialize(kpis.order_lines(tables, lines), kpis.ORDER_LINES[lines])
+    return tables
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -214,8 +218,8 @@ def q_load_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- KPI views ---------------------------------------------------------------
 
 
-def _over_star(view: Callable[..., DataFrame], **options: object) -> Query:
-    return lambda spark, sf_dir: comparable(view(star(spark, sf_dir), **options))
+def _over_star(view: Callable[..., DataFrame], lines: str | None = None, **options: object) -> Query:
+    return lambda spark, sf_dir: comparable(view(star(spark, sf_dir, lines), **options))
 
 
 def q_repeat_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,7 +266,7 @@ def q_monthly_growth_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _weekly(spark: SparkSession, sf_dir: str, by: str | None) -> DataFrame:
-    return fc.weekly_series(fc.daily_series(star(spark, sf_dir), by), CALENDAR)
+    return fc.weekly_series(fc.daily_series(star(spark, sf_dir, by), by), CALENDAR)
 
 
 def q_weekly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,7 +353,7 @@ def q_forecast_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_forecast_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fc.run_forecast(fc.daily_series(star(spark, sf_dir), "category"), CALENDAR).evaluation
+    return fc.run_forecast(fc.daily_series(star(spark, sf_dir, "category"), "category"), CALENDAR).evaluation
 
 
 # --- audits ------------------------------------------------------------------
@@ -670,10 +674,10 @@ QUERIES: dict[str, Query] = {
     "repeat_customers": q_repeat_customers,
     "order_revenue": q_order_revenue,
     "geo_performance": _over_star(kpis.geographic_performance),
-    "seller_performance": _over_star(kpis.seller_performance),
-    "seller_performance_deduped": _over_star(kpis.seller_performance, dedupe_reviews=True),
-    "category_profitability": _over_star(kpis.category_profitability),
-    "category_profitability_deduped": _over_star(kpis.category_profitability, dedupe_reviews=True),
+    "seller_performance": _over_star(kpis.seller_performance, "seller"),
+    "seller_performance_deduped": _over_star(kpis.seller_performance, "seller", dedupe_reviews=True),
+    "category_profitability": _over_star(kpis.category_profitability, "category"),
+    "category_profitability_deduped": _over_star(kpis.category_profitability, "category", dedupe_reviews=True),
     "payment_distribution": _over_star(kpis.payment_distribution),
     "monthly_trend": _over_star(kpis.monthly_sales_trend),
     "customer_rfm": _over_star(kpis.customer_rfm),

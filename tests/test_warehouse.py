@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens import registry
 from marketlens.operators.accounting import load_accounting
 from marketlens.operators.constraints import ConstraintViolation, constraint_report
 from marketlens.plans import forecast, kpis, warehouse
@@ -116,6 +117,21 @@ def test_published_star_gives_the_same_views(spark, star, published):
         assert sorted(map(str, view(stored).collect())) == sorted(map(str, view(star).collect())), name
 
 
+def test_lines_that_are_not_stored_are_calculated_by_the_views(spark, shop, star, tmp_path):
+    warehouse.publish(spark, shop, str(tmp_path), joins=[kpis.ORDER_REVENUE])
+    stored = warehouse.open_star(spark, str(tmp_path))
+    assert kpis.ORDER_REVENUE in stored and not set(kpis.ORDER_LINES.values()) & set(stored)
+    for view in (kpis.seller_performance, kpis.category_profitability):
+        assert sorted(map(str, view(stored).collect())) == sorted(map(str, view(star).collect()))
+
+
+def test_queries_store_the_lines_that_they_need(spark):
+    other, folder = spark.newSession(), "/root/testdata/sf0.001"
+    assert not set(kpis.ORDER_LINES.values()) & set(registry.star(other, folder))
+    registry.QUERIES["seller_performance"](other, folder)
+    assert set(kpis.ORDER_LINES.values()) & set(registry.star(other, folder)) == {"order_sellers"}
+
+
 def test_published_keys_and_constraints(spark, published):
     stored = warehouse.open_star(spark, published)
     for table, key in SURROGATE_KEYS.items():
