@@ -15,7 +15,7 @@ from marketlens.operators.accounting import load_accounting
 from marketlens.operators.constraints import constraint_report, foreign_key_orphans
 from marketlens.operators.dedupe import insert_or_ignore
 from marketlens.operators.keys import dense_keys, extend_dimension
-from marketlens.operators.timeseries import aligned, lag_features
+from marketlens.operators.timeseries import lag_features
 from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.increments import publish_batches
 from marketlens.plans.quality import quality_report
@@ -288,7 +288,7 @@ def q_lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weeks of all sellers up to the last week of any, cut at one date."""
-    rows = fc.model_rows(aligned(fc.with_history(_weekly(spark, sf_dir, "seller"))[0]))
+    rows = fc.model_input(fc.daily_series(star(spark, sf_dir, "seller"), "seller"), CALENDAR)[0]
     return rows.select("series", "week_end", "revenue", "is_test")
 
 

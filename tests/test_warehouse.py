@@ -132,6 +132,11 @@ def test_queries_store_the_lines_that_they_need(spark):
     assert set(kpis.ORDER_LINES.values()) & set(registry.star(other, folder)) == {"order_sellers"}
 
 
+def test_split_starts_from_weeks_that_are_stored(spark):
+    files = registry.QUERIES["train_test_split"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all("aligned-revenue" in f for f in files)
+
+
 def test_published_keys_and_constraints(spark, published):
     stored = warehouse.open_star(spark, published)
     for table, key in SURROGATE_KEYS.items():
