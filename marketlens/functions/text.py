@@ -25,6 +25,7 @@ TIMESTAMP_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)
 # The same date written with slashes, or as eight digits.
 OTHER_DATES = ((r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=[ T]|\z)", "$1-$2-$3"), (r"^(\d{4})(\d{2})(\d{2})(?=[ T]|\z)", "$1-$2-$3"))
 
+DIGITS = r"^[+-]?\d+\z"
 WHOLE_NUMBER = r"^[+-]?\d+(\.0*)?\z"
 EXPONENT_NUMBER = r"^[+-]?\d+(\.\d*)?[eE][+-]?\d+\z"
 
@@ -54,11 +55,15 @@ def clean_text(column: Column) -> Column:
 
 
 def safe_timestamp(column: Column) -> Column:
-    """Parse a zone-less timestamp, to the microsecond; a text that is none becomes NULL."""
+    """Parse a zone-less timestamp, to the microsecond; a text that is none becomes NULL.
+
+    A cell that has the shape already, as nearly all have, is cast as it stands: the rest is ten times as slow.
+    """
     text = strip_text(column)
     for shape, dashed in OTHER_DATES:
         text = F.regexp_replace(text, shape, dashed)
-    return F.when(text.rlike(TIMESTAMP_SHAPE), text.try_cast(T.TimestampNTZType()))
+    shaped = F.regexp_extract(text, TIMESTAMP_SHAPE, 0)  # empty, and so no timestamp, for any other text
+    return F.when(column.rlike(TIMESTAMP_SHAPE), column).otherwise(shaped).try_cast(T.TimestampNTZType())
 
 
 def safe_int(column: Column) -> Column:
@@ -70,7 +75,8 @@ def safe_int(column: Column) -> Column:
     digits = F.regexp_replace(text, r"\.0*\z", "").try_cast(T.IntegerType())
     number = text.try_cast(T.DecimalType(38, 18))
     scaled = F.when(number == F.floor(number), number.try_cast(T.IntegerType()))
-    return F.when(text.rlike(WHOLE_NUMBER), digits).when(text.rlike(EXPONENT_NUMBER), scaled)
+    other = F.when(text.rlike(WHOLE_NUMBER), digits).when(text.rlike(EXPONENT_NUMBER), scaled)
+    return F.when(column.rlike(DIGITS), column.try_cast(T.IntegerType())).otherwise(other)
 
 
 def strip_leading_zeros(column: Column) -> Column:

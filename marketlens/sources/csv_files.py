@@ -67,23 +67,28 @@ def to_staging(raw: DataFrame, dataset: Dataset, legacy_zip: bool = False) -> Da
     unknown = set(raw.columns) - set(dataset.schema.names) - {CORRUPT}
     if unknown:
         raise ValueError(f"{dataset.key}: columns {sorted(unknown)} are not in the declared schema")
-    columns, rejected = [], [F.lit(0)]
+    values, cells, rejected = [], [], [F.lit(0)]
     for field in dataset.schema.fields:
         if field.name not in raw.columns:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         text = reader_na_to_null(F.col(field.name))
         value = coerce(text, field.dataType)
-        if not isinstance(field.dataType, T.StringType):
-            rejected.append((clean_text(text).isNotNull() & value.isNull()).cast("int"))
         if legacy_zip and field.name == dataset.zip_column:
             value = strip_leading_zeros(value)
-        columns.append(value.alias(field.name))
+        values.append(value.alias(field.name))
+        if not isinstance(field.dataType, T.StringType):
+            cell = f"_cell_{field.name}"
+            cells.append(F.col(field.name).alias(cell))
+            # Only the cell of a value that is missing is looked at again.
+            lost = F.col(field.name).isNull() & clean_text(reader_na_to_null(F.col(cell))).isNotNull()
+            rejected.append(lost.cast("int"))
     malformed = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
-    return raw.select(
-        *columns,
+    # The values are columns of their own, so that they are not calculated a second time for the count.
+    return raw.select(*values, *cells, malformed.alias("_malformed")).select(
+        *dataset.schema.names,
         sum(rejected[1:], rejected[0]).alias("_rejected_cells"),
-        malformed.alias("_malformed"),
+        "_malformed",
     )
 
 

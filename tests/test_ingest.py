@@ -170,3 +170,19 @@ def test_new_checkpoint_and_second_stream_keep_stored_rows(spark, tmp_path):
     start_ingest(spark, str(other), DATASETS["customers"], target, str(tmp_path / "p3")).awaitTermination()
     got = sorted((r.customer_id, r.customer_city) for r in read_increments(spark, target).collect())
     assert got == [("c1", "a"), ("c2", "b"), ("c3", "c"), ("c4", "d")]
+
+
+def test_cells_are_calculated_once_and_counted_as_before(spark, tmp_path):
+    head = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+    cells = ["NA", "", " ", " NA ", "None", "7", "+7", " 7\t", "7.0", "7.5", "1e3", "2018-01-02", "20180102", "2018/1/2 3:04", "2018", "x", "9e99"]
+    (tmp_path / "i.csv").write_text(head + "".join(f"o{n},{c},p,s,{c},{c},1\n" for n, c in enumerate(cells)))
+    frame = to_staging(read_raw(spark, str(tmp_path / "i.csv")), DATASETS["order_items"])
+    day = dt.datetime(2018, 1, 2)
+    seven, date = (7, None, Decimal(7), 1), lambda moment: (None, moment, None, 2)
+    assert [(r.order_item_id, r.shipping_limit_date, r.price, r._rejected_cells) for r in sorted(frame.collect(), key=lambda r: int(r.order_id[1:]))] == [
+        (None, None, None, 0), (None, None, None, 0), (None, None, None, 0), (None, None, None, 3), (None, None, None, 0),
+        seven, seven, seven, seven, (None, None, Decimal("7.5"), 2), (1000, None, Decimal(1000), 1),
+        date(day), (20180102, day, Decimal(20180102), 0),
+        date(day.replace(hour=3, minute=4)), (2018, None, Decimal(2018), 1), (None, None, None, 3), (None, None, None, 3)]
+    plan = to_staging(read_raw(spark, str(tmp_path / "i.csv")), DATASETS["order_items"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as timestamp_ntz)") == 1 and plan.count("as decimal(10,2))") == 2
