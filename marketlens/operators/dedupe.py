@@ -37,8 +37,12 @@ def new_keys_only(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataF
     The existing keys are narrowed to the incoming ones first: a small delivery is
     broadcast by its size and the big table is then only scanned, not shuffled.
     """
+    return without_known(existing, first_per_key(incoming, *keys), *keys)
+
+
+def without_known(existing: DataFrame, fresh: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``fresh``, which holds each key once and is read twice, whose key is not there yet."""
     on = list(keys)
-    fresh = first_per_key(incoming, *keys)
     seen = existing.select(*on).join(fresh.select(*on), on, "left_semi")
     return fresh.join(seen, on, "left_anti")
 

@@ -15,23 +15,29 @@ from marketlens.session import list_path, path_exists
 
 PART, STREAM, BATCH = "_part", "_stream", "_batch"
 PARTS = 256
+#: Keys of a batch and part from which on the part gets more than one file.
+FILE_KEYS = 500_000
+_FILE = "_file"
 
 
 def part_of(keys: Sequence[str], parts: int = PARTS) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
 
-def with_parts(df: DataFrame, keys: Sequence[str], parts: int = PARTS) -> DataFrame:
-    """The distinct keys of ``df`` with their part."""
-    return df.select(*keys).distinct().withColumn(PART, part_of(keys, parts))
+def write_keys(
+    df: DataFrame, keys: Sequence[str], folder: str, stream: str, batch: int, parts: int = PARTS, rows: int = 0
+) -> None:
+    """Add the keys of a batch; a batch that is written again replaces its own keys only.
 
-
-def write_keys(df: DataFrame, keys: Sequence[str], folder: str, stream: str, batch: int, parts: int = PARTS) -> None:
-    """Add the keys of a batch; a batch that is written again replaces its own keys only."""
-    marked = with_parts(df, keys, parts).withColumns({STREAM: F.lit(stream), BATCH: F.lit(batch).cast("long")})
+    With its number of ``rows`` known, a large batch writes several files per part, so that its tasks do not grow with it.
+    """
     # The batch folder is the outer one, so a replay overwrites exactly what it wrote before.
     target = f"{folder}/{STREAM}={stream}/{BATCH}={batch}"
-    marked.drop(STREAM, BATCH).repartition(PART).write.mode("overwrite").partitionBy(PART).parquet(target)
+    files = 1 + rows // (parts * FILE_KEYS)
+    marked = df.select(*keys, part_of(keys, parts).alias(PART), F.pmod(F.hash(*keys), F.lit(files)).alias(_FILE))
+    # Equal keys share a part and a file, so they meet in the one shuffle that also deals out the parts.
+    dealt = marked.repartition(parts * files, PART, _FILE) if files > 1 else marked.repartition(PART, _FILE)
+    dealt.distinct().drop(_FILE).write.mode("overwrite").partitionBy(PART).parquet(target)
 
 
 def read_keys(spark: SparkSession, folder: str, keys: T.StructType) -> DataFrame:
@@ -45,10 +51,9 @@ def known_keys(index: DataFrame, batch: DataFrame, keys: Sequence[str], parts: i
 
     The touched parts are collected: at most ``parts`` numbers.
     """
-    wanted = with_parts(batch.dropna(subset=list(keys)), keys, parts)
-    touched = sorted(r[0] for r in wanted.select(PART).distinct().collect())
-    on = [*keys, PART]
-    return index.filter(F.col(PART).isin(touched)).select(*on).join(wanted, on, "left_semi").select(*keys)
+    wanted = batch.dropna(subset=list(keys)).select(*keys)
+    touched = sorted(r[0] for r in wanted.select(part_of(keys, parts).alias(PART)).distinct().collect())
+    return index.filter(F.col(PART).isin(touched)).select(*keys).join(wanted, list(keys), "left_semi")
 
 
 def build_index(df: DataFrame, keys: Sequence[str], folder: str, parts: int = PARTS) -> None:

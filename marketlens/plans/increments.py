@@ -26,13 +26,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.operators.constraints import enforce, without_generated_keys
-from marketlens.operators.dedupe import new_keys_only
+from marketlens.operators.dedupe import first_per_key, new_keys_only, without_known
 from marketlens.operators.key_index import BATCH, STREAM
 from marketlens.operators.keys import dense_keys, sparse_keys
 from marketlens.plans import warehouse
 from marketlens.plans.kpis import STORED_JOINS, Star, stored_joins
 from marketlens.schemas import STAGING_SCHEMAS, SURROGATE_KEYS
-from marketlens.session import list_path, path_exists, scratch_root
+from marketlens.session import list_path, materialize, path_exists, scratch_root
 from marketlens.sources.versioned import commit_version, current_parts, new_version_path, open_current
 
 LOADED = "loaded_batches"
@@ -127,7 +127,9 @@ def publish_increment(
         append(name, dense_keys(new, SURROGATE_KEYS[name], last_key(name)))
 
     def add_facts(name: str, rows: DataFrame) -> None:
-        new = new_keys_only(current[name], rows, *FACT_KEYS[name])
+        # Stored once: the rows are joined and merged for the lookup of their keys and for the append otherwise.
+        once = materialize(first_per_key(rows, *FACT_KEYS[name]), name)
+        new = without_known(current[name], once, *FACT_KEYS[name])
         append(name, sparse_keys(new, SURROGATE_KEYS[name], last_key(name)))
 
     waiting = lambda name, table: delta[table].unionByName(current[name]) if name in current else delta[table]
@@ -168,12 +170,19 @@ def _pending(orders: DataFrame, items: DataFrame, star: Star, calendar: tuple[st
 
 
 def _refreshed_joins(full: Star, fresh: Star) -> Star:
-    """Stored joins: calculated again for the orders that got new rows, copied for all others."""
+    """Stored joins: calculated again for the orders that got new rows, copied for all others.
+
+    An increment that touches half of the orders or more has all of them calculated again, which gives the same rows
+    without a lookup of the touched ones in every table.
+    """
     base = {name: df for name, df in full.items() if name not in STORED_JOINS}
-    touched = reduce(DataFrame.unionByName, [fresh[name].select("order_id") for name in FACT_KEYS]).distinct()
+    touched = materialize(reduce(DataFrame.unionByName, [fresh[name].select("order_id") for name in FACT_KEYS]).distinct(), "touched")
+    whole = stored_joins(base)
+    if 2 * touched.count() >= full["fact_orders"].count():
+        return whole
     again = stored_joins(_rows_of(base, touched))
     kept = {name: full[name].join(touched, "order_id", "left_anti") for name in STORED_JOINS if name in full}
-    return {name: kept[name].unionByName(again[name]) if name in kept else stored_joins(base)[name] for name in STORED_JOINS}
+    return {name: kept[name].unionByName(again[name]) if name in kept else whole[name] for name in STORED_JOINS}
 
 
 def publish_batches(

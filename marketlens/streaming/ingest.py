@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens.operators.dedupe import first_per_key
 from marketlens.operators.key_index import BATCH, PARTS, STREAM, build_index, has_index, known_keys, read_keys, write_keys
 from marketlens.schemas import Dataset
-from marketlens.session import path_exists
+from marketlens.session import materialize, path_exists
 from marketlens.sources.csv_files import csv_options, text_schema, to_staging
 
 _COUNTS = "rows_read bigint, rejected_cells bigint, malformed_rows bigint, rows_added bigint"
@@ -76,14 +76,17 @@ def start_ingest(
         if path_exists(session, target) and not has_index(session, index):
             build_index(session.read.schema(stored_schema).parquet(target), keys, index, key_parts)
         if has_index(session, index):
+            # A batch is parsed anew, with all its columns, wherever it is used: everything else starts from one stored copy.
+            fresh = materialize(fresh, "batch")
             stored = read_keys(session, index, key_schema)
             others = stored.filter(~((F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)))
-            fresh = fresh.join(known_keys(others, batch, keys, key_parts), keys, "left_anti")
+            fresh = fresh.join(known_keys(others, fresh, keys, key_parts), keys, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{target}/{own}")
         added = session.read.schema(dataset.schema).parquet(f"{target}/{own}")
-        write_keys(added, keys, index, stream_id, batch_id, key_parts)
+        rows_added = added.count()
+        write_keys(added, keys, index, stream_id, batch_id, key_parts, rows_added)
         seen = counts.get
-        row = (seen["rows_read"], seen["rejected_cells"], seen["malformed_rows"], added.count())
+        row = (seen["rows_read"], seen["rejected_cells"], seen["malformed_rows"], rows_added)
         session.createDataFrame([row], _COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{_counts_folder(target)}/{own}")
 
     return (

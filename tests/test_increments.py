@@ -105,6 +105,23 @@ def test_only_new_batches_are_read_and_old_folders_stay(spark, built):
     assert warehouse.open_star(spark, root)["fact_orders"].count() == 3
 
 
+@pytest.mark.parametrize("touched", [1, 3])
+def test_joins_of_few_and_of_most_orders_are_refreshed(spark, tmp_path, monkeypatch, touched):
+    staged, root, looked_up = str(tmp_path / "staged"), str(tmp_path / "warehouse"), []
+    rows_of = increments._rows_of
+    monkeypatch.setattr(increments, "_rows_of", lambda star, orders: looked_up.append(1) or rows_of(star, orders))
+    names = [f"o{n}" for n in range(4)]
+    deliver(spark, staged, 0, **FIRST | dict(
+        orders=[order(o, "c1", "2018-01-10T08:00:00") for o in names], order_items=[item(o, 1, "p1", "s1", "10.00") for o in names]))
+    publish_batches(spark, root, staged)
+    deliver(spark, staged, 1, order_items=[item(o, 2, "p1", "s1", "2.00") for o in names[:touched]],
+            order_payments=[payment("o0", 9, "1.00")])
+    star = publish_batches(spark, root, staged)
+    whole = {t: read_increments(spark, f"{staged}/{t}") for t in FIRST} | {"geolocation": None}
+    assert views(star) == views(warehouse.publish(spark, whole, str(tmp_path / "full")))
+    assert len(looked_up) == (touched == 1)
+
+
 def test_unfinished_batches_wait(spark, tmp_path):
     staged = str(tmp_path / "staged")
     deliver(spark, staged, 0, customers=FIRST["customers"])
@@ -173,6 +190,15 @@ def test_a_replayed_batch_replaces_its_own_keys(spark, tmp_path):
     assert sorted((r.customer_id, r._batch) for r in rows) == [("b", 0), ("c", 0), ("d", 1)]
 
 
+def test_a_large_batch_writes_several_files_per_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "FILE_KEYS", 10)
+    folder, values = tmp_path / "keys", [f"c{n}" for n in range(200)]
+    key_index.write_keys(ids(spark, values + ["c7", None]), ["customer_id"], str(folder), "s", 0, 4, 200)
+    assert max(len(list(part.glob("*.parquet"))) for part in folder.glob("_stream=s/_batch=0/_part=*")) > 1
+    found = [r.customer_id for r in key_index.read_keys(spark, str(folder), KEY).collect()]
+    assert sorted(f for f in found if f) == sorted(values) and len(found) == 201
+
+
 def test_index_of_a_table_that_has_none(spark, tmp_path):
     target, folder = str(tmp_path / "out"), tmp_path / "in"
     spark.createDataFrame([("c1", "u1", "1", "a", "SP")], DATASETS["customers"].schema).write.parquet(f"{target}/_stream=old/_batch=0")

@@ -9,6 +9,7 @@ from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS
 from marketlens.sources.csv_files import ingest, open_staging, profile_files, read_raw, to_staging
 from marketlens.sources.reports import write_report
+from marketlens.streaming import ingest as stream
 from marketlens.streaming.ingest import read_increments, start_ingest
 
 CUSTOMERS = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
@@ -186,3 +187,20 @@ def test_cells_are_calculated_once_and_counted_as_before(spark, tmp_path):
         date(day.replace(hour=3, minute=4)), (2018, None, Decimal(2018), 1), (None, None, None, 3), (None, None, None, 3)]
     plan = to_staging(read_raw(spark, str(tmp_path / "i.csv")), DATASETS["order_items"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("as timestamp_ntz)") == 1 and plan.count("as decimal(10,2))") == 2
+
+
+def test_later_batches_are_parsed_once(spark, tmp_path, monkeypatch):
+    folder, target, progress, plans = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress"), []
+    known = stream.known_keys
+
+    def seen(index, batch, *rest):
+        plans.append(batch._jdf.queryExecution().optimizedPlan().toString())
+        return known(index, batch, *rest)
+
+    monkeypatch.setattr(stream, "known_keys", seen)
+    folder.mkdir()
+    for n in range(2):
+        (folder / f"{n}.csv").write_text(CUSTOMERS + f"c{n},u1,1,a,SP\nc{n + 1},u2,1,b,SP\n")
+        start_ingest(spark, str(folder), DATASETS["customers"], target, progress).awaitTermination()
+    assert len(plans) == 1 and "parquet" in plans[0] and "LogicalRDD" not in plans[0]
+    assert sorted((r.customer_id, r.customer_city) for r in read_increments(spark, target).collect()) == [("c0", "a"), ("c1", "b"), ("c2", "b")]
