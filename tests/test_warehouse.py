@@ -359,3 +359,12 @@ def test_lines_of_unknown_orders_count_for_categories_only(spark, make_staging,
     assert forecast.daily_series(stored, "category").count() == 1
     with pytest.raises(ValueError):
         forecast.daily_series(stored, "colour")
+
+
+def test_registered_tables_store_no_joins(spark, shop, monkeypatch):
+    stars, publish = [], warehouse.publish
+    monkeypatch.setattr(registry, "staging", lambda *_: shop)
+    monkeypatch.setattr(warehouse, "publish", lambda *a, **k: stars.append(publish(*a, **k)) or stars[-1])
+    rows = registry.q_registered_tables(spark, "").collect()
+    assert sorted(r.table_name for r in rows) == sorted(warehouse.TABLES) and len(stars) == 2
+    assert not set(kpis.STORED_JOINS) & set(stars[-1])
