@@ -39,6 +39,7 @@ from .components import components
 WORDS, LEAST = 5, 2
 SKETCHES = 24
 SIMILARITY = 0.8
+SHARE = SIMILARITY / (1 + SIMILARITY)  # of the words of two similar texts together, so many are aligned
 ALL_PAIRS = 24
 RANKS = 1 << 16
 MARKS = 512
@@ -294,23 +295,42 @@ def prefixes(texts: DataFrame, ranks: np.ndarray, least: float = SIMILARITY) ->
     return texts.select("node", "root", "text").mapInArrow(run, names)
 
 
+def meeting(found: DataFrame) -> DataFrame:
+    """Rows of ``found`` whose word may pair their text with one of another class, and ``light``: not of the class that holds the word most often.
+
+    Behind a word that two similar texts share, ``SHARE`` of all their words are left in both.  The shorter text then has
+    twice ``SHARE`` of its own left (its row is short), so a word without short rows pairs nothing, and a row that is not
+    short needs a short one of a length within its reach.
+    """
+    left = F.col("n") - F.col("place")
+    short = left >= 2 * SHARE * F.col("n") - 1e-9
+    least, most = (f(F.when(short, F.col("n"))) for f in (F.min, F.max))
+    held = found.groupBy("token", "root").agg(F.count("*").alias("rows"), least.alias("least"), most.alias("most"))
+    words = held.groupBy("token").agg(F.max(F.struct("rows", "root"))["root"].alias("heavy"), F.count("*").alias("classes"),
+                                      F.min("least").alias("least"), F.max("most").alias("most"))
+    reach = (F.col("least") <= left / SHARE - F.col("n") + 1e-6) & (F.col("most") >= SIMILARITY * F.col("n") - 1e-6)
+    both = found.join(words.filter("classes > 1 and least is not null"), "token").filter(short | reach)
+    return both.select(*found.columns, (F.col("root") != F.col("heavy")).alias("light"))
+
+
 def rest_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``u, v``: all pairs of texts of different classes among the members that may be similar."""
+    """``u, v``: all pairs of texts of different classes among the members that may be similar.
+
+    At each word the texts of its largest class meet the others but not each other: a class of any size costs rows, not pairs.
+    """
     named = members.join(texts, "node").select("node", "root", "text")
-    found = materialize(prefixes(named, rarity(named)), "prefixes")
-    several = found.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-    left = found.join(several, "token", "left_semi")
-    right = left.select("token", F.col("node").alias("v"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("place").alias("_place"), F.col("marks").alias("_marks"), F.col("before").alias("_before"))
+    met = materialize(meeting(materialize(prefixes(named, rarity(named)), "prefixes")), "meeting")
+    right = met.select("token", *(F.col(c).alias(f"_{c}") for c in met.columns if c != "token"))
     # Behind the first word that two texts share there must be enough words left in both.
-    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("n") + F.col("_n")) - 1e-9
+    needed = SHARE * (F.col("n") + F.col("_n")) - 1e-9
     near = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place")) >= needed
     apart = sum(F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("_marks")[i])) for i in range(MARKS // 64))
     near = near & (apart <= F.col("n") + F.col("_n") - 2 * needed)
     # Prefixes have one order for all texts: two that share a word just before this one have met there, where more words were left.
     near = near & ~F.arrays_overlap("before", "_before")
-    differ = (F.col("u") < F.col("v")) & (F.col("root") != F.col("_root"))
-    met = left.withColumnRenamed("node", "u").join(right, "token").filter(differ & near)
-    return met.select("u", "v").distinct()
+    once = ~F.col("_light") | (F.col("node") < F.col("_node"))
+    both = met.filter("light").join(right, "token").filter((F.col("root") != F.col("_root")) & once & near)
+    return both.select(F.least("node", "_node").alias("u"), F.greatest("node", "_node").alias("v")).distinct()
 
 
 def mixed(signed: DataFrame, roots: DataFrame) -> DataFrame:

@@ -309,6 +309,45 @@ def test_large_families_equal_brute_force(spark, monkeypatch, ranks, n):
     assert dict(tuple(r) for r in order_minhash.near_duplicates(frame).collect()) == dict(plain_classes(rows))
 
 
+def test_texts_of_one_class_do_not_meet_at_its_words(spark):
+    """A class of any size and a few strangers that hold its rare words: rows that meet grow as the class, not as its square."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(40)]
+    sizes = {}
+    for n in (40, 80):
+        rows = [(f"c{i:03}".encode(), b"class", " ".join(base[:-1] + [f"own{i}"])) for i in range(n)]
+        rows += [(f"s{i}".encode(), f"s{i}".encode(), " ".join(rng.sample(base, 38))) for i in range(3)]
+        texts = spark.createDataFrame(rows, "node binary, root binary, text string")
+        found = order_minhash.prefixes(texts, np.zeros(order_minhash.RANKS, np.int64))
+        met = order_minhash.meeting(found).select("token", "root", "light").collect()
+        held, light = Counter(r.token for r in met), Counter(r.token for r in met if r.light)
+        assert held and all(r.light == (r.root != b"class") for r in met)
+        assert len(met) <= found.count()
+        sizes[n] = sum(k * light[token] for token, k in held.items())
+    assert 0 < sizes[80] <= 2.1 * sizes[40]
+
+
+def test_no_similar_texts_of_different_classes_are_missed(spark):
+    """Texts of different lengths, one class each or a few: all pairs of different classes with a similarity of 0.8."""
+    rng = random.Random(8)
+    base, texts = [rng.choice([f"w{i}" for i in range(50)]) for _ in range(60)], set()
+    for _ in range(70):
+        words = list(base)
+        for _ in range(rng.randrange(0, 12)):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = rng.choice([[], [], [words[at], f"w{rng.randrange(50)}"], [f"x{rng.randrange(9)}"]])
+        texts.add(" ".join(words))
+    rows = [(t.encode(), f"r{i % 9 if i % 2 else i}".encode(), t) for i, t in enumerate(sorted(texts))]
+    frame = spark.createDataFrame(rows, "node binary, root binary, text string")
+    pairs = order_minhash.rest_pairs(frame.select("node", "root"), frame.select("node", "text"))
+    got = [(bytes(r.u), bytes(r.v)) for r in pairs.collect()]
+    similar = {(a, b) for i, (b, r, s) in enumerate(rows) for a, q, t in rows[:i]
+               if q != r and plain_similarity(split_words(s), split_words(t)) >= 0.8}
+    classes = {node: root for node, root, _ in rows}
+    assert len(set(got)) == len(got) and all(u < v and classes[u] != classes[v] for u, v in got)
+    assert len(similar) > 100 and similar <= set(got)
+
+
 def test_keep_one_of_each_class(docs, rows):
     kept = order_minhash.keep_one(docs)
     assert kept.columns == docs.columns
