@@ -440,6 +440,17 @@ def test_other_widths_equal_a_plain_search(spark, width):
         repeated_windows.remove_repeats(frame, 1000)
 
 
+def test_texts_of_different_tasks_that_begin_alike(spark):
+    """Blocks that begin before their text have places below 0, which must not hide whose they are."""
+    rng = random.Random(12)
+    ends = [[f"{side}{rng.getrandbits(1600):0400x}" for _ in range(20)] for side in "xy"]
+    starts = [f"{rng.getrandbits(1640):0410x}" for _ in range(20)]
+    frames = [spark.createDataFrame([(100 * k + i, starts[i] + end) for i, end in enumerate(side)], "doc_id long, text string")
+              for k, side in enumerate(ends)]
+    got = {r.doc_id: r.text for r in repeated_windows.remove_repeats(frames[0].unionByName(frames[1])).collect()}
+    assert got == {100 * k + i: end for k, side in enumerate(ends) for i, end in enumerate(side)}
+
+
 def test_repeated_strings_equal_a_plain_search(spark, tmp_path):
     rng = random.Random(3)
     noise = lambda n: "".join(rng.choices("abcdefgh é\n", k=n))
