@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+#: So many repeated keys are few: they are broadcast, and only their rows are shuffled to be merged.
+FEW_KEYS = 100_000
 
 
 def first_per_key(df: DataFrame, *keys: str, copies: str | None = None) -> DataFrame:
@@ -26,6 +29,30 @@ def first_per_key(df: DataFrame, *keys: str, copies: str | None = None) -> DataF
     return picked.select(*columns, *([copies] if copies else []))
 
 
+def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """The non-NULL keys that more than one row has; only keys are shuffled."""
+    counted = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.filter("_rows > 1").select(*keys)
+
+
+def merge_repeated(df: DataFrame, repeated: DataFrame, *keys: str) -> DataFrame:
+    """``first_per_key`` of rows of which the keys that may repeat are known, as a stored table.
+
+    Rows of all other keys stay where they are.  Keys of floating point numbers are merged whole, since merging also
+    gives the two zeros one form.
+    """
+    on = list(keys)
+    floating = any(isinstance(df.schema[key].dataType, (T.DoubleType, T.FloatType)) for key in keys)
+    count = 0 if floating else repeated.count()
+    if floating or count > FEW_KEYS:
+        return first_per_key(df, *keys)
+    keyed = df.dropna(subset=on)
+    if not count:
+        return keyed
+    merged = first_per_key(keyed.join(repeated, on, "left_semi"), *keys)
+    return keyed.join(repeated, on, "left_anti").unionByName(merged)
+
+
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, *keys: str) -> DataFrame:
     """Existing rows win; new keys are added once each.  ``existing`` holds each key once."""
     return existing.unionByName(new_keys_only(existing, incoming, *keys))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from marketlens.session import list_path, path_exists
+from marketlens.session import STORED, list_path, path_exists
 
 PART, STREAM, BATCH = "_part", "_stream", "_batch"
 PARTS = 256
@@ -37,7 +37,9 @@ def write_keys(
     marked = df.select(*keys, part_of(keys, parts).alias(PART), F.pmod(F.hash(*keys), F.lit(files)).alias(_FILE))
     # Equal keys share a part and a file, so they meet in the one shuffle that also deals out the parts.
     dealt = marked.repartition(parts * files, PART, _FILE) if files > 1 else marked.repartition(PART, _FILE)
-    dealt.distinct().drop(_FILE).write.mode("overwrite").partitionBy(PART).parquet(target)
+    # Sorted keys share their beginnings, which the files' compression finds.
+    once = dealt.distinct().drop(_FILE).sortWithinPartitions(PART, *keys)
+    once.write.mode("overwrite").options(**STORED).partitionBy(PART).parquet(target)
 
 
 def read_keys(spark: SparkSession, folder: str, keys: T.StructType) -> DataFrame:

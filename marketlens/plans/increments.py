@@ -21,18 +21,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import ExitStack
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketlens.operators.constraints import enforce, without_generated_keys
-from marketlens.operators.dedupe import first_per_key, new_keys_only, without_known
+from marketlens.operators.dedupe import merge_repeated, new_keys_only, repeated_keys
 from marketlens.operators.key_index import BATCH, STREAM
 from marketlens.operators.keys import dense_keys, sparse_keys
 from marketlens.plans import warehouse
-from marketlens.plans.kpis import STORED_JOINS, Star, stored_joins
+from marketlens.plans.kpis import STORED_JOINS, Copy, Star, stored_join
 from marketlens.schemas import STAGING_SCHEMAS, SURROGATE_KEYS
-from marketlens.session import list_path, materialize, path_exists, scratch_root
+from marketlens.session import STORED, list_path, path_exists, scratch_root, shuffles_deleted, stored_once
 from marketlens.sources.versioned import commit_version, current_parts, new_version_path, open_current
 
 LOADED = "loaded_batches"
@@ -72,15 +73,18 @@ def read_batches(spark: SparkSession, staging_root: str, folders: Mapping[str, l
     return {table: read(table) for table in STAGING_SCHEMAS}
 
 
-def _unresolved(rows: DataFrame, *references: tuple[DataFrame, str]) -> DataFrame:
-    """Rows with at least one reference that is named but not known yet."""
-    left = rows
+def _unresolved(rows: DataFrame, copy: Copy, *references: tuple[DataFrame, str]) -> DataFrame:
+    """Rows with at least one reference that is named but not known yet.
+
+    The unknown values alone are shuffled and stored; if they are few the rows are compared with them where they lie.
+    """
+    named = rows.dropna(subset=[key for _, key in references])
+    left = named
     for number, (dimension, key) in enumerate(references):
-        known = dimension.select(F.col(key), F.lit(True).alias(f"_known_{number}"))
-        left = left.join(known, key, "left")
-    waits = reduce(lambda a, b: a | b, [F.col(f"_known_{n}").isNull() for n in range(len(references))])
-    named = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for _, key in references])
-    return left.filter(waits & named).select(*rows.columns)
+        unknown = copy(named.select(key).distinct().join(dimension.select(key), key, "left_anti"), "unknown")
+        left = left.join(unknown.withColumn(f"_unknown_{number}", F.lit(True)), key, "left")
+    waits = reduce(lambda a, b: a | b, [F.col(f"_unknown_{n}").isNotNull() for n in range(len(references))])
+    return left.filter(waits).select(*rows.columns)
 
 
 def _rows_of(star: Star, orders: DataFrame) -> Star:
@@ -107,7 +111,7 @@ def publish_increment(
     parts.pop(warehouse.LOAD_COUNTS, None)
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
+        df.write.options(**STORED).parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     def append(name: str, df: DataFrame) -> None:
@@ -126,11 +130,16 @@ def publish_increment(
         new = new_keys_only(current[name], incoming, natural_id)
         append(name, dense_keys(new, SURROGATE_KEYS[name], last_key(name)))
 
-    def add_facts(name: str, rows: DataFrame) -> None:
-        # Stored once: the rows are joined and merged for the lookup of their keys and for the append otherwise.
-        once = materialize(first_per_key(rows, *FACT_KEYS[name]), name)
-        new = without_known(current[name], once, *FACT_KEYS[name])
-        append(name, sparse_keys(new, SURROGATE_KEYS[name], last_key(name)))
+    def add_facts(name: str, incoming: DataFrame, rows: DataFrame) -> None:
+        # Only keys are shuffled to find those that are there already or come twice; they are stored, so that few of
+        # them are broadcast to the rows.
+        on = list(FACT_KEYS[name])
+        keys = incoming.select(*on)
+        with ExitStack() as scratch:
+            copy = _copies(scratch)
+            new = rows.join(copy(current[name].select(*on).join(keys, on, "left_semi"), "known"), on, "left_anti")
+            new = merge_repeated(new, copy(repeated_keys(keys, *on), "repeated"), *on)
+            append(name, sparse_keys(new, SURROGATE_KEYS[name], last_key(name)))
 
     waiting = lambda name, table: delta[table].unionByName(current[name]) if name in current else delta[table]
     orders, items = waiting(PENDING_ORDERS, "orders"), waiting(PENDING_ITEMS, "order_items")
@@ -139,13 +148,30 @@ def publish_increment(
         _all(pool.submit(extend, "dim_customers", warehouse.dim_customers(delta["customers"]), "customer_id"),
              pool.submit(extend, "dim_sellers", warehouse.dim_sellers(delta["sellers"]), "seller_id"),
              pool.submit(extend, "dim_products", warehouse.dim_products(delta["products"], translation), "product_id"),
-             pool.submit(add_facts, "fact_payments", warehouse.fact_payments(delta["order_payments"])),
-             pool.submit(add_facts, "fact_reviews", warehouse.fact_reviews(delta["order_reviews"])))
-        _all(pool.submit(add_facts, "fact_orders", warehouse.fact_orders(orders, full["dim_customers"], calendar)),
-             pool.submit(add_facts, "fact_order_items", warehouse.fact_order_items(items, full["dim_products"], full["dim_sellers"])))
+             pool.submit(add_facts, "fact_payments", delta["order_payments"], warehouse.fact_payments(delta["order_payments"])),
+             pool.submit(add_facts, "fact_reviews", delta["order_reviews"], warehouse.fact_reviews(delta["order_reviews"])))
+        _all(pool.submit(add_facts, "fact_orders", orders, warehouse.fact_orders(orders, full["dim_customers"], calendar)),
+             pool.submit(add_facts, "fact_order_items", items,
+                         warehouse.fact_order_items(items, full["dim_products"], full["dim_sellers"])))
         checked = pool.submit(enforce, {**full, **{name: fresh[name] for name in FACT_KEYS}}, without_generated_keys())
-        more = {**_pending(orders, items, full, calendar), **_refreshed_joins(full, fresh)}
-        _all(checked, *[pool.submit(replace, name, table) for name, table in more.items()])
+        # One after another: each shuffles every order, and its shuffle files and copies are gone before the next one starts.
+        with ExitStack() as scratch:
+            for name, table in _pending(orders, items, full, calendar, _copies(scratch)).items():
+                replace(name, table)
+        touched = reduce(DataFrame.unionByName, [fresh[name].select("order_id") for name in FACT_KEYS]).distinct()
+        with stored_once(touched, "touched") as touched:
+            base = {name: df for name, df in full.items() if name not in STORED_JOINS}
+            # Half of the orders or more: all are calculated again, which gives the same rows without a lookup of the touched ones.
+            again = _rows_of(base, touched) if 2 * touched.count() < full["fact_orders"].count() else base
+            for name in STORED_JOINS:
+                with ExitStack() as scratch:
+                    copy = _copies(scratch)
+                    if again is base or name not in current:
+                        replace(name, stored_join(base, name, copy))
+                    else:
+                        kept = current[name].join(touched, "order_id", "left_anti")
+                        replace(name, kept.unionByName(stored_join(again, name, copy)))
+        checked.result()
     if batches is not None:
         if LOADED in current:
             append(LOADED, batches)
@@ -160,31 +186,19 @@ def _all(*jobs: Future) -> None:
         job.result()
 
 
-def _pending(orders: DataFrame, items: DataFrame, star: Star, calendar: tuple[str, str]) -> Star:
+def _copies(scratch: ExitStack) -> Copy:
+    return lambda df, label: scratch.enter_context(stored_once(df, label))
+
+
+def _pending(orders: DataFrame, items: DataFrame, star: Star, calendar: tuple[str, str], copy: Copy) -> Star:
     """Rows that only lack a reference; orders outside the calendar never come in."""
     inside = warehouse.inside_calendar(F.col("order_purchase_timestamp"), calendar) & F.col("order_id").isNotNull()
     return {
-        PENDING_ORDERS: _unresolved(orders.filter(inside), (star["dim_customers"], "customer_id")),
-        PENDING_ITEMS: _unresolved(items, (star["dim_products"], "product_id"), (star["dim_sellers"], "seller_id")),
+        PENDING_ORDERS: _unresolved(orders.filter(inside), copy, (star["dim_customers"], "customer_id")),
+        PENDING_ITEMS: _unresolved(items, copy, (star["dim_products"], "product_id"), (star["dim_sellers"], "seller_id")),
     }
 
 
-def _refreshed_joins(full: Star, fresh: Star) -> Star:
-    """Stored joins: calculated again for the orders that got new rows, copied for all others.
-
-    An increment that touches half of the orders or more has all of them calculated again, which gives the same rows
-    without a lookup of the touched ones in every table.
-    """
-    base = {name: df for name, df in full.items() if name not in STORED_JOINS}
-    touched = materialize(reduce(DataFrame.unionByName, [fresh[name].select("order_id") for name in FACT_KEYS]).distinct(), "touched")
-    whole = stored_joins(base)
-    if 2 * touched.count() >= full["fact_orders"].count():
-        return whole
-    again = stored_joins(_rows_of(base, touched))
-    kept = {name: full[name].join(touched, "order_id", "left_anti") for name in STORED_JOINS if name in full}
-    return {name: kept[name].unionByName(again[name]) if name in kept else whole[name] for name in STORED_JOINS}
-
-
 def publish_batches(
     spark: SparkSession, root: str, staging_root: str, calendar: tuple[str, str] = warehouse.DEFAULT_CALENDAR
 ) -> Star:
@@ -193,19 +207,20 @@ def publish_batches(
     The first call publishes all of it; later ones read the batches that came since.  Without new batches the
     current version stays.
     """
-    begun = path_exists(spark, f"{root}/_committed")
-    current = open_current(spark, root) if begun else {}
-    batches = new_batches(spark, staging_root, current.get(LOADED))
-    folders: dict[str, list[str]] = {}
-    for row in batches.collect():
-        folders.setdefault(row["table_name"], []).append(row["folder"])
-    if begun and not folders:
-        return current
-    delta = read_batches(spark, staging_root, folders)
-    known = {"category_translation": finished_batches(spark, f"{staging_root}/category_translation")}
-    translation = read_batches(spark, staging_root, known)["category_translation"]
-    if begun:
-        return publish_increment(spark, root, delta, translation, calendar, batches)
-    delta["category_translation"] = translation
-    waiting = lambda star: {LOADED: batches, **_pending(delta["orders"], delta["order_items"], star, calendar)}
-    return warehouse.publish(spark, delta, root, calendar, also=waiting)
+    with shuffles_deleted(spark), ExitStack() as scratch:
+        begun = path_exists(spark, f"{root}/_committed")
+        current = open_current(spark, root) if begun else {}
+        batches = new_batches(spark, staging_root, current.get(LOADED))
+        folders: dict[str, list[str]] = {}
+        for row in batches.collect():
+            folders.setdefault(row["table_name"], []).append(row["folder"])
+        if begun and not folders:
+            return current
+        delta = read_batches(spark, staging_root, folders)
+        known = {"category_translation": finished_batches(spark, f"{staging_root}/category_translation")}
+        translation = read_batches(spark, staging_root, known)["category_translation"]
+        if begun:
+            return publish_increment(spark, root, delta, translation, calendar, batches)
+        delta["category_translation"] = translation
+        waiting = lambda star: {LOADED: batches, **_pending(delta["orders"], delta["order_items"], star, calendar, _copies(scratch))}
+        return warehouse.publish(spark, delta, root, calendar, also=waiting)

@@ -9,7 +9,7 @@ items and reviews of an order, that product is computed, not materialized.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +18,8 @@ from marketlens.functions.numeric import as_money, exact_ratio, percent, total_c
 from marketlens.session import materialize
 
 Star = dict[str, DataFrame]
+#: Stores a table under a label and gives the stored copy.
+Copy = Callable[[DataFrame, str], DataFrame]
 
 
 # Columns the views combine with revenue, and the name the stored join has in a star.
@@ -139,25 +141,23 @@ def geographic_performance(star: Star) -> DataFrame:
     )
 
 
-def order_lines(star: Star, by: str) -> DataFrame:
+def order_lines(star: Star, by: str, copy: Copy | None = None) -> DataFrame:
     """One row per order and seller, or per order and category, with all that lines are combined with.
 
     ``items`` and ``cents`` of the lines; ``purchase_date`` and ``delivery_delay_days`` of the order, ``in_orders`` being
     false where the order itself is missing; ``review_rows``, ``score_sum`` and ``score_count`` of its reviews.  A published
-    star holds these rows, so the views over them shuffle nothing by order.
+    star holds these rows, so the views over them shuffle nothing by order.  With ``copy`` the grouped lines are stored
+    before they are joined, so that their shuffle files need not last until the joins end.
     """
     if ORDER_LINES[by] in star:
         return star[ORDER_LINES[by]]
-    key, keys = ("seller_key", ["seller_key"]) if by == "seller" else ("product_key", list(CATEGORY))
-    lines = star["fact_order_items"].groupBy("order_id", key).agg(
-        F.count(F.lit(1)).alias("items"), total_cents("price").alias("cents")
-    )
+    keys, lines = ["seller_key"], star["fact_order_items"]
     if by == "category":
-        lines = (
-            lines.join(star["dim_products"].select("product_key", *CATEGORY), "product_key")
-            .groupBy("order_id", *CATEGORY)
-            .agg(F.sum("items").alias("items"), F.sum("cents").alias("cents"))
-        )
+        # Not grouped before: an order seldom has a product twice, so that would shuffle all lines for nothing.
+        keys, lines = list(CATEGORY), lines.join(star["dim_products"].select("product_key", *CATEGORY), "product_key")
+    lines = lines.groupBy("order_id", *keys).agg(F.count(F.lit(1)).alias("items"), total_cents("price").alias("cents"))
+    if copy:
+        lines = copy(lines, f"lines-{by}")
     orders = star["fact_orders"].select(
         "order_id", F.to_date("purchase_timestamp").alias("purchase_date"), "delivery_delay_days", F.lit(True).alias("in_orders")
     )
@@ -169,10 +169,15 @@ def order_lines(star: Star, by: str) -> DataFrame:
     )
 
 
+def stored_join(star: Star, name: str, copy: Copy | None = None) -> DataFrame:
+    """A join by order that the views start from, by the name it has in a published star."""
+    if name == ORDER_REVENUE:
+        return orders_with_cents(star, *_REVENUE_COLUMNS)
+    return order_lines(star, next(by for by, stored in ORDER_LINES.items() if stored == name), copy)
+
+
 def stored_joins(star: Star) -> Star:
-    """The joins by order that the views start from, by the name they have in a published star."""
-    lines = {name: order_lines(star, by) for by, name in ORDER_LINES.items()}
-    return {ORDER_REVENUE: orders_with_cents(star, *_REVENUE_COLUMNS), **lines}
+    return {name: stored_join(star, name) for name in STORED_JOINS}
 
 
 def _lines_with_reviews(star: Star, by: str, dedupe_reviews: bool) -> DataFrame:

@@ -25,7 +25,7 @@ from marketlens.operators.keys import dense_keys, sparse_keys
 from marketlens.operators.write_counts import COPIES, WriteCounts
 from marketlens.plans.kpis import STORED_JOINS, stored_joins
 from marketlens.schemas import SURROGATE_KEYS
-from marketlens.session import scratch_root
+from marketlens.session import STORED, scratch_root
 from marketlens.sources.versioned import commit_version, new_version_path, open_current
 
 # The calendar of the date dimension when none is given.
@@ -205,7 +205,7 @@ def publish(
     scratch_root(spark)  # settled before the writers below start
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{path}/{name}")
+        df.write.options(**STORED).parquet(f"{path}/{name}")
         return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     def dimension(name: str, df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from marketlens.plans import forecast as fc, kpis, segments, trend, warehouse
 from marketlens.plans.increments import publish_batches
 from marketlens.plans.quality import quality_report
 from marketlens.schemas import DATASETS, SURROGATE_KEYS
-from marketlens.session import list_path, materialize, scratch_path, scratch_root
+from marketlens.session import delete_path, list_path, materialize, scratch_path, scratch_root
 from marketlens.sources import testtables
 from marketlens.sources.catalog import create_namespaces, register_version, register_views, schema_tables
 from marketlens.sources.csv_files import ingest, open_staging, profile_files
@@ -560,7 +560,9 @@ def _deliver(spark: SparkSession, sf_dir: str, raw: str, staged: str, rows: dict
         if table == "order_items":  # the given line numbers repeat within an order
             digest = F.xxhash64(*[c for c in frame.columns if c != "order_item_id"], "order_item_id")
             frame = frame.withColumn("order_item_id", F.pmod(digest, F.lit(2_000_000_000)))
-        frame.write.mode("append").option("header", True).option("escape", '"').csv(f"{raw}/{table}")
+        # Compressed files are not split when they are read, so none gets long.
+        packed = {"header": True, "escape": '"', "compression": "gzip", "maxRecordsPerFile": 200_000}
+        frame.write.mode("append").options(**packed).csv(f"{raw}/{table}")
         dataset = next(d for d in DATASETS.values() if d.table == table)
         start_ingest(spark, f"{raw}/{table}", dataset, f"{staged}/{table}", f"{raw}/_progress/{table}", key_parts=16).awaitTermination()
 
@@ -578,6 +580,7 @@ def incremental_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         publish_batches(spark, root, staged, CALENDAR)
         late = {table: f"NOT ({first})" for table, first in _FIRST_DELIVERY.items() if first != "true"}
         _deliver(spark, sf_dir, raw, staged, late)
+        delete_path(spark, raw)  # taken in to the last file
         _incremental[state] = publish_batches(spark, root, staged, CALENDAR)
     return _incremental[state]
 

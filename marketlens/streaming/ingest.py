@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlens.operators.dedupe import first_per_key
+from marketlens.operators.dedupe import merge_repeated, repeated_keys
 from marketlens.operators.key_index import BATCH, PARTS, STREAM, build_index, has_index, known_keys, read_keys, write_keys
 from marketlens.schemas import Dataset
-from marketlens.session import materialize, path_exists
+from marketlens.session import SHUFFLE_CLEANUP, STORED, path_exists, stored_once
 from marketlens.sources.csv_files import csv_options, text_schema, to_staging
 
 _COUNTS = "rows_read bigint, rejected_cells bigint, malformed_rows bigint, rows_added bigint"
@@ -62,7 +64,8 @@ def start_ingest(
     index = _keys_folder(target)
 
     def add_batch(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        session = batch.sparkSession  # the stream's own session
+        session.conf.set(SHUFFLE_CLEANUP, "true")
         stream_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         own = f"{STREAM}={stream_id}/{BATCH}={batch_id}"
         counts = Observation()
@@ -72,16 +75,19 @@ def start_ingest(
             F.coalesce(F.sum("_rejected_cells"), F.lit(0)).cast("long").alias("rejected_cells"),
             F.count_if(F.col("_malformed")).alias("malformed_rows"),
         )
-        fresh = first_per_key(observed.select(*names), *keys)
         if path_exists(session, target) and not has_index(session, index):
             build_index(session.read.schema(stored_schema).parquet(target), keys, index, key_parts)
-        if has_index(session, index):
+        with ExitStack() as copies:
             # A batch is parsed anew, with all its columns, wherever it is used: everything else starts from one stored copy.
-            fresh = materialize(fresh, "batch")
-            stored = read_keys(session, index, key_schema)
-            others = stored.filter(~((F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)))
-            fresh = fresh.join(known_keys(others, fresh, keys, key_parts), keys, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/{own}")
+            rows = copies.enter_context(stored_once(observed.select(*names), "batch"))
+            fresh = merge_repeated(rows, copies.enter_context(stored_once(repeated_keys(rows, *keys), "repeated")), *keys)
+            if has_index(session, index):
+                stored = read_keys(session, index, key_schema)
+                others = stored.filter(~((F.col(STREAM) == stream_id) & (F.col(BATCH) == batch_id)))
+                # Stored, these keys are broadcast if they are few, and the rows are not shuffled to be compared with them.
+                known = copies.enter_context(stored_once(known_keys(others, rows, keys, key_parts), "known"))
+                fresh = fresh.join(known, keys, "left_anti")
+            fresh.write.mode("overwrite").options(**STORED).parquet(f"{target}/{own}")
         added = session.read.schema(dataset.schema).parquet(f"{target}/{own}")
         rows_added = added.count()
         write_keys(added, keys, index, stream_id, batch_id, key_parts, rows_added)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from marketlens.operators import key_index
 from marketlens.operators.constraints import ConstraintViolation
+from marketlens import registry
 from marketlens.plans import increments, kpis, warehouse
 from marketlens.plans.increments import publish_batches
 from marketlens.schemas import DATASETS, STAGING_SCHEMAS, SURROGATE_KEYS
+from marketlens.session import SHUFFLE_CLEANUP, materialize, scratch_path, scratch_root, shuffles_deleted, stored_once
 from marketlens.sources import catalog
 from marketlens.sources.versioned import current_parts, current_version, expire_versions
 from marketlens.streaming.ingest import batch_counts, read_increments, start_ingest
@@ -153,6 +158,79 @@ def test_tables_of_several_folders_are_registered_as_views(spark, built):
     assert catalog.table_exists(spark, "analytics", "fact_orders")
 
 
+# --- disk ---------------------------------------------------------------------
+
+
+def copies(spark):
+    """The scratch copies of loads; numbered rows of dimensions aside."""
+    return {name for name in os.listdir(scratch_root(spark)) if name.split("-")[0] in
+            ("batch", "known", "repeated", "unknown", "touched", "lines", "fact_orders", "fact_order_items", "fact_payments", "fact_reviews")}
+
+
+def test_loads_leave_no_copies_behind(spark, tmp_path):
+    staged, root, before = str(tmp_path / "staged"), str(tmp_path / "warehouse"), copies(spark)
+    deliver(spark, staged, 0, **FIRST)
+    publish_batches(spark, root, staged)
+    deliver(spark, staged, 1, **SECOND)
+    publish_batches(spark, root, staged)
+    deliver(spark, staged, 2, order_reviews=[("r7", "o1", None, None, None, at("2018-03-01"), at("2018-03-02"))])
+    with pytest.raises(ConstraintViolation):
+        publish_batches(spark, root, staged)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("1.csv", "2.csv"):
+        (folder / name).write_text(CUSTOMERS + "c1,u1,1,a,SP\nc1,u1,1,b,SP\n")
+        start_ingest(spark, str(folder), DATASETS["customers"], str(tmp_path / "out"), str(tmp_path / "p"), key_parts=4).awaitTermination()
+    assert read_increments(spark, str(tmp_path / "out")).count() == 1
+    assert copies(spark) == before
+
+
+def shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.getName() for f in (disk.getAllFiles().apply(i) for i in range(disk.getAllFiles().size())) if f.getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_load_go_with_each_write(spark, tmp_path):
+    staged, written = str(tmp_path / "staged"), []
+    deliver(spark, staged, 0, **FIRST)
+    before, own = shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    with shuffles_deleted(spark):
+        with shuffles_deleted(spark):
+            materialize(spark.range(1000).groupBy(F.col("id") % 7).count(), "grouped")
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    publish_batches(spark, str(tmp_path / "warehouse"), staged)
+    end = time.time() + 20
+    while time.time() < end and (written := shuffle_files(spark) - before):
+        time.sleep(0.2)  # they are deleted in the background
+    assert not written
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == own
+
+
+def test_a_copy_goes_with_its_block(spark):
+    with pytest.raises(ZeroDivisionError), stored_once(spark.range(3), "kept") as copy:
+        (folder,) = {os.path.dirname(path.removeprefix("file://")) for path in copy.inputFiles()}
+        assert copy.count() == 3 and all(path.endswith(".zstd.parquet") for path in copy.inputFiles())
+        1 / 0
+    assert not os.path.exists(folder)
+
+
+def test_deliveries_are_packed_and_whole(spark, tmp_path):
+    """Texts with quotes, line breaks and more rows than a file holds come through the packed files."""
+    sf = str(tmp_path / "sf")
+    orders = spark.range(1, 451).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "double(id) AS o_totalprice",
+        "timestamp_ntz '1996-01-02 00:00:00' AS o_orderdate", "concat('\"1\"\n', id) AS o_orderpriority")
+    orders.coalesce(1).write.parquet(f"{sf}/orders.parquet")
+    raw, staged = scratch_path(spark, "raw"), scratch_path(spark, "staged")
+    registry._deliver(spark, sf, raw, staged, {"order_reviews": "order_id % 2 = 0"})
+    registry._deliver(spark, sf, raw, staged, {"order_reviews": "order_id % 2 = 1"})
+    files = [name for name in os.listdir(f"{raw}/order_reviews") if name.startswith("part-")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    titles = read_increments(spark, f"{staged}/order_reviews").filter("review_comment_title IS NOT NULL")
+    assert sorted(r[0] for r in titles.select("review_comment_title").collect()) == sorted(
+        f'"1"\n{n}' for n in range(1, 451) if n % 8 == 0 and n % 10)
+
+
 # --- key index ---------------------------------------------------------------
 
 

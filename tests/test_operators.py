@@ -9,7 +9,8 @@ from pyspark.sql import Window, functions as F
 
 from marketlens.operators import audits
 from marketlens.operators.constraints import foreign_key_orphans
-from marketlens.operators.dedupe import first_per_key, insert_or_ignore, surplus_rows
+from marketlens.operators import dedupe
+from marketlens.operators.dedupe import first_per_key, insert_or_ignore, merge_repeated, repeated_keys, surplus_rows
 from marketlens.operators.keys import dense_keys, sparse_keys
 from marketlens.operators.quantiles import bin_label, quantile_edges
 from marketlens.operators.timeseries import complete_mean, growth_percent, lag_features, weekly_totals
@@ -29,6 +30,32 @@ def test_first_per_key_matches_a_ranking_window_on_a_hot_key(spark):
     assert sorted(first_per_key(frame, "k").collect()) == sorted(ranked.collect())
 
 
+@pytest.mark.parametrize("few", [0, 2, 100])
+def test_merging_repeated_keys_is_first_per_key(spark, monkeypatch, few):
+    monkeypatch.setattr(dedupe, "FEW_KEYS", few)
+    rows = [("a", 1, "z"), ("a", 1, "y"), ("a", 1, None), ("a", 2, "x"), ("b", 1, "q"), ("b", 1, "q"), (None, 1, "n"), (None, 1, "n"), ("c", None, "m")]
+    frame = spark.createDataFrame(rows, "k string, n int, v string").repartition(3)
+    repeated = repeated_keys(frame, "k", "n")
+    assert sorted(map(tuple, repeated.collect())) == [("a", 1), ("b", 1)]
+    for given in (frame, frame.filter("k <> 'b'"), frame.filter("n = 2")):
+        merged = merge_repeated(given, repeated_keys(given, "k", "n"), "k", "n")
+        assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, first_per_key(given, "k", "n").collect()))
+        assert merged.columns == frame.columns
+
+
+def test_both_zeros_are_one_key_of_one_form(spark):
+    frame = spark.createDataFrame([(-0.0, 1), (0.0, 2), (-0.0, 3), (1.0, 4)], "k double, n int")
+    for given in (frame, frame.filter("n >= 3")):
+        merged = merge_repeated(given, repeated_keys(given, "k"), "k")
+        assert sorted(map(str, merged.collect())) == sorted(map(str, first_per_key(given, "k").collect()))
+
+
+def test_only_rows_of_repeated_keys_are_shuffled(spark):
+    frame = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    plan = merge_repeated(frame, repeated_keys(frame, "k"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_composite_keys(spark):
     frame = spark.createDataFrame([(1, 1, "b"), (1, 1, "a"), (1, 2, "c"), (1, None, "d")], "k int, j int, v string")
     assert sorted(map(tuple, first_per_key(frame, "k", "j").collect())) == [(1, 1, "a"), (1, 2, "c")]
