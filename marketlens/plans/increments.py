@@ -155,6 +155,7 @@ def publish_increment(
                          warehouse.fact_order_items(items, full["dim_products"], full["dim_sellers"])))
         checked = pool.submit(enforce, {**full, **{name: fresh[name] for name in FACT_KEYS}}, without_generated_keys())
         # One after another: each shuffles every order, and its shuffle files and copies are gone before the next one starts.
+        # The joins come in the order of what they shuffle, so that the largest finds least on the disk.
         with ExitStack() as scratch:
             for name, table in _pending(orders, items, full, calendar, _copies(scratch)).items():
                 replace(name, table)
@@ -163,7 +164,7 @@ def publish_increment(
             base = {name: df for name, df in full.items() if name not in STORED_JOINS}
             # Half of the orders or more: all are calculated again, which gives the same rows without a lookup of the touched ones.
             again = _rows_of(base, touched) if 2 * touched.count() < full["fact_orders"].count() else base
-            for name in STORED_JOINS:
+            for name in reversed(STORED_JOINS):
                 with ExitStack() as scratch:
                     copy = _copies(scratch)
                     if again is base or name not in current:
